@@ -134,3 +134,183 @@ SELECT player_name, current_season, is_active,
 FROM (SELECT *, LAG(is_active) OVER (PARTITION BY player_name ORDER BY current_season) AS prev_active
       FROM players)
 """, players_ctes())
+
+
+# ---- fact pipelines -------------------------------------------------------------------
+
+def _d(x: str) -> str:
+    return f"DATE '{x}'"
+
+
+def _prev(d: str) -> str:
+    import datetime as _dt
+    return (_dt.date.fromisoformat(d) - _dt.timedelta(days=1)).isoformat()
+
+
+DATES_TEXT = "array_to_string(list_transform(dates_active, lambda d: CAST(d AS VARCHAR)), ',')"
+
+
+def _long_text(col: str) -> str:
+    return f"array_to_string(list_transform({col}, lambda x: COALESCE(CAST(x AS VARCHAR), 'null')), ',')"
+
+
+def dates_backfill_sql(as_of: str, keys: str = "user_id", src: str = "v_events") -> str:
+    nn = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return f"""SELECT {keys}, list_sort(list(DISTINCT CAST(event_time AS DATE))) AS dates_active,
+        {_d(as_of)} AS date FROM {src}
+        WHERE {nn} AND CAST(event_time AS DATE) <= {_d(as_of)} GROUP BY {keys}"""
+
+
+def dates_step_sql(key: str) -> str:
+    return f"""SELECT COALESCE(t.{key}, y.{key}) AS {key},
+       COALESCE(y.dates_active, CAST([] AS DATE[])) ||
+         CASE WHEN t.{key} IS NOT NULL THEN [t.today_date] ELSE CAST([] AS DATE[]) END AS dates_active,
+       CAST(COALESCE(t.today_date, y.date + INTERVAL 1 DAY) AS DATE) AS date
+FROM yesterday y FULL OUTER JOIN today t ON t.{key} = y.{key}"""
+
+
+def today_sql(key: str) -> str:
+    return f"""SELECT {key}, CAST(event_time AS DATE) AS today_date, COUNT(1) AS n FROM v_events
+        WHERE CAST(event_time AS DATE) = {_d(AS_OF)} AND {key} IS NOT NULL
+        GROUP BY {key}, CAST(event_time AS DATE)"""
+
+
+ORACLE["daily_user_hits"] = with_views(["v_events"], """
+SELECT user_id, CAST(event_time AS DATE) AS date, COUNT(1) AS num_site_hits
+FROM v_events WHERE user_id IS NOT NULL GROUP BY user_id, CAST(event_time AS DATE)""")
+
+ORACLE["users_cumulated"] = with_views(["v_events"], f"""
+SELECT user_id, date, CAST(len(dates_active) AS INTEGER) AS num_dates, {DATES_TEXT} AS dates_text
+FROM ({dates_step_sql('user_id')})""",
+    [("yesterday", dates_backfill_sql(_prev(AS_OF))), ("today", today_sql("user_id"))])
+
+
+def datelist_int_ctes(src: str = "uc", keys: str = "user_id") -> list[tuple[str, str]]:
+    """The reference's bits query: every key x each of the 32 days, a power of two
+    per active day, summed (exponent 31 - days_since, see D1)."""
+    return [
+        ("starter", f"""SELECT list_contains(uc.dates_active, CAST(d.valid_date AS DATE)) AS is_active,
+              date_diff('day', CAST(d.valid_date AS DATE), {_d(AS_OF)}) AS days_since, {keys}
+            FROM {src} uc CROSS JOIN (SELECT generate_series AS valid_date FROM generate_series(
+              {_d(AS_OF)} - INTERVAL 31 DAY, CAST({_d(AS_OF)} AS TIMESTAMP), INTERVAL 1 DAY)) d"""),
+        ("bits", f"""SELECT {keys}, CAST(SUM(CASE WHEN is_active THEN pow(2, 31 - days_since) ELSE 0 END)
+              AS BIGINT) AS datelist_int, {_d(AS_OF)} AS date FROM starter GROUP BY {keys}"""),
+    ]
+
+
+ORACLE["datelist_int"] = with_views(["v_events"], "SELECT user_id, date, datelist_int FROM bits",
+                                    [("uc", dates_backfill_sql(AS_OF))] + datelist_int_ctes())
+
+ORACLE["datelist_activity"] = with_views(["v_events"], """
+SELECT user_id, datelist_int,
+  bit_count(datelist_int) > 0 AS monthly_active,
+  CAST(bit_count(datelist_int) AS INTEGER) AS l32,
+  bit_count(datelist_int & CAST(4261412864 AS BIGINT)) > 0 AS weekly_active,
+  CAST(bit_count(datelist_int & CAST(4261412864 AS BIGINT)) AS INTEGER) AS l7,
+  bit_count(datelist_int & CAST(33292288 AS BIGINT)) > 0 AS weekly_active_previous_week
+FROM bits""", [("uc", dates_backfill_sql(AS_OF))] + datelist_int_ctes())
+
+
+def month_backfill_sql(as_of: str, fill: str) -> str:
+    """Per user with activity in the month up to as_of: the day grid of the month
+    left-joined with the daily counts, listed in day order."""
+    return f"""
+SELECT u.user_id, DATE_TRUNC('month', {_d(as_of)})::DATE AS month_start,
+       list(COALESCE(c.n, {fill}) ORDER BY g.d) AS metric_array,
+       MIN(c.d) AS first_found_date
+FROM (SELECT DISTINCT user_id FROM v_events WHERE user_id IS NOT NULL
+        AND CAST(event_time AS DATE) BETWEEN DATE_TRUNC('month', {_d(as_of)})::DATE AND {_d(as_of)}) u
+CROSS JOIN (SELECT CAST(generate_series AS DATE) AS d FROM generate_series(
+        DATE_TRUNC('month', {_d(as_of)})::TIMESTAMP, {_d(as_of)}::TIMESTAMP, INTERVAL 1 DAY)) g
+LEFT JOIN (SELECT user_id, CAST(event_time AS DATE) AS d, COUNT(1) AS n FROM v_events
+           WHERE user_id IS NOT NULL GROUP BY 1, 2) c ON c.user_id = u.user_id AND c.d = g.d
+GROUP BY u.user_id"""
+
+
+_daily_today = f"""SELECT user_id, CAST(event_time AS DATE) AS date, COUNT(1) AS num_site_hits
+    FROM v_events WHERE CAST(event_time AS DATE) = {_d(AS_OF)} AND user_id IS NOT NULL GROUP BY 1, 2"""
+
+MONTHLY_ARRAY_CTES = [
+    ("daily_aggregate", _daily_today),
+    ("yesterday_array", month_backfill_sql(_prev(AS_OF), "0")),
+    ("array_metrics", f"""
+SELECT COALESCE(da.user_id, ya.user_id) AS user_id,
+       COALESCE(ya.month_start, DATE_TRUNC('month', da.date)::DATE) AS month_start,
+       'site_hits' AS metric_name,
+       CASE WHEN ya.metric_array IS NOT NULL THEN ya.metric_array || [COALESCE(da.num_site_hits, 0)]
+            ELSE list_transform(range(date_diff('day', DATE_TRUNC('month', da.date)::DATE, da.date)), lambda i: 0)
+                 || [COALESCE(da.num_site_hits, 0)] END AS metric_array
+FROM daily_aggregate da FULL OUTER JOIN yesterday_array ya ON da.user_id = ya.user_id"""),
+]
+
+ORACLE["monthly_array_metrics"] = with_views(["v_events"], f"""
+SELECT user_id, month_start, metric_name, CAST(len(metric_array) AS INTEGER) AS array_len,
+       {_long_text('metric_array')} AS metric_text FROM array_metrics""", MONTHLY_ARRAY_CTES)
+
+SITE_HITS_CTES = [
+    ("yesterday", month_backfill_sql(_prev(AS_OF), "NULL")),
+    ("today", f"""SELECT user_id, CAST(event_time AS DATE) AS today_date, COUNT(1) AS num_hits
+        FROM v_events WHERE CAST(event_time AS DATE) = {_d(AS_OF)} AND user_id IS NOT NULL GROUP BY 1, 2"""),
+    ("monthly_user_site_hits", f"""
+SELECT COALESCE(y.user_id, t.user_id) AS user_id,
+       COALESCE(y.metric_array, list_transform(range(date_diff('day', DATE_TRUNC('month', {_d(AS_OF)})::DATE,
+           {_d(AS_OF)})), lambda i: CAST(NULL AS BIGINT))) || [t.num_hits] AS hit_array,
+       DATE_TRUNC('month', {_d(AS_OF)})::DATE AS month_start,
+       LEAST(y.first_found_date, t.today_date) AS first_found_date,
+       {_d(AS_OF)} AS date_partition
+FROM yesterday y FULL OUTER JOIN today t ON y.user_id = t.user_id"""),
+]
+
+ORACLE["monthly_user_site_hits"] = with_views(["v_events"], f"""
+SELECT user_id, month_start, first_found_date, date_partition,
+       CAST(len(hit_array) AS INTEGER) AS array_len, {_long_text('hit_array')} AS hit_text
+FROM monthly_user_site_hits""", SITE_HITS_CTES)
+
+ORACLE["array_position_sum"] = with_views(["v_events"], f"""
+SELECT month_start,
+       CAST(SUM(COALESCE(hit_array[1], 0)) AS BIGINT) AS num_hits_first_day,
+       CAST(SUM(COALESCE(hit_array[2], 0)) AS BIGINT) AS num_hits_second_day,
+       CAST(SUM(COALESCE(hit_array[3], 0)) AS BIGINT) AS num_hits_third_day
+FROM monthly_user_site_hits WHERE date_partition = {_d(AS_OF)} GROUP BY month_start""", SITE_HITS_CTES)
+
+ORACLE["array_metric_to_rows"] = with_views(["v_events"], """
+SELECT metric_name, CAST(month_start + CAST(i AS INTEGER) AS DATE) AS adjusted_date,
+       CAST(SUM(v) AS BIGINT) AS value
+FROM (SELECT metric_name, month_start, unnest(metric_array) AS v,
+             unnest(range(len(metric_array))) AS i FROM array_metrics)
+GROUP BY metric_name, month_start, i""", MONTHLY_ARRAY_CTES)
+
+ORACLE["array_length_profile"] = with_views(["v_events"], """
+SELECT CAST(len(hit_array) AS INTEGER) AS array_length, COUNT(*) AS num_rows,
+       COUNT(CASE WHEN first_found_date = month_start THEN 1 END) AS from_month_start
+FROM monthly_user_site_hits GROUP BY 1""", SITE_HITS_CTES)
+
+_ev_dev = ("ev_dev", "SELECT e.*, d.browser_type, d.os_type, d.device_type FROM v_events e "
+                     "JOIN v_devices d ON e.device_id = d.device_id")
+
+ORACLE["user_devices_cumulated"] = with_views(["v_events", "v_devices"], f"""
+SELECT user_id, browser_type, date, CAST(len(dates_active) AS INTEGER) AS num_dates,
+       {DATES_TEXT} AS dates_text FROM udc""",
+    [_ev_dev, ("udc", dates_backfill_sql(AS_OF, "user_id, browser_type", "ev_dev"))])
+
+ORACLE["device_datelist_int"] = with_views(
+    ["v_events", "v_devices"], "SELECT user_id, browser_type, date, datelist_int FROM bits",
+    [_ev_dev, ("udc", dates_backfill_sql(AS_OF, "user_id, browser_type", "ev_dev"))]
+    + datelist_int_ctes("udc", "user_id, browser_type"))
+
+ORACLE["hosts_cumulated"] = with_views(["v_events"], f"""
+SELECT host, date, CAST(len(dates_active) AS INTEGER) AS num_dates, {DATES_TEXT} AS dates_text
+FROM ({dates_step_sql('host')})""",
+    [("yesterday", dates_backfill_sql(_prev(AS_OF), "host")), ("today", today_sql("host"))])
+
+ORACLE["host_activity_reduced"] = with_views(["v_events"], f"""
+SELECT h.host, DATE_TRUNC('month', {_d(AS_OF)})::DATE AS month_start,
+       array_to_string(list(COALESCE(c.hits, 0) ORDER BY g.d), ',') AS hit_text,
+       array_to_string(list(COALESCE(c.visitors, 0) ORDER BY g.d), ',') AS visitors_text
+FROM (SELECT DISTINCT host FROM v_events WHERE host IS NOT NULL
+        AND CAST(event_time AS DATE) BETWEEN DATE_TRUNC('month', {_d(AS_OF)})::DATE AND {_d(AS_OF)}) h
+CROSS JOIN (SELECT CAST(generate_series AS DATE) AS d FROM generate_series(
+        DATE_TRUNC('month', {_d(AS_OF)})::TIMESTAMP, {_d(AS_OF)}::TIMESTAMP, INTERVAL 1 DAY)) g
+LEFT JOIN (SELECT host, CAST(event_time AS DATE) AS d, COUNT(1) AS hits, COUNT(DISTINCT user_id) AS visitors
+           FROM v_events WHERE host IS NOT NULL GROUP BY 1, 2) c ON c.host = h.host AND c.d = g.d
+GROUP BY h.host""")

@@ -94,3 +94,141 @@ def q_scd2_incremental(spark, sf):
 @query("player_state_change")
 def q_player_state_change(spark, sf):
     return dims.player_state_change(players_backfill(Views(spark, sf)))
+
+
+# ---- 2.9 fact pipelines ----------------------------------------------------------------
+
+from ..operators import facts  # noqa: E402
+
+
+def _prev_day(d: str) -> str:
+    import datetime as _dt
+    return (_dt.date.fromisoformat(d) - _dt.timedelta(days=1)).isoformat()
+
+
+def _dates_text(col: str = "dates_active"):
+    return F.array_join(F.transform(col, lambda d: d.cast("string")), ",")
+
+
+def _long_text(col: str):
+    return F.array_join(F.transform(col, lambda x: x.cast("string")), ",", "null")
+
+
+def _events_devices(v: Views) -> DataFrame:
+    return v.v_events.join(v.v_devices, "device_id")
+
+
+@query("daily_user_hits")
+def q_daily_user_hits(spark, sf):
+    return facts.daily_counts(Views(spark, sf).v_events)
+
+
+@query("users_cumulated")
+def q_users_cumulated(spark, sf):
+    v = Views(spark, sf)
+    prev = facts.dates_backfill(v.v_events, _prev_day(AS_OF))
+    out = facts.cumulate_dates(prev, v.v_events, AS_OF)
+    return out.select("user_id", "date", F.size("dates_active").alias("num_dates"),
+                      _dates_text().alias("dates_text"))
+
+
+def users_datelist_int(v: Views, mode: str = "built") -> DataFrame:
+    uc = facts.dates_backfill(v.v_events, AS_OF)
+    return uc.select("user_id", "date", facts.datelist_int("dates_active", AS_OF, mode=mode)
+                     .alias("datelist_int"))
+
+
+@query("datelist_int")
+def q_datelist_int(spark, sf):
+    return users_datelist_int(Views(spark, sf))
+
+
+@query("datelist_activity")
+def q_datelist_activity(spark, sf):
+    return facts.activity_readout(users_datelist_int(Views(spark, sf)).drop("date"))
+
+
+def site_hits_arrays(v: Views, fill, metric_name=None, first_found=False) -> DataFrame:
+    daily = facts.daily_counts(v.v_events)
+    prev = facts.month_array_backfill(daily, _prev_day(AS_OF), fill=fill, with_first_found=first_found)
+    if metric_name is not None:
+        prev = prev.withColumn("metric_name", F.lit(metric_name))
+    today = daily.where(F.col("date") == F.lit(AS_OF).cast("date"))
+    step = facts.cumulate_month(prev, today, AS_OF, fill=fill, metric_name=metric_name)
+    keys = ["user_id", "month_start"] + (["metric_name"] if metric_name else [])
+    return facts.upsert(prev, step, keys)
+
+
+@query("monthly_array_metrics")
+def q_monthly_array_metrics(spark, sf):
+    out = site_hits_arrays(Views(spark, sf), 0, "site_hits")
+    return out.select("user_id", "month_start", "metric_name",
+                      F.size("metric_array").alias("array_len"),
+                      _long_text("metric_array").alias("metric_text"))
+
+
+def monthly_user_site_hits(v: Views) -> DataFrame:
+    out = site_hits_arrays(v, None, first_found=True)
+    return out.select("user_id", F.col("metric_array").alias("hit_array"), "month_start",
+                      "first_found_date", F.lit(AS_OF).cast("date").alias("date_partition"))
+
+
+@query("monthly_user_site_hits")
+def q_monthly_user_site_hits(spark, sf):
+    out = monthly_user_site_hits(Views(spark, sf))
+    return out.select("user_id", "month_start", "first_found_date", "date_partition",
+                      F.size("hit_array").alias("array_len"), _long_text("hit_array").alias("hit_text"))
+
+
+@query("array_position_sum")
+def q_array_position_sum(spark, sf):
+    hits = monthly_user_site_hits(Views(spark, sf)).where(F.col("date_partition") == F.lit(AS_OF).cast("date"))
+    return facts.position_sums(hits, 3, names=["num_hits_first_day", "num_hits_second_day",
+                                               "num_hits_third_day"])
+
+
+@query("array_metric_to_rows")
+def q_array_metric_to_rows(spark, sf):
+    return facts.array_to_rows(site_hits_arrays(Views(spark, sf), 0, "site_hits"))
+
+
+@query("array_length_profile")
+def q_array_length_profile(spark, sf):
+    hits = monthly_user_site_hits(Views(spark, sf))
+    return (hits.groupBy(F.size("hit_array").alias("array_length"))
+            .agg(F.count(F.lit(1)).alias("num_rows"),
+                 F.count(F.when(F.col("first_found_date") == F.col("month_start"), 1)).alias("from_month_start")))
+
+
+def user_devices_cumulated(v: Views) -> DataFrame:
+    return facts.dates_backfill(_events_devices(v), AS_OF, keys=("user_id", "browser_type"))
+
+
+@query("user_devices_cumulated")
+def q_user_devices_cumulated(spark, sf):
+    out = user_devices_cumulated(Views(spark, sf))
+    return out.select("user_id", "browser_type", "date", F.size("dates_active").alias("num_dates"),
+                      _dates_text().alias("dates_text"))
+
+
+@query("device_datelist_int")
+def q_device_datelist_int(spark, sf):
+    out = user_devices_cumulated(Views(spark, sf))
+    return out.select("user_id", "browser_type", "date",
+                      facts.datelist_int("dates_active", AS_OF).alias("datelist_int"))
+
+
+@query("hosts_cumulated")
+def q_hosts_cumulated(spark, sf):
+    v = Views(spark, sf)
+    prev = facts.dates_backfill(v.v_events, _prev_day(AS_OF), keys=("host",))
+    out = facts.cumulate_dates(prev, v.v_events, AS_OF, keys=("host",))
+    return out.select("host", "date", F.size("dates_active").alias("num_dates"),
+                      _dates_text().alias("dates_text"))
+
+
+@query("host_activity_reduced")
+def q_host_activity_reduced(spark, sf):
+    out = facts.reduced_month_fact(Views(spark, sf).v_events, AS_OF)
+    return out.select("host", "month_start", _long_text("hit_array").alias("hit_text"),
+                      _long_text("unique_visitors").alias("visitors_text"))
