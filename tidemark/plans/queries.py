@@ -232,3 +232,39 @@ def q_host_activity_reduced(spark, sf):
     out = facts.reduced_month_fact(Views(spark, sf).v_events, AS_OF)
     return out.select("host", "month_start", _long_text("hit_array").alias("hit_text"),
                       _long_text("unique_visitors").alias("visitors_text"))
+
+
+# ---- 2.9 growth, retention, funnel --------------------------------------------------------
+
+from ..operators import growth  # noqa: E402
+
+
+def growth_snapshots(v: Views) -> DataFrame:
+    return growth.growth_backfill(v.v_events_thin, AS_OF)
+
+
+@query("growth_accounting")
+def q_growth_accounting(spark, sf):
+    return growth_snapshots(Views(spark, sf)).select(
+        "user_id", "date", "first_active_date", "last_active_date", "daily_active_state",
+        "weekly_active_state", F.size("dates_active").alias("num_dates"))
+
+
+@query("growth_accounting_step")
+def q_growth_accounting_step(spark, sf):
+    v = Views(spark, sf)
+    prev = growth.growth_backfill(v.v_events_thin, _prev_day(AS_OF))
+    prev = prev.where(F.col("date") == F.lit(_prev_day(AS_OF)).cast("date"))
+    out = growth.growth_step(prev, v.v_events_thin, AS_OF)
+    return out.select("user_id", "date", "first_active_date", "last_active_date", "daily_active_state",
+                      "weekly_active_state", F.size("dates_active").alias("num_dates"))
+
+
+@query("retention_curve")
+def q_retention_curve(spark, sf):
+    return growth.retention_curve(growth_snapshots(Views(spark, sf)))
+
+
+@query("funnel_conversion")
+def q_funnel_conversion(spark, sf):
+    return growth.funnel(Views(spark, sf).v_events, min_count=FUNNEL_MIN_COUNT)
