@@ -268,3 +268,98 @@ def q_retention_curve(spark, sf):
 @query("funnel_conversion")
 def q_funnel_conversion(spark, sf):
     return growth.funnel(Views(spark, sf).v_events, min_count=FUNNEL_MIN_COUNT)
+
+
+# ---- 2.4/2.5 reports: grouping sets, windows ---------------------------------------------
+
+from ..functions.exprs import map_referrer  # noqa: E402
+from ..operators import olap  # noqa: E402
+
+
+def _events_augmented(v: Views) -> DataFrame:
+    e = _events_devices(v)
+    return e.select(F.coalesce("os_type", F.lit("unknown")).alias("os_type"),
+                    F.coalesce("device_type", F.lit("unknown")).alias("device_type"),
+                    F.coalesce("browser_type", F.lit("unknown")).alias("browser_type"),
+                    "url", "user_id", "referrer", "event_time")
+
+
+@query("device_hits_dashboard")
+def q_device_hits_dashboard(spark, sf):
+    e = _events_augmented(Views(spark, sf))
+    sets = [["browser_type", "device_type", "os_type"], ["browser_type"], ["os_type"], ["device_type"]]
+    labels = {frozenset(sets[0]): "os_type__device_type__browser", frozenset(["browser_type"]): "browser_type",
+              frozenset(["device_type"]): "device_type", frozenset(["os_type"]): "os_type"}
+    out = olap.labelled_grouping_sets(e, sets, labels, {"number_of_hits": F.count(F.lit(1))})
+    return out.orderBy(F.col("number_of_hits").desc())
+
+
+@query("referrer_groups")
+def q_referrer_groups(spark, sf):
+    e = Views(spark, sf).v_events
+    return (e.groupBy("referrer", map_referrer("referrer").alias("referrer_group"))
+            .agg(F.count(F.lit(1)).alias("num_events")))
+
+
+@query("referrer_daily_counts")
+def q_referrer_daily_counts(spark, sf):
+    return olap.referrer_daily_counts(_events_augmented(Views(spark, sf)))
+
+
+@query("referrer_window_analysis")
+def q_referrer_window_analysis(spark, sf):
+    daily = olap.referrer_daily_counts(_events_augmented(Views(spark, sf)))
+    return olap.referrer_window_analysis(daily, THRESHOLD_TOTAL, prev_lo=-13, prev_hi=-6)
+
+
+def _games_facts(v: Views) -> DataFrame:
+    gd = v.v_game_details_dedup
+    g = v.v_games.select("game_id", "game_date", "season", "winner_team_id")
+    return gd.join(g, "game_id")
+
+
+GAME_SETS = {"player_team": ["player_name", "team_abbreviation"],
+             "player_season": ["player_name", "season"],
+             "team": ["team_abbreviation"]}
+
+
+def game_grouping_sets(v: Views) -> DataFrame:
+    f = _games_facts(v)
+    won = F.when(F.col("team_id") == F.col("winner_team_id"), F.col("game_id"))
+    labels = {frozenset(s): n for n, s in GAME_SETS.items()}
+    return olap.labelled_grouping_sets(
+        f, list(GAME_SETS.values()), labels,
+        {"total_pts": F.sum("pts"), "num_games": F.count_distinct("game_id"),
+         "games_won": F.count_distinct(won)})
+
+
+@query("game_grouping_sets")
+def q_game_grouping_sets(spark, sf):
+    return game_grouping_sets(Views(spark, sf))
+
+
+@query("game_grouping_top")
+def q_game_grouping_top(spark, sf):
+    g = game_grouping_sets(Views(spark, sf))
+    keys = ["player_name", "team_abbreviation", "season"]
+    by_pts = olap.top_per_group(g, ["aggregation_level"], ["total_pts"], keys, prefix="pts_")
+    by_won = olap.top_per_group(g, ["aggregation_level"], ["games_won"], keys, prefix="won_")
+    return by_pts.join(by_won, "aggregation_level")
+
+
+@query("team_90_game_wins")
+def q_team_90_game_wins(spark, sf):
+    f = _games_facts(Views(spark, sf))
+    team_games = (f.select("team_id", "game_id", "game_date",
+                           (F.col("team_id") == F.col("winner_team_id")).cast("long").alias("won"))
+                  .distinct())
+    return olap.max_stretch_sum(team_games, ["team_id"], "game_date", "game_id", "won", 90,
+                                out="max_wins_90_games")
+
+
+@query("longest_streak")
+def q_longest_streak(spark, sf):
+    from ..operators.windows import longest_run
+    f = _games_facts(Views(spark, sf))
+    return longest_run(f, ["player_id"], ["game_date", "game_id"], F.col("pts") > 10,
+                       out="longest_streak_over_10")
