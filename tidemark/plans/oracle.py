@@ -499,3 +499,201 @@ SELECT player_id, CAST(COALESCE(MAX(len), 0) AS BIGINT) AS longest_streak_over_1
     FROM (SELECT player_id, game_date, game_id, COALESCE(pts > 10, FALSE) AS ok FROM game_facts))
   GROUP BY player_id, island)
 GROUP BY player_id""", [GAME_FACTS])
+
+
+# ---- graph --------------------------------------------------------------------------------
+
+ORACLE["team_vertices"] = with_views(["v_teams"], """
+SELECT team_id AS identifier, 'team' AS type,
+       CAST(json_object('abbreviation', abbreviation, 'nickname', nickname, 'city', city, 'arena', arena,
+                        'year_founded', CAST(yearfounded AS VARCHAR)) AS VARCHAR) AS properties
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY team_id ORDER BY nickname DESC) AS row_num FROM v_teams)
+WHERE row_num = 1""")
+
+ORACLE["player_game_edges"] = with_views(["v_game_details_dedup"], """
+SELECT CAST(player_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type,
+       CAST(game_id AS VARCHAR) AS object_identifier, 'game' AS object_type, 'plays_in' AS edge_type,
+       CAST(json_object('start_position', start_position, 'pts', pts, 'team_id', team_id,
+                        'team_abbreviation', team_abbreviation) AS VARCHAR) AS properties
+FROM v_game_details_dedup""")
+
+ORACLE["player_player_edges"] = with_views(["v_game_details_dedup"], """
+SELECT f1.player_id AS subject_identifier, f1.player_name AS subject_name,
+       f2.player_id AS object_identifier, f2.player_name AS object_name,
+       CASE WHEN f1.team_abbreviation = f2.team_abbreviation THEN 'shares_team' ELSE 'plays_against' END
+         AS edge_type,
+       COUNT(1) AS num_games, SUM(f1.pts) AS subject_points, SUM(f2.pts) AS object_points
+FROM v_game_details_dedup f1 JOIN v_game_details_dedup f2
+  ON f1.game_id = f2.game_id AND f1.player_name <> f2.player_name
+WHERE f1.player_id > f2.player_id
+GROUP BY 1, 2, 3, 4, 5""")
+
+ORACLE["player_vertices"] = with_views(["v_game_details_dedup"], """
+SELECT player_id AS identifier, 'player' AS type,
+       CAST(json_object('player_name', player_name, 'number_of_games', CAST(n AS VARCHAR),
+            'total_points', CAST(p AS VARCHAR), 'teams', teams) AS VARCHAR) AS properties
+FROM (SELECT player_id, MAX(player_name) AS player_name, COUNT(1) AS n, SUM(pts) AS p,
+             array_to_string(list_sort(list(DISTINCT team_abbreviation)), ',') AS teams
+      FROM v_game_details_dedup GROUP BY player_id)""")
+
+ORACLE["game_vertices"] = with_views(["v_games"], """
+SELECT game_id AS identifier, 'game' AS type,
+       CAST(json_object('game_date', CAST(game_date AS VARCHAR), 'season', CAST(season AS VARCHAR),
+            'winning_team', CAST(winner_team_id AS VARCHAR)) AS VARCHAR) AS properties
+FROM v_games""")
+
+ORACLE["plays_on_edges"] = with_views(["v_game_details_dedup"], """
+SELECT CAST(player_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type,
+       CAST(team_id AS VARCHAR) AS object_identifier, 'team' AS object_type, 'plays_on' AS edge_type,
+       CAST(json_object('num_games', COUNT(1), 'total_points', SUM(pts)) AS VARCHAR) AS properties
+FROM v_game_details_dedup GROUP BY player_id, team_id""")
+
+# ---- joins --------------------------------------------------------------------------------
+
+_EV = "e.event_id, e.user_id, e.url, e.host, e.device_id, e.event_time, d.browser_type, d.os_type, d.device_type"
+ORACLE["event_device_join"] = with_views(["v_events", "v_devices"], f"""
+SELECT {_EV} FROM v_events e JOIN v_devices d ON e.device_id = d.device_id""")
+ORACLE["event_device_left"] = with_views(["v_events", "v_devices"], f"""
+SELECT {_EV} FROM v_events e LEFT JOIN v_devices d ON e.device_id = d.device_id""")
+
+ORACLE["new_entities"] = with_views(["v_player_seasons"], """
+SELECT ts.player_name, ts.season FROM v_player_seasons ts
+LEFT JOIN v_player_seasons ls ON ls.player_name = ts.player_name AND ls.season = ts.season - 1
+WHERE ls.player_name IS NULL""")
+
+ORACLE["entity_period_grid"] = with_views(["v_player_seasons"], """
+SELECT p.player_name, y.season FROM
+  (SELECT player_name, MIN(season) AS first_season FROM v_player_seasons GROUP BY player_name) p
+JOIN (SELECT CAST(s AS INTEGER) AS season FROM generate_series(
+        (SELECT MIN(season) FROM v_player_seasons), (SELECT MAX(season) FROM v_player_seasons)) t(s)) y
+  ON p.first_season <= y.season""")
+
+ORACLE["geo_enrich"] = with_views(["v_web_events", "v_geo_ranges"], """
+SELECT w.event_id, w.ip, w.event_time, w.referrer, w.host, w.url,
+       CASE WHEN g.lo IS NOT NULL THEN CAST(json_object('country', g.country, 'state', g.state,
+            'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
+FROM v_web_events w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""")
+
+ORACLE["broadcast_map_medal"] = with_views(["v_medals_matches_players", "v_medals", "v_matches", "v_maps"], """
+SELECT mmp.match_id, mmp.player_gamertag, mmp.medal_id, md.name AS medal_name, mmp.count,
+       m.mapid, mp.name AS map_name
+FROM v_medals_matches_players mmp JOIN v_medals md ON mmp.medal_id = md.medal_id
+JOIN v_matches m ON mmp.match_id = m.match_id JOIN v_maps mp ON m.mapid = mp.mapid""")
+
+ORACLE["bucket_join"] = with_views(["v_match_details", "v_matches", "v_medals_matches_players"], """
+SELECT md.match_id, md.player_gamertag, md.player_total_kills, m.playlist_id, m.mapid,
+       CAST(COALESCE(x.c, 0) AS BIGINT) AS medal_count
+FROM v_match_details md JOIN v_matches m ON md.match_id = m.match_id
+LEFT JOIN (SELECT match_id, player_gamertag, SUM(count) AS c FROM v_medals_matches_players GROUP BY 1, 2) x
+  ON x.match_id = md.match_id AND x.player_gamertag = md.player_gamertag""")
+
+ORACLE["match_top_player"] = with_views(["v_match_details", "v_matches"], """
+SELECT md.player_gamertag, SUM(md.player_total_kills) / COUNT(DISTINCT md.match_id) AS avg_kills_per_game
+FROM v_match_details md JOIN v_matches m ON md.match_id = m.match_id
+GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 1""")
+
+ORACLE["match_top_playlist"] = with_views(["v_matches"], """
+SELECT playlist_id, COUNT(DISTINCT match_id) AS num_matches FROM v_matches GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 1""")
+
+ORACLE["match_top_map"] = with_views(["v_matches", "v_maps"], """
+SELECT m.mapid, COUNT(DISTINCT m.match_id) AS num_matches, MAX(mp.name) AS map_name
+FROM v_matches m JOIN v_maps mp ON m.mapid = mp.mapid GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 1""")
+
+ORACLE["match_top_medal_map"] = with_views(["v_medals_matches_players", "v_matches", "v_medals", "v_maps"], """
+SELECT t.medal_id, md.name AS medal_name, t.mapid, mp.name AS map_name, t.num_medals FROM (
+  SELECT medal_id, mapid, num_medals, ROW_NUMBER() OVER (PARTITION BY medal_id
+         ORDER BY num_medals DESC, mapid DESC) AS rn
+  FROM (SELECT mmp.medal_id, m.mapid, CAST(SUM(mmp.count) AS BIGINT) AS num_medals
+        FROM v_medals_matches_players mmp JOIN v_matches m ON mmp.match_id = m.match_id GROUP BY 1, 2)) t
+JOIN v_medals md ON t.medal_id = md.medal_id JOIN v_maps mp ON t.mapid = mp.mapid
+WHERE t.rn = 1""")
+
+# ---- misc ---------------------------------------------------------------------------------
+
+ORACLE["entity_static"] = with_views(["v_player_seasons"], """
+SELECT player_name, MIN(season) AS first_season, MAX(season) AS last_season, COUNT(1) AS num_seasons,
+       MAX(weight) AS weight, MAX(country) AS country, MAX(college) AS college
+FROM v_player_seasons GROUP BY player_name""")
+
+_EVENTS_AGG = ("events_aggregated", """SELECT user_id, device_id, COUNT(1) AS event_counts
+    FROM v_events WHERE user_id IS NOT NULL GROUP BY 1, 2""")
+
+ORACLE["user_device_rollup"] = with_views(["v_events"], """
+SELECT user_id, MAX(event_counts) AS total_hits, COUNT(1) AS num_devices,
+       array_to_string(list_sort(list(CAST(device_id AS VARCHAR))), ',') AS devices
+FROM events_aggregated GROUP BY user_id""", [_EVENTS_AGG])
+
+ORACLE["device_user_rollup"] = with_views(["v_events", "v_devices"], """
+SELECT d.device_id, d.device_type, COUNT(1) AS num_users,
+       array_to_string(list_sort(list(CAST(a.user_id AS VARCHAR))), ',') AS users
+FROM v_devices d JOIN events_aggregated a ON d.device_id = a.device_id GROUP BY 1, 2""", [_EVENTS_AGG])
+
+ORACLE["dedup_events"] = with_views(["v_events"], """
+SELECT url, host, user_id, event_time FROM v_events GROUP BY 1, 2, 3, 4""")
+
+ORACLE["dedup_game_details"] = with_views(["v_game_details_dedup"], """
+SELECT game_id, player_id, player_name, team_id, team_abbreviation, start_position, pts, l_linenumber
+FROM v_game_details_dedup""")
+
+ORACLE["duplicate_keys"] = with_views(["v_game_details"], """
+SELECT player_id, game_id, COUNT(1) AS num_rows FROM v_game_details GROUP BY 1, 2 HAVING COUNT(1) > 1""")
+
+ORACLE["scoring_class"] = with_views(["v_player_seasons"], f"""
+SELECT player_name, season, pts, {_class_sql('pts')} AS scoring_class FROM v_player_seasons""")
+
+
+def _quality_sql(x: str) -> str:
+    return (f"CASE WHEN {x} > 8 THEN 'star' WHEN {x} > 7 THEN 'good' "
+            f"WHEN {x} > 6 THEN 'average' ELSE 'bad' END")
+
+
+ORACLE["quality_class"] = with_views(["v_actor_films"], f"""
+SELECT actorid, year AS last_year, avg_rating AS last_year_avg_rating, {_quality_sql('avg_rating')} AS quality_class
+FROM (SELECT actorid, year, AVG(rating) AS avg_rating,
+             ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY year DESC) AS rn
+      FROM v_actor_films GROUP BY actorid, year) WHERE rn = 1""")
+
+ORACLE["first_last_ratio"] = with_views(["v_player_seasons"], f"""
+SELECT player_name, seasons[-1].pts / CASE WHEN seasons[1].pts = 0 THEN 1 ELSE seasons[1].pts END
+         AS ratio_most_recent_to_first
+FROM players WHERE current_season = {STEP_SEASON}""", players_ctes())
+
+ORACLE["unnest_history"] = with_views(["v_player_seasons"], """
+SELECT player_name, s.season, s.gp, s.pts, s.ast, s.reb
+FROM (SELECT player_name, UNNEST(seasons) AS s FROM players
+      WHERE current_season = (SELECT MAX(season) FROM v_player_seasons))""", players_ctes())
+
+ACTOR_YEAR = 2000
+ORACLE["actor_cumulative"] = with_views(["v_actor_films"], f"""
+SELECT COALESCE(p.actorid, c.actorid) AS actorid, COALESCE(p.actor, c.actor) AS actor,
+       {ACTOR_YEAR} AS current_year,
+       CASE WHEN c.actorid IS NOT NULL THEN {_quality_sql('c.r')} ELSE pc.quality_class END AS quality_class,
+       c.actorid IS NOT NULL AS is_active,
+       CAST(COALESCE(p.n, 0) + COALESCE(c.n, 0) AS INTEGER) AS num_films,
+       CAST(COALESCE(p.v, 0) + COALESCE(c.v, 0) AS BIGINT) AS total_votes
+FROM (SELECT actorid, MAX(actor) AS actor, COUNT(*) AS n, SUM(votes) AS v FROM v_actor_films
+      WHERE year <= {ACTOR_YEAR - 1} GROUP BY actorid) p
+LEFT JOIN (SELECT actorid, {_quality_sql('r')} AS quality_class FROM (
+      SELECT actorid, year, AVG(rating) AS r, ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY year DESC) AS rn
+      FROM v_actor_films WHERE year <= {ACTOR_YEAR - 1} GROUP BY actorid, year) WHERE rn = 1) pc
+  ON pc.actorid = p.actorid
+FULL OUTER JOIN (SELECT actorid, MAX(actor) AS actor, COUNT(*) AS n, SUM(votes) AS v, AVG(rating) AS r
+      FROM v_actor_films WHERE year = {ACTOR_YEAR} GROUP BY actorid) c ON p.actorid = c.actorid""")
+
+ORACLE["actor_scd"] = with_views(["v_actor_films"], f"""
+SELECT actorid, quality_class, is_active, MIN(current_year) AS start_date, MAX(current_year) AS end_date
+FROM (SELECT *, SUM(CASE WHEN did_change THEN 1 ELSE 0 END) OVER (PARTITION BY actorid ORDER BY current_year) AS streak
+      FROM (SELECT *, (LAG(quality_class) OVER w IS DISTINCT FROM quality_class)
+                   OR (LAG(is_active) OVER w IS DISTINCT FROM is_active) OR ROW_NUMBER() OVER w = 1 AS did_change
+            FROM actors WINDOW w AS (PARTITION BY actorid ORDER BY current_year)))
+GROUP BY actorid, quality_class, is_active, streak""", [
+    ("per_year", f"""SELECT actorid, year, AVG(rating) AS r FROM v_actor_films WHERE year <= {ACTOR_YEAR}
+                    GROUP BY 1, 2"""),
+    ("agrid", f"""SELECT a.actorid, CAST(g AS INTEGER) AS current_year FROM
+                 (SELECT actorid, MIN(year) AS fy FROM per_year GROUP BY 1) a, generate_series(a.fy, {ACTOR_YEAR}) t(g)"""),
+    ("amarked", """SELECT g.actorid, g.current_year, p.year IS NOT NULL AS is_active,
+                  MAX(p.year) OVER (PARTITION BY g.actorid ORDER BY g.current_year ROWS UNBOUNDED PRECEDING) AS ly
+                  FROM agrid g LEFT JOIN per_year p ON p.actorid = g.actorid AND p.year = g.current_year"""),
+    ("actors", f"""SELECT m.actorid, m.current_year, m.is_active, {_quality_sql('p.r')} AS quality_class
+                  FROM amarked m JOIN per_year p ON p.actorid = m.actorid AND p.year = m.ly"""),
+])

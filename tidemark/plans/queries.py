@@ -363,3 +363,307 @@ def q_longest_streak(spark, sf):
     f = _games_facts(Views(spark, sf))
     return longest_run(f, ["player_id"], ["game_date", "game_id"], F.col("pts") > 10,
                        out="longest_streak_over_10")
+
+
+# ---- 2.10 graph ---------------------------------------------------------------------------
+
+from ..operators import graph  # noqa: E402
+
+
+def _json_props(df: DataFrame, col: str = "properties") -> DataFrame:
+    return df.withColumn(col, F.to_json(F.col(col)))
+
+
+@query("team_vertices")
+def q_team_vertices(spark, sf):
+    t = Views(spark, sf).v_teams
+    props = [("abbreviation", F.col("abbreviation")), ("nickname", F.col("nickname")),
+             ("city", F.col("city")), ("arena", F.col("arena")), ("year_founded", F.col("yearfounded"))]
+    return _json_props(graph.vertices(t, "team_id", "team", props, order=[F.col("nickname").desc()]))
+
+
+@query("player_game_edges")
+def q_player_game_edges(spark, sf):
+    gd = Views(spark, sf).v_game_details_dedup
+    return graph.edges(gd, "player_id", "player", "game_id", "game", "plays_in",
+                       [("start_position", F.col("start_position")), ("pts", F.col("pts")),
+                        ("team_id", F.col("team_id")), ("team_abbreviation", F.col("team_abbreviation"))])
+
+
+@query("player_player_edges")
+def q_player_player_edges(spark, sf):
+    gd = Views(spark, sf).v_game_details_dedup
+    return graph.co_occurrence_edges(gd, "game_id", "player_id", "player_name", "team_abbreviation",
+                                     "pts", "shares_team", "plays_against")
+
+
+@query("player_vertices")
+def q_player_vertices(spark, sf):
+    gd = Views(spark, sf).v_game_details_dedup
+    per = gd.groupBy("player_id").agg(
+        F.max("player_name").alias("player_name"), F.count(F.lit(1)).alias("number_of_games"),
+        F.sum("pts").alias("total_points"),
+        F.array_join(F.array_sort(F.collect_set("team_abbreviation")), ",").alias("teams"))
+    props = [(c, F.col(c)) for c in ("player_name", "number_of_games", "total_points", "teams")]
+    return _json_props(graph.vertices(per, "player_id", "player", props))
+
+
+@query("game_vertices")
+def q_game_vertices(spark, sf):
+    g = Views(spark, sf).v_games
+    props = [("game_date", F.col("game_date")), ("season", F.col("season")),
+             ("winning_team", F.col("winner_team_id"))]
+    return _json_props(graph.vertices(g, "game_id", "game", props))
+
+
+@query("plays_on_edges")
+def q_plays_on_edges(spark, sf):
+    gd = Views(spark, sf).v_game_details_dedup
+    per = gd.groupBy("player_id", "team_id").agg(F.count(F.lit(1)).alias("num_games"),
+                                                 F.sum("pts").alias("total_points"))
+    return graph.edges(per, "player_id", "player", "team_id", "team", "plays_on",
+                       [("num_games", F.col("num_games")), ("total_points", F.col("total_points"))])
+
+
+# ---- 2.3 joins ----------------------------------------------------------------------------
+
+from ..operators import joins  # noqa: E402
+
+EVENT_COLS = ["event_id", "user_id", "url", "host", "device_id", "event_time"]
+DEVICE_COLS = ["browser_type", "os_type", "device_type"]
+
+
+@query("event_device_join")
+def q_event_device_join(spark, sf):
+    v = Views(spark, sf)
+    return v.v_events.select(*EVENT_COLS).join(v.v_devices, "device_id").select(*EVENT_COLS, *DEVICE_COLS)
+
+
+@query("event_device_left")
+def q_event_device_left(spark, sf):
+    v = Views(spark, sf)
+    return (v.v_events.select(*EVENT_COLS).join(v.v_devices, "device_id", "left")
+            .select(*EVENT_COLS, *DEVICE_COLS))
+
+
+@query("new_entities")
+def q_new_entities(spark, sf):
+    ps = Views(spark, sf).v_player_seasons.select("player_name", "season")
+    prev = ps.select("player_name", (F.col("season") + 1).alias("season"))
+    return ps.join(prev, ["player_name", "season"], "left_anti")
+
+
+@query("entity_period_grid")
+def q_entity_period_grid(spark, sf):
+    v = Views(spark, sf)
+    first = v.v_player_seasons.groupBy("player_name").agg(F.min("season").alias("first_season"))
+    return first.select("player_name", F.explode(F.sequence("first_season", _max_season(v))).alias("season"))
+
+
+@query("geo_enrich")
+def q_geo_enrich(spark, sf):
+    v = Views(spark, sf)
+    return geo_enrich(v.v_web_events, v.v_geo_ranges)
+
+
+def geo_enrich(web_events: DataFrame, ranges: DataFrame, block: int = 1000) -> DataFrame:
+    j = joins.range_join(web_events, ranges, "ip", "lo", "hi", block)
+    geo = F.when(F.col("lo").isNotNull(),
+                 F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
+    return j.select("event_id", "ip", "event_time", "referrer", "host", "url", geo.alias("geodata"))
+
+
+def _medals(v: Views) -> DataFrame:
+    return v.v_medals.select("medal_id", F.col("name").alias("medal_name"))
+
+
+def _maps(v: Views) -> DataFrame:
+    return v.v_maps.select("mapid", F.col("name").alias("map_name"))
+
+
+@query("broadcast_map_medal")
+def q_broadcast_map_medal(spark, sf):
+    v = Views(spark, sf)
+    mmp = v.v_medals_matches_players
+    m = v.v_matches.select("match_id", "mapid")
+    return (mmp.join(joins.broadcast_checked(_medals(v)), "medal_id")
+            .join(m, "match_id")
+            .join(joins.broadcast_checked(_maps(v)), "mapid")
+            .select("match_id", "player_gamertag", "medal_id", "medal_name", "count", "mapid", "map_name"))
+
+
+def bucketed_match_tables(spark, v: Views, n: int = 16) -> dict[str, DataFrame]:
+    return joins.bucketed_tables(spark, {"match_details": v.v_match_details, "matches": v.v_matches,
+                                         "medals_matches_players": v.v_medals_matches_players},
+                                 n, ["match_id"], tag="b16")
+
+
+def bucket_join(t: dict[str, DataFrame]) -> DataFrame:
+    """Three tables bucketed on match_id joined without any shuffle: medals are
+    gathered per match (a group-by on the bucket column, no exchange), then the
+    sort-merge joins on match_id use the bucket layout."""
+    md, m, mmp = t["match_details"], t["matches"], t["medals_matches_players"]
+    medals = mmp.groupBy("match_id").agg(F.collect_list(F.struct("player_gamertag", "count")).alias("__md"))
+    j = (md.join(m.hint("merge"), "match_id").join(medals.hint("merge"), "match_id", "left"))
+    mine = F.filter(F.coalesce(F.col("__md"), F.array()), lambda x: x["player_gamertag"] == F.col("player_gamertag"))
+    return j.select("match_id", "player_gamertag", "player_total_kills", "playlist_id", "mapid",
+                    F.aggregate(mine, F.lit(0).cast("long"), lambda acc, x: acc + x["count"]).alias("medal_count"))
+
+
+@query("bucket_join")
+def q_bucket_join(spark, sf):
+    return bucket_join(bucketed_match_tables(spark, Views(spark, sf)))
+
+
+# ---- 2.4 match questions (A16) ------------------------------------------------------------
+
+def _match_facts(v: Views) -> DataFrame:
+    return v.v_match_details.join(v.v_matches, "match_id")
+
+
+@query("match_top_player")
+def q_match_top_player(spark, sf):
+    f = _match_facts(Views(spark, sf))
+    per = f.groupBy("player_gamertag").agg(
+        (F.sum("player_total_kills") / F.count_distinct("match_id")).alias("avg_kills_per_game"))
+    return per.orderBy(F.col("avg_kills_per_game").desc(), F.col("player_gamertag").desc()).limit(1)
+
+
+@query("match_top_playlist")
+def q_match_top_playlist(spark, sf):
+    m = Views(spark, sf).v_matches
+    per = m.groupBy("playlist_id").agg(F.count_distinct("match_id").alias("num_matches"))
+    return per.orderBy(F.col("num_matches").desc(), F.col("playlist_id").desc()).limit(1)
+
+
+@query("match_top_map")
+def q_match_top_map(spark, sf):
+    v = Views(spark, sf)
+    per = v.v_matches.groupBy("mapid").agg(F.count_distinct("match_id").alias("num_matches"))
+    per = per.join(joins.broadcast_checked(_maps(v)), "mapid")
+    return per.orderBy(F.col("num_matches").desc(), F.col("mapid").desc()).limit(1)
+
+
+@query("match_top_medal_map")
+def q_match_top_medal_map(spark, sf):
+    v = Views(spark, sf)
+    mm = v.v_medals_matches_players.join(v.v_matches.select("match_id", "mapid"), "match_id")
+    per = mm.groupBy("medal_id", "mapid").agg(F.sum("count").alias("num_medals"))
+    top = olap.top_per_group(per, ["medal_id"], ["num_medals"], ["mapid"], prefix="")
+    return (top.join(joins.broadcast_checked(_medals(v)), "medal_id")
+            .join(joins.broadcast_checked(_maps(v)), "mapid")
+            .select("medal_id", "medal_name", "mapid", "map_name", "num_medals"))
+
+
+# ---- misc aggregations, windows, arrays, quality ------------------------------------------
+
+@query("entity_static")
+def q_entity_static(spark, sf):
+    ps = Views(spark, sf).v_player_seasons
+    return ps.groupBy("player_name").agg(
+        F.min("season").alias("first_season"), F.max("season").alias("last_season"),
+        F.count(F.lit(1)).alias("num_seasons"), F.max("weight").alias("weight"),
+        F.max("country").alias("country"), F.max("college").alias("college"))
+
+
+def events_aggregated(v: Views) -> DataFrame:
+    e = v.v_events.where(F.col("user_id").isNotNull())
+    return e.groupBy("user_id", "device_id").agg(
+        F.count(F.lit(1)).alias("event_counts"),
+        F.array_sort(F.collect_set("host")).alias("host_array"))
+
+
+@query("user_device_rollup")
+def q_user_device_rollup(spark, sf):
+    agg = events_aggregated(Views(spark, sf))
+    return agg.groupBy("user_id").agg(
+        F.max("event_counts").alias("total_hits"), F.count(F.lit(1)).alias("num_devices"),
+        F.array_join(F.array_sort(F.collect_list(F.col("device_id").cast("string"))), ",").alias("devices"))
+
+
+@query("device_user_rollup")
+def q_device_user_rollup(spark, sf):
+    v = Views(spark, sf)
+    agg = events_aggregated(v)
+    j = v.v_devices.join(agg, "device_id")
+    return j.groupBy("device_id", "device_type").agg(
+        F.count(F.lit(1)).alias("num_users"),
+        F.array_join(F.array_sort(F.collect_list(F.col("user_id").cast("string"))), ",").alias("users"))
+
+
+@query("dedup_events")
+def q_dedup_events(spark, sf):
+    return Views(spark, sf).v_events.select("url", "host", "user_id", "event_time").distinct()
+
+
+@query("dedup_game_details")
+def q_dedup_game_details(spark, sf):
+    return Views(spark, sf).v_game_details_dedup.select(
+        "game_id", "player_id", "player_name", "team_id", "team_abbreviation", "start_position", "pts",
+        "l_linenumber")
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf):
+    from ..operators.quality import duplicate_keys
+    return duplicate_keys(Views(spark, sf).v_game_details, ["player_id", "game_id"])
+
+
+@query("scoring_class")
+def q_scoring_class(spark, sf):
+    from ..functions.exprs import scoring_class
+    ps = Views(spark, sf).v_player_seasons
+    return ps.select("player_name", "season", "pts", scoring_class("pts").alias("scoring_class"))
+
+
+@query("quality_class")
+def q_quality_class(spark, sf):
+    from ..functions.exprs import quality_class
+    f = Views(spark, sf).v_actor_films
+    return dims.latest_films_class(f, "actorid", "year", "rating", quality_class)
+
+
+@query("first_last_ratio")
+def q_first_last_ratio(spark, sf):
+    from ..functions.exprs import first_elem, guarded_ratio, last_elem
+    p = players_backfill(Views(spark, sf)).where(F.col("current_season") == STEP_SEASON)
+    return p.select("player_name", guarded_ratio(last_elem("seasons")["pts"], first_elem("seasons")["pts"])
+                    .alias("ratio_most_recent_to_first"))
+
+
+@query("unnest_history")
+def q_unnest_history(spark, sf):
+    v = Views(spark, sf)
+    p = players_backfill(v).where(F.col("current_season") == _max_season(v))
+    return p.select("player_name", F.inline("seasons"))
+
+
+ACTOR_YEAR = 2000
+
+
+def actors_backfill(v: Views, last: int | None = None) -> DataFrame:
+    f = v.v_actor_films
+    if last is not None:
+        f = f.where(F.col("year") <= last)
+    return dims.backfill_actors(f, last if last is not None else ACTOR_YEAR)
+
+
+def _flat_actors(df: DataFrame) -> DataFrame:
+    return df.select("actorid", "actor", "current_year", "quality_class", "is_active",
+                     F.size("films").alias("num_films"),
+                     F.aggregate("films", F.lit(0).cast("long"), lambda a, x: a + x["votes"]).alias("total_votes"))
+
+
+@query("actor_cumulative")
+def q_actor_cumulative(spark, sf):
+    v = Views(spark, sf)
+    prev = actors_backfill(v, ACTOR_YEAR - 1).where(F.col("current_year") == ACTOR_YEAR - 1)
+    films = v.v_actor_films.where(F.col("year") == ACTOR_YEAR)
+    return _flat_actors(dims.cumulate_actors(prev, films, ACTOR_YEAR))
+
+
+@query("actor_scd")
+def q_actor_scd(spark, sf):
+    a = actors_backfill(Views(spark, sf))
+    return dims.scd2_backfill(a, key=("actorid",), period="current_year",
+                              attrs=("quality_class", "is_active"))
