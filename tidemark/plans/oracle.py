@@ -697,3 +697,40 @@ GROUP BY actorid, quality_class, is_active, streak""", [
     ("actors", f"""SELECT m.actorid, m.current_year, m.is_active, {_quality_sql('p.r')} AS quality_class
                   FROM amarked m JOIN per_year p ON p.actorid = m.actorid AND p.year = m.ly"""),
 ])
+
+
+# ---- streams (checked against the batch answer) -------------------------------------------
+
+_WE_TS = ("we", """SELECT *, strptime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS ts FROM v_web_events""")
+
+ORACLE["stream_tumbling_host"] = with_views(["v_web_events"], """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, host, COUNT(host) AS num_hits
+FROM we GROUP BY 1, 2""", [_WE_TS])
+
+ORACLE["stream_tumbling_host_referrer"] = with_views(["v_web_events"], """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, host, referrer, COUNT(host) AS num_hits
+FROM we GROUP BY 1, 2, 3""", [_WE_TS])
+
+# late copies of the first slice are behind the watermark and dropped: the
+# answer is the tumbling count of the events sent once
+ORACLE["stream_late_drop"] = ORACLE["stream_tumbling_host"]
+
+_SESSIONS = ("sessions", """
+SELECT ip, host, MIN(ts) AS session_start, MAX(ts) + INTERVAL 5 MINUTE AS session_end,
+       COUNT(1) AS num_events
+FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 5 MINUTE THEN 1 ELSE 0 END)
+               OVER (PARTITION BY ip, host ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+      FROM (SELECT ip, host, ts, LAG(ts) OVER (PARTITION BY ip, host ORDER BY ts) AS prev FROM we))
+GROUP BY ip, host, sid""")
+
+ORACLE["sessionize"] = with_views(["v_web_events"], "SELECT * FROM sessions", [_WE_TS, _SESSIONS])
+
+ORACLE["session_avg_by_host"] = with_views(["v_web_events"], """
+SELECT host, AVG(num_events) AS avg_events_per_session, COUNT(1) AS num_sessions
+FROM sessions GROUP BY host""", [_WE_TS, _SESSIONS])
+
+ORACLE["stream_geo_enrich"] = with_views(["v_web_events", "v_geo_ranges"], """
+SELECT w.event_id, w.ip, w.ts AS event_timestamp, w.referrer, w.host, w.url,
+       CASE WHEN g.lo IS NOT NULL THEN CAST(json_object('country', g.country, 'state', g.state,
+            'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
+FROM we w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""", [_WE_TS])

@@ -667,3 +667,103 @@ def q_actor_scd(spark, sf):
     a = actors_backfill(Views(spark, sf))
     return dims.scd2_backfill(a, key=("actorid",), period="current_year",
                               attrs=("quality_class", "is_active"))
+
+
+# ---- 2.11 streams -------------------------------------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..streaming import streams as S  # noqa: E402
+
+# Arrival order of the staged web-event files (event-time text boundaries).
+STREAM_SLICES = ["2024-01-11T00:00:00.000Z", "2024-01-21T00:00:00.000Z"]
+SENTINEL_HOST = "__end_of_stream__"
+
+
+def run_event_stream(spark: SparkSession, v: Views, build, output_mode: str,
+                     late_copy: bool = False, sentinel: bool = False) -> DataFrame:
+    """Stage ``v_web_events`` as files arriving in event-time order (one append
+    per slice), and after each arrival run ``build(stream)`` to completion with
+    the same checkpoint. ``late_copy`` re-sends the first slice inside the last
+    one (late data); ``sentinel`` appends one far-future event so the watermark
+    closes every open window/session. Returns the sink's change log."""
+    base = scratch_path(spark, "stream")
+    src, ck, out = f"{base}/in", f"{base}/checkpoint", f"{base}/out"
+    we = v.v_web_events
+    t = F.col("event_time")
+    bounds = [None, *STREAM_SLICES, None]
+    parts = []
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= lo)
+        if hi is not None:
+            cond = cond & (t < hi)
+        parts.append(we.where(cond))
+    if late_copy:
+        parts[-1] = parts[-1].unionByName(parts[0])
+    if sentinel:
+        end = spark.range(1).select(F.lit(None).cast("long").alias("event_id"),
+                                    F.lit(None).cast("long").alias("ip"),
+                                    F.lit("2999-01-01T00:00:00.000Z").alias("event_time"),
+                                    F.lit(None).cast("string").alias("referrer"),
+                                    F.lit(SENTINEL_HOST).alias("host"),
+                                    F.lit(None).cast("string").alias("url"))
+        parts.append(end)
+    for p in parts:
+        p.write.mode("append").parquet(src)
+        stream = S.parse_event_time(S.read_stream(spark, "parquet", S.WEB_EVENT_SCHEMA, src))
+        S.run_available_now(build(stream), ck, output_mode, S.foreach_batch_changelog(out))
+    return spark.read.parquet(out)
+
+
+def _tumbling(spark, sf, keys, late=False):
+    v = Views(spark, sf)
+    log = run_event_stream(spark, v, lambda s: S.tumbling_counts(s, keys), "update", late_copy=late)
+    return S.latest_per_key(log, ["window_start", *keys])
+
+
+@query("stream_tumbling_host")
+def q_stream_tumbling_host(spark, sf):
+    return _tumbling(spark, sf, ["host"])
+
+
+@query("stream_tumbling_host_referrer")
+def q_stream_tumbling_host_referrer(spark, sf):
+    return _tumbling(spark, sf, ["host", "referrer"])
+
+
+@query("stream_late_drop")
+def q_stream_late_drop(spark, sf):
+    return _tumbling(spark, sf, ["host"], late=True)
+
+
+def stream_sessions(spark, v: Views) -> DataFrame:
+    log = run_event_stream(spark, v, lambda s: S.sessionize(s, ["ip", "host"]), "append", sentinel=True)
+    return log.where(F.col("host").isNull() | (F.col("host") != SENTINEL_HOST)).drop("batch_id")
+
+
+@query("sessionize")
+def q_sessionize(spark, sf):
+    return stream_sessions(spark, Views(spark, sf))
+
+
+@query("session_avg_by_host")
+def q_session_avg_by_host(spark, sf):
+    s = stream_sessions(spark, Views(spark, sf))
+    return s.groupBy("host").agg(F.avg("num_events").alias("avg_events_per_session"),
+                                 F.count(F.lit(1)).alias("num_sessions"))
+
+
+@query("stream_geo_enrich")
+def q_stream_geo_enrich(spark, sf):
+    v = Views(spark, sf)
+    ranges = v.v_geo_ranges
+
+    def build(s):
+        j = joins.range_join(s, ranges, "ip", "lo", "hi", 1000)
+        geo = F.when(F.col("lo").isNotNull(),
+                     F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
+        return j.select("event_id", "ip", S.utc_ts_to_ntz("event_timestamp").alias("event_timestamp"),
+                        "referrer", "host", "url", geo.alias("geodata"))
+
+    return run_event_stream(spark, v, build, "append").drop("batch_id")
