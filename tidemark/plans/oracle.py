@@ -734,3 +734,90 @@ SELECT w.event_id, w.ip, w.ts AS event_timestamp, w.referrer, w.host, w.url,
        CASE WHEN g.lo IS NOT NULL THEN CAST(json_object('country', g.country, 'state', g.state,
             'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
 FROM we w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""", [_WE_TS])
+
+
+# ---- experiments, KPIs --------------------------------------------------------------------
+
+EXPERIMENT = "signup_button"
+_BUCKET = f"CAST(('0x' || substr(md5('{EXPERIMENT}:' || CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 100 AS INTEGER)"
+
+ORACLE["experiment_assignment"] = with_views(["v_events"], f"""
+SELECT user_id, '{EXPERIMENT}' AS experiment, {_BUCKET} AS bucket,
+       CASE WHEN {_BUCKET} < 50 THEN 'control' WHEN {_BUCKET} < 100 THEN 'treatment' END AS variant
+FROM (SELECT DISTINCT user_id FROM v_events WHERE user_id IS NOT NULL)""")
+
+_OUTCOMES = ("outcomes", f"""
+SELECT x.user_id, '{EXPERIMENT}' AS experiment,
+       CASE WHEN {_BUCKET.replace('user_id', 'x.user_id')} < 50 THEN 'control' ELSE 'treatment' END AS variant,
+       x.exposure_time,
+       EXISTS (SELECT 1 FROM v_events c WHERE c.user_id = x.user_id AND c.url = '/api/v1/user'
+               AND c.event_time > x.exposure_time) AS converted
+FROM (SELECT user_id, MIN(event_time) AS exposure_time FROM v_events
+      WHERE user_id IS NOT NULL AND url = '/signup' GROUP BY user_id) x""")
+
+ORACLE["experiment_exposure"] = with_views(["v_events"], "SELECT * FROM outcomes", [_OUTCOMES])
+
+ORACLE["experiment_readout"] = with_views(["v_events"], """
+SELECT p.experiment, p.variant, p.users, p.conversions, p.conversion_rate,
+       CASE WHEN p.variant <> 'control' THEN p.conversion_rate / c.conversion_rate - 1 END AS lift,
+       CASE WHEN p.variant <> 'control' THEN (p.conversion_rate - c.conversion_rate) /
+            sqrt(((p.conversions + c.conversions) / (p.users + c.users)) *
+                 (1 - (p.conversions + c.conversions) / (p.users + c.users)) *
+                 (1.0 / p.users + 1.0 / c.users)) END AS z_score
+FROM per p LEFT JOIN (SELECT * FROM per WHERE variant = 'control') c ON p.experiment = c.experiment""",
+    [_OUTCOMES, ("per", """SELECT experiment, variant, COUNT(1) AS users,
+        CAST(SUM(CAST(converted AS BIGINT)) AS BIGINT) AS conversions,
+        CAST(SUM(CAST(converted AS BIGINT)) AS BIGINT) / COUNT(1) AS conversion_rate
+        FROM outcomes GROUP BY 1, 2""")])
+
+ORACLE["experiment_srm"] = with_views(["v_events"], """
+SELECT experiment, users_control, users_treatment,
+       (users_control + users_treatment) * 0.5 AS expected_control,
+       (users_control + users_treatment) * 0.5 AS expected_treatment,
+       pow(users_control - (users_control + users_treatment) * 0.5, 2) / ((users_control + users_treatment) * 0.5)
+       + pow(users_treatment - (users_control + users_treatment) * 0.5, 2) / ((users_control + users_treatment) * 0.5)
+         AS chi_square
+FROM (SELECT experiment, COUNT(CASE WHEN variant = 'control' THEN 1 END) AS users_control,
+             COUNT(CASE WHEN variant = 'treatment' THEN 1 END) AS users_treatment
+      FROM outcomes GROUP BY experiment)""", [_OUTCOMES])
+
+ORACLE["kpi_profit"] = with_views(["v_profit"], """
+SELECT CAST(DATE_TRUNC('month', day) AS DATE) AS month, CAST(SUM(profit) AS BIGINT) AS total_profit,
+       COUNT(DISTINCT unit) AS units, CAST(SUM(profit) AS BIGINT) / COUNT(DISTINCT unit) AS profit_per_unit
+FROM (SELECT unit, day, SUM(profit) AS profit FROM v_profit GROUP BY 1, 2) GROUP BY 1""")
+
+ORACLE["kpi_growth"] = with_views(["v_events"], """
+SELECT d.day, d.active_users, COALESCE(f.new_users, 0) AS new_users,
+       d.active_users - COALESCE(f.new_users, 0) AS returning_users,
+       CAST(SUM(COALESCE(f.new_users, 0)) OVER (ORDER BY d.day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_users
+FROM (SELECT day, COUNT(1) AS active_users FROM act GROUP BY day) d
+LEFT JOIN (SELECT day, COUNT(1) AS new_users FROM (SELECT user_id, MIN(day) AS day FROM act GROUP BY user_id)
+           GROUP BY day) f ON d.day = f.day""",
+    [("act", "SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM v_events WHERE user_id IS NOT NULL")])
+
+ORACLE["kpi_engagement"] = with_views(["v_events"], """
+SELECT CAST(event_time AS DATE) AS day, COUNT(1) AS events, COUNT(DISTINCT user_id) AS active_users,
+       COUNT(DISTINCT url) AS distinct_urls, COUNT(1) / COUNT(DISTINCT user_id) AS events_per_user
+FROM v_events WHERE user_id IS NOT NULL GROUP BY 1""")
+
+# ---- sources and sinks ----------------------------------------------------------------------
+
+ORACLE["enforce_schema"] = with_views(["v_events"], """
+SELECT event_id, user_id, url, referrer, host, device_id, event_time,
+       NULLIF(concat_ws('; ',
+         CASE WHEN event_id IS NULL THEN 'missing event_id' END,
+         CASE WHEN user_id IS NULL THEN 'missing user_id' END,
+         CASE WHEN device_id IS NULL THEN 'missing device_id' END), '') AS reject_reason
+FROM v_events""")
+
+ORACLE["merge_upsert"] = ORACLE["monthly_array_metrics"]
+
+ORACLE["snapshot_partition_read"] = with_views(["v_events"], f"""
+SELECT user_id, CAST(event_time AS DATE) AS date, COUNT(1) AS num_site_hits FROM v_events
+WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) = {_d(AS_OF)} GROUP BY 1, 2""")
+
+ORACLE["udf_surface"] = with_views(["v_web_events", "v_geo_ranges"], """
+SELECT w.event_id, w.ip,
+       CASE WHEN g.lo IS NOT NULL THEN CAST(json_object('country', g.country, 'state', g.state,
+            'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
+FROM v_web_events w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""")

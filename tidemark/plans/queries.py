@@ -767,3 +767,130 @@ def q_stream_geo_enrich(spark, sf):
                         "referrer", "host", "url", geo.alias("geodata"))
 
     return run_event_stream(spark, v, build, "append").drop("batch_id")
+
+
+# ---- 2.12 experiments, KPIs ---------------------------------------------------------------
+
+from ..functions.constants import EXPERIMENT  # noqa: E402
+from ..operators import experiments as X  # noqa: E402
+from ..operators import kpi  # noqa: E402
+
+WEIGHTS = (("control", 50), ("treatment", 50))
+
+
+@query("experiment_assignment")
+def q_experiment_assignment(spark, sf):
+    users = Views(spark, sf).v_events.where(F.col("user_id").isNotNull()).select("user_id").distinct()
+    return X.assign(users, EXPERIMENT, WEIGHTS)
+
+
+@query("experiment_exposure")
+def q_experiment_exposure(spark, sf):
+    return X.exposures_and_outcomes(Views(spark, sf).v_events, EXPERIMENT, WEIGHTS)
+
+
+@query("experiment_readout")
+def q_experiment_readout(spark, sf):
+    return X.readout(X.exposures_and_outcomes(Views(spark, sf).v_events, EXPERIMENT, WEIGHTS))
+
+
+@query("experiment_srm")
+def q_experiment_srm(spark, sf):
+    return X.sample_ratio_check(X.exposures_and_outcomes(Views(spark, sf).v_events, EXPERIMENT, WEIGHTS),
+                                WEIGHTS)
+
+
+@query("kpi_profit")
+def q_kpi_profit(spark, sf):
+    return kpi.monthly_rollup(kpi.unit_day_fact(Views(spark, sf).v_profit))
+
+
+@query("kpi_growth")
+def q_kpi_growth(spark, sf):
+    return kpi.daily_growth(Views(spark, sf).v_events)
+
+
+@query("kpi_engagement")
+def q_kpi_engagement(spark, sf):
+    return kpi.daily_engagement(Views(spark, sf).v_events)
+
+
+# ---- 2.1 sources and sinks ----------------------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from ..sources import writers as W  # noqa: E402
+from ..sources.tables import enforce_schema  # noqa: E402
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType(), False),
+    T.StructField("user_id", T.LongType(), False),
+    T.StructField("url", T.StringType()),
+    T.StructField("referrer", T.StringType()),
+    T.StructField("host", T.StringType()),
+    T.StructField("device_id", T.IntegerType(), False),
+    T.StructField("event_time", T.TimestampNTZType()),
+])
+
+
+@query("enforce_schema")
+def q_enforce_schema(spark, sf):
+    raw = Views(spark, sf).v_events
+    as_text = raw.select(*[F.col(c).cast("string").alias(c) for c in EVENT_SCHEMA.fieldNames()])
+    return enforce_schema(as_text, EVENT_SCHEMA)
+
+
+@query("merge_upsert")
+def q_merge_upsert(spark, sf):
+    v = Views(spark, sf)
+    daily = facts.daily_counts(v.v_events)
+    prev = (facts.month_array_backfill(daily, _prev_day(AS_OF))
+            .withColumn("metric_name", F.lit("site_hits")))
+    path = scratch_path(spark, "array_metrics")
+    W.write_snapshot(prev, path, ["month_start"])
+    table = spark.read.parquet(path)
+    today = daily.where(F.col("date") == F.lit(AS_OF).cast("date"))
+    updates = facts.cumulate_month(table, today, AS_OF, metric_name="site_hits").checkpoint(eager=True)
+    keys = ["user_id", "month_start", "metric_name"]
+    W.merge_upsert(spark, path, updates, keys, ["month_start"])
+    W.merge_upsert(spark, path, updates, keys, ["month_start"])  # re-run: idempotent
+    out = spark.read.parquet(path)
+    return out.select("user_id", "month_start", "metric_name", F.size("metric_array").alias("array_len"),
+                      _long_text("metric_array").alias("metric_text"))
+
+
+@query("snapshot_partition_read")
+def q_snapshot_partition_read(spark, sf):
+    """Daily snapshots written with dynamic partition overwrite (twice: the
+    re-run replaces, not appends), then one partition read back (pruned)."""
+    v = Views(spark, sf)
+    daily = facts.daily_counts(v.v_events)
+    path = scratch_path(spark, "daily_hits")
+    W.write_snapshot(daily, path, ["date"])
+    W.write_snapshot(daily.where(F.col("date") == F.lit(AS_OF).cast("date")), path, ["date"])
+    t = spark.read.parquet(path)
+    return t.where(F.col("date") == F.lit(AS_OF).cast("date")).select("user_id", "date", "num_site_hits")
+
+
+@query("layout_report")
+def q_layout_report(spark, sf):
+    e = Views(spark, sf).v_events.withColumn("event_date", F.to_date("event_time"))
+    start = e.repartition(4, "event_date")
+    base = scratch_path(spark, "layout")
+    start.write.mode("overwrite").parquet(f"{base}/unsorted")
+    start.sortWithinPartitions("event_date", "host").write.mode("overwrite").parquet(f"{base}/sorted")
+    return W.layout_report(spark, {"unsorted": f"{base}/unsorted", "sorted": f"{base}/sorted"})
+
+
+# ---- 2.12 UDF surface ---------------------------------------------------------------------
+
+@query("udf_surface")
+def q_udf_surface(spark, sf):
+    """A vectorized (pandas) UDF registered by name and called from SQL: it
+    renders the geodata JSON the enrichment attaches (no per-row service call)."""
+    from ..functions.udfs import register_udfs
+    v = Views(spark, sf)
+    register_udfs(spark)
+    j = joins.range_join(v.v_web_events, v.v_geo_ranges, "ip", "lo", "hi", 1000)
+    j.createOrReplaceTempView("web_events_ranged")
+    return spark.sql("SELECT event_id, ip, geo_json(country, state, city) AS geodata FROM web_events_ranged")
