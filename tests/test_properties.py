@@ -156,3 +156,31 @@ def test_funnel_window_equals_self_join_semantics(spark):
     assert out == {"/signup": (1, 1.0)}
     allrows = {r.url: r.num_events for r in growth.funnel(e, denominator="all").collect()}
     assert allrows["/signup"] == 2
+
+
+def test_cached_rollups_and_csv(spark, tmp_path):
+    from tidemark.operators.rollups import user_device_rollups
+    from tidemark.sources.tables import read_csv
+    v = Views(spark, SF_SMALL)
+    users, devs, release = user_device_rollups(v.v_events, v.v_devices)
+    assert users.count() == v.v_events.where("user_id is not null").select("user_id").distinct().count()
+    assert devs.count() > 0
+    release()
+    p = tmp_path / "maps.csv"
+    p.write_text("mapid,name,description\nm1,Alpha,first\nm2,Beta,\n")
+    schema = T.StructType([T.StructField("mapid", T.StringType()), T.StructField("name", T.StringType()),
+                           T.StructField("description", T.StringType())])
+    rows = read_csv(spark, str(p), schema).orderBy("mapid").collect()
+    assert [tuple(r) for r in rows] == [("m1", "Alpha", "first"), ("m2", "Beta", None)]
+    assert read_csv(spark, str(p)).schema["mapid"].dataType == T.StringType()
+
+
+def test_partitioned_write_prunes(spark):
+    from tidemark.plans.explain import plan_text
+    v = Views(spark, SF_SMALL)
+    path = scratch_path(spark, "by-year")
+    W.write_partitioned(v.v_events.withColumn("event_date", F.to_date("event_time")), path, "event_date")
+    t = spark.read.parquet(path).where((F.col("event_date_year") == 2024)
+                                       & (F.col("event_date") == F.lit("2024-01-05").cast("date")))
+    assert "PartitionFilters: [isnotnull(event_date_year" in plan_text(t)
+    assert t.count() > 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import CONVERSION_URL, EXPOSURE_URL
@@ -60,13 +60,16 @@ def readout(outcomes: DataFrame, control: str = "control") -> DataFrame:
     per = outcomes.groupBy("experiment", "variant").agg(
         F.count(F.lit(1)).alias("users"), F.sum(F.col("converted").cast("long")).alias("conversions"))
     per = per.withColumn("conversion_rate", F.col("conversions") / F.col("users"))
-    c = per.where(F.col("variant") == control).select(
-        "experiment", F.col("users").alias("__n0"), F.col("conversions").alias("__x0"),
-        F.col("conversion_rate").alias("__p0"))
-    j = per.join(c, "experiment", "left")
+    # control figures attached with a window over the per-variant rows (a few
+    # rows per experiment): no join, so no nested loop on the constant key
+    by_exp = Window.partitionBy("experiment")
+    is_c = F.col("variant") == control
+    j = per.select("*",
+                   F.max(F.when(is_c, F.col("users"))).over(by_exp).alias("__n0"),
+                   F.max(F.when(is_c, F.col("conversions"))).over(by_exp).alias("__x0"),
+                   F.max(F.when(is_c, F.col("conversion_rate"))).over(by_exp).alias("__p0"))
     pooled = (F.col("conversions") + F.col("__x0")) / (F.col("users") + F.col("__n0"))
     se = F.sqrt(pooled * (1 - pooled) * (F.lit(1.0) / F.col("users") + F.lit(1.0) / F.col("__n0")))
-    is_c = F.col("variant") == control
     return j.select("experiment", "variant", "users", "conversions", "conversion_rate",
                     F.when(~is_c, F.col("conversion_rate") / F.col("__p0") - 1).alias("lift"),
                     F.when(~is_c, F.try_divide(F.col("conversion_rate") - F.col("__p0"), se)).alias("z_score"))

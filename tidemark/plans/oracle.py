@@ -821,3 +821,8 @@ SELECT w.event_id, w.ip,
        CASE WHEN g.lo IS NOT NULL THEN CAST(json_object('country', g.country, 'state', g.state,
             'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
 FROM v_web_events w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""")
+
+ORACLE["stream_two_sinks"] = with_views(["v_web_events"], """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, host, COUNT(host) AS num_hits,
+       COUNT(host) AS num_hits_by_referrer_sink
+FROM we GROUP BY 1, 2""", [_WE_TS])

@@ -754,6 +754,27 @@ def q_session_avg_by_host(spark, sf):
                                  F.count(F.lit(1)).alias("num_sessions"))
 
 
+@query("stream_two_sinks")
+def q_stream_two_sinks(spark, sf):
+    """Two sinks fed by one source (host counts and host x referrer counts),
+    each query with its own checkpoint; the second is rolled up to host level
+    and set beside the first, so the two must agree."""
+    v = Views(spark, sf)
+    base = scratch_path(spark, "two-sinks")
+    src = f"{base}/in"
+    v.v_web_events.write.mode("append").parquet(src)
+    stream = S.parse_event_time(S.read_stream(spark, "parquet", S.WEB_EVENT_SCHEMA, src))
+    S.run_many_available_now([
+        (S.tumbling_counts(stream, ["host"]), f"{base}/ck1", "update", S.foreach_batch_changelog(f"{base}/out1")),
+        (S.tumbling_counts(stream, ["host", "referrer"]), f"{base}/ck2", "update",
+         S.foreach_batch_changelog(f"{base}/out2")),
+    ])
+    a = S.latest_per_key(spark.read.parquet(f"{base}/out1"), ["window_start", "host"])
+    b = (S.latest_per_key(spark.read.parquet(f"{base}/out2"), ["window_start", "host", "referrer"])
+         .groupBy("window_start", "host").agg(F.sum("num_hits").alias("num_hits_by_referrer_sink")))
+    return a.join(b, ["window_start", "host"], "full")
+
+
 @query("stream_geo_enrich")
 def q_stream_geo_enrich(spark, sf):
     v = Views(spark, sf)
