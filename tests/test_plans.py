@@ -46,7 +46,6 @@ def test_backfill_is_one_shuffle_over_its_input(spark):
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    out = Q.q_snapshot_partition_read  # noqa: F841  (writes files; use a pure query instead)
     df = Q.q_daily_user_hits(spark, SF_SMALL)
     txt = plan_text(df)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in txt, txt

@@ -86,3 +86,26 @@ def sample_ratio_check(outcomes: DataFrame, weights: Sequence[tuple[str, int]])
     chi = sum((F.pow(F.col(f"users_{n}") - exp[n], 2) / exp[n] for n, _ in weights), F.lit(0.0))
     return per.select("experiment", *[f"users_{n}" for n, _ in weights],
                       *[exp[n].alias(f"expected_{n}") for n, _ in weights], chi.alias("chi_square"))
+
+
+def welch_readout(events: DataFrame, outcomes: DataFrame, control: str = "control",
+                  unit: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """Lagging metric per exposed unit (events after first exposure), its mean
+    and sample variance per variant, and Welch's t against control. Grouped
+    moments only; control moments attached with a window over variant rows."""
+    e = events.where(F.col(unit).isNotNull()).select(unit, time_col)
+    o = outcomes.select(unit, "experiment", "variant", "exposure_time")
+    per_unit = (o.join(e, unit, "left")
+                .groupBy(unit, "experiment", "variant")
+                .agg(F.count(F.when(F.col(time_col) > F.col("exposure_time"), 1)).alias("metric")))
+    per = per_unit.groupBy("experiment", "variant").agg(
+        F.count(F.lit(1)).alias("users"), F.avg("metric").alias("mean_events"),
+        F.var_samp("metric").alias("var_events"))
+    by_exp = Window.partitionBy("experiment")
+    is_c = F.col("variant") == control
+    n0 = F.max(F.when(is_c, F.col("users"))).over(by_exp)
+    m0 = F.max(F.when(is_c, F.col("mean_events"))).over(by_exp)
+    v0 = F.max(F.when(is_c, F.col("var_events"))).over(by_exp)
+    se = F.sqrt(F.col("var_events") / F.col("users") + v0 / n0)
+    return per.select("experiment", "variant", "users", "mean_events", "var_events",
+                      F.when(~is_c, F.try_divide(F.col("mean_events") - m0, se)).alias("welch_t"))

@@ -826,3 +826,21 @@ ORACLE["stream_two_sinks"] = with_views(["v_web_events"], """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, host, COUNT(host) AS num_hits,
        COUNT(host) AS num_hits_by_referrer_sink
 FROM we GROUP BY 1, 2""", [_WE_TS])
+
+ORACLE["user_devices_map"] = with_views(["v_events", "v_devices"], f"""
+SELECT user_id, '{{' || string_agg('"' || browser_type || '":"' || {DATES_TEXT} || '"', ','
+         ORDER BY browser_type) || '}}' AS device_activity_datelist
+FROM udc GROUP BY user_id""",
+    [_ev_dev, ("udc", dates_backfill_sql(AS_OF, "user_id, browser_type", "ev_dev"))])
+
+ORACLE["experiment_welch"] = with_views(["v_events"], """
+SELECT p.experiment, p.variant, p.users, p.mean_events, p.var_events,
+       CASE WHEN p.variant <> 'control' THEN (p.mean_events - c.mean_events) /
+            sqrt(p.var_events / p.users + c.var_events / c.users) END AS welch_t
+FROM per p LEFT JOIN (SELECT * FROM per WHERE variant = 'control') c ON p.experiment = c.experiment""",
+    [_OUTCOMES,
+     ("per_unit", """SELECT o.user_id, o.experiment, o.variant,
+         COUNT(CASE WHEN e.event_time > o.exposure_time THEN 1 END) AS metric
+         FROM outcomes o LEFT JOIN v_events e ON e.user_id = o.user_id GROUP BY 1, 2, 3"""),
+     ("per", """SELECT experiment, variant, COUNT(1) AS users, AVG(metric) AS mean_events,
+         VAR_SAMP(metric) AS var_events FROM per_unit GROUP BY 1, 2""")])

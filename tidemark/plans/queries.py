@@ -211,6 +211,16 @@ def q_user_devices_cumulated(spark, sf):
                       _dates_text().alias("dates_text"))
 
 
+@query("user_devices_map")
+def q_user_devices_map(spark, sf):
+    """The MAP<browser, dates> form of the per-device date lists, as a view over
+    the long (user, browser) rows; entries sorted by browser."""
+    out = user_devices_cumulated(Views(spark, sf))
+    m = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("browser_type"),
+                                                                _dates_text().alias("d")))))
+    return out.groupBy("user_id").agg(F.to_json(m).alias("device_activity_datelist"))
+
+
 @query("device_datelist_int")
 def q_device_datelist_int(spark, sf):
     out = user_devices_cumulated(Views(spark, sf))
@@ -821,6 +831,12 @@ def q_experiment_srm(spark, sf):
                                 WEIGHTS)
 
 
+@query("experiment_welch")
+def q_experiment_welch(spark, sf):
+    v = Views(spark, sf)
+    return X.welch_readout(v.v_events, X.exposures_and_outcomes(v.v_events, EXPERIMENT, WEIGHTS))
+
+
 @query("kpi_profit")
 def q_kpi_profit(spark, sf):
     return kpi.monthly_rollup(kpi.unit_day_fact(Views(spark, sf).v_profit))
