@@ -772,10 +772,10 @@ FROM per p LEFT JOIN (SELECT * FROM per WHERE variant = 'control') c ON p.experi
 
 ORACLE["experiment_srm"] = with_views(["v_events"], """
 SELECT experiment, users_control, users_treatment,
-       (users_control + users_treatment) * 0.5 AS expected_control,
-       (users_control + users_treatment) * 0.5 AS expected_treatment,
-       pow(users_control - (users_control + users_treatment) * 0.5, 2) / ((users_control + users_treatment) * 0.5)
-       + pow(users_treatment - (users_control + users_treatment) * 0.5, 2) / ((users_control + users_treatment) * 0.5)
+       (users_control + users_treatment) * CAST(0.5 AS DOUBLE) AS expected_control,
+       (users_control + users_treatment) * CAST(0.5 AS DOUBLE) AS expected_treatment,
+       pow(users_control - (users_control + users_treatment) * CAST(0.5 AS DOUBLE), 2) / ((users_control + users_treatment) * CAST(0.5 AS DOUBLE))
+       + pow(users_treatment - (users_control + users_treatment) * CAST(0.5 AS DOUBLE), 2) / ((users_control + users_treatment) * CAST(0.5 AS DOUBLE))
          AS chi_square
 FROM (SELECT experiment, COUNT(CASE WHEN variant = 'control' THEN 1 END) AS users_control,
              COUNT(CASE WHEN variant = 'treatment' THEN 1 END) AS users_treatment
