@@ -77,22 +77,22 @@ def ordinal_positions(df: DataFrame, key: Sequence[str], day: str, tiebreak: str
     tiebreak), and the running sum ``cum`` of ``value`` up to that row, without a
     window over a whole key (a hot key would be one task).
 
-    Per (key, day) totals are aggregated map-side; their running sums per key
-    run over one row per day; within-day ranks run per (key, day); the two are
-    joined on (key, day)."""
+    ``df`` is read once: a window per (key, day) ranks rows inside the day; the
+    per-day totals are aggregated from that output (same partitioning, no new
+    shuffle of the rows); their running sums per key run over one row per day;
+    the join back on (key, day) only moves the small per-day side."""
     key = list(key)
-    per_day = df.groupBy(*key, day).agg(F.count(F.lit(1)).alias("__n"),
-                                        F.sum(value).alias("__s"))
-    before = (Window.partitionBy(*key).orderBy(day)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    per_day = per_day.select(*key, day,
-                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
-                             F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__s0"))
     within = Window.partitionBy(*key, day).orderBy(tiebreak)
     within_run = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = df.select(*key, day, tiebreak, value,
                      F.row_number().over(within).alias("__k"),
                      F.sum(value).over(within_run).alias("__ks"))
+    per_day = rows.groupBy(*key, day).agg(F.max("__k").alias("__n"), F.max("__ks").alias("__s"))
+    before = (Window.partitionBy(*key).orderBy(day)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    per_day = per_day.select(*key, day,
+                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
+                             F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__s0"))
     j = rows.join(per_day, [*key, day])
     return j.select(*key, day, tiebreak, value,
                     (F.col("__n0") + F.col("__k")).alias("pos"),
@@ -104,15 +104,23 @@ def max_stretch_sum(df: DataFrame, key: Sequence[str], day: str, tiebreak: str,
     """Maximum of SUM(value) over any ``n`` consecutive rows per key (leading
     partial stretches included, as a ROWS n-1 PRECEDING frame does).
 
-    sum(rows p-n+1..p) = cum(p) - cum(p-n): an equi-join of the positions with
-    themselves shifted by n, so no task ever holds a whole key."""
+    sum(rows p-n+1..p) = cum(p) - cum(p-n). Each position is sent to its own
+    (block, offset) slot and, as the 'previous' value, to the same offset of
+    the next block (block = (p-1) div n); one aggregation per slot pairs them.
+    No join and no window over a whole key; the final max is partial per task."""
     key = list(key)
     pos = ordinal_positions(df, key, day, tiebreak, value)
-    a = pos.select(*key, "pos", "cum")
-    b = pos.select(*key, (F.col("pos") + n).alias("pos"), F.col("cum").alias("__cum_before"))
-    j = a.join(b, [*key, "pos"], "left")
-    stretch = F.col("cum") - F.coalesce(F.col("__cum_before"), F.lit(0))
-    return j.groupBy(*key).agg(F.max(stretch).alias(out))
+    blk = F.floor((F.col("pos") - 1) / n).cast("long")
+    off = ((F.col("pos") - 1) % n).cast("long")
+    roles = F.explode(F.array(F.struct(blk.alias("b"), F.lit(True).alias("cur")),
+                              F.struct((blk + 1).alias("b"), F.lit(False).alias("cur"))))
+    slots = pos.select(*key, off.alias("__off"), "cum", roles.alias("__r"))
+    paired = slots.groupBy(*key, F.col("__r.b").alias("__b"), "__off").agg(
+        F.max(F.when(F.col("__r.cur"), F.col("cum"))).alias("__cur"),
+        F.max(F.when(~F.col("__r.cur"), F.col("cum"))).alias("__prev"))
+    stretch = F.col("__cur") - F.coalesce(F.col("__prev"), F.lit(0))
+    return (paired.where(F.col("__cur").isNotNull())
+            .groupBy(*key).agg(F.max(stretch).alias(out)))
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],

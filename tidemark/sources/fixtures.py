@@ -22,20 +22,21 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return load(self.spark, self.sf_dir, name)
+        if name not in self._cache:
+            self._cache[name] = load(self.spark, self.sf_dir, name)
+        return self._cache[name]
 
 
 def _pick(values, idx_col):
-    """values[idx] as a CASE expression (small fixed lists only)."""
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v) if v is not None else F.lit(None).cast("string")
-        expr = F.when(idx_col == i, lit) if expr is None else expr.when(idx_col == i, lit)
-    return expr
+    """values[idx] from a literal array: the index expression appears once (a CASE
+    would repeat it in every branch)."""
+    arr = F.array(*[F.lit(v) if v is not None else F.lit(None).cast("string") for v in values])
+    return F.element_at(arr, (idx_col + 1).cast("int"))
 
 
 class Views:
@@ -112,8 +113,12 @@ class Views:
 
     @cached_property
     def v_game_details_dedup(self) -> DataFrame:
+        """De-duplicated game details, written once as a staging table: the game
+        facts and the game winners both read it."""
         from ..operators.windows import first_per_key
-        return first_per_key(self.v_game_details, ["player_id", "game_id"], self.DEDUP_ORDER)
+        from .writers import materialize
+        dedup = first_per_key(self.v_game_details, ["player_id", "game_id"], self.DEDUP_ORDER)
+        return materialize(self.spark, dedup, "game_details_dedup")
 
     @cached_property
     def v_games(self) -> DataFrame:
@@ -145,8 +150,10 @@ class Views:
     # -- web events --------------------------------------------------------------
     @cached_property
     def v_events(self) -> DataFrame:
-        e = self.t.events
-        k = F.get_json_object("props", "$.k").cast("int")
+        # parse the JSON once; the derived columns read the parsed value
+        e = self.t.events.select("event_id", "event_type", "user_id", "ts",
+                                 F.get_json_object("props", "$.k").cast("int").alias("__k"))
+        k = F.col("__k")
         # rows with event_id % 50 = 0 appear twice: generated from ONE scan
         copies = F.explode(F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1)))
                            .otherwise(F.array(F.lit(0))))

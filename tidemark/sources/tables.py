@@ -14,8 +14,13 @@ TABLES = (
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table. Column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One given table. Column pruning and filters reach the parquet scan; a
+    declared schema (where known) avoids a schema-inference job per read."""
+    from ..schemas import SCHEMAS
+    r = spark.read
+    if name in SCHEMAS:
+        r = r.schema(SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:

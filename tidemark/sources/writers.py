@@ -52,3 +52,14 @@ def layout_report(spark: SparkSession, layouts: dict[str, str]) -> DataFrame:
                  .withColumn("layout", F.lit(label))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate that several branches of a job read (a staging
+    table) as parquet under the shared checkpoint folder and read it back.
+    This cuts the lineage, is computed once instead of once per branch, and the
+    read-back keeps column pruning (unlike an RDD checkpoint)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
