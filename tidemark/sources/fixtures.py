@@ -113,12 +113,10 @@ class Views:
 
     @cached_property
     def v_game_details_dedup(self) -> DataFrame:
-        """De-duplicated game details, written once as a staging table: the game
-        facts and the game winners both read it."""
+        """De-duplicated game details. A job producing several outputs from it
+        should stage it once (``sources.writers.materialize``)."""
         from ..operators.windows import first_per_key
-        from .writers import materialize
-        dedup = first_per_key(self.v_game_details, ["player_id", "game_id"], self.DEDUP_ORDER)
-        return materialize(self.spark, dedup, "game_details_dedup")
+        return first_per_key(self.v_game_details, ["player_id", "game_id"], self.DEDUP_ORDER)
 
     @cached_property
     def v_games(self) -> DataFrame:
