@@ -172,7 +172,9 @@ def latest_films_class(films: DataFrame, key: str, year: str, rating: str,
                        class_fn: ClassFn) -> DataFrame:
     """Quality class from the average rating of each entity's most recent year:
     one aggregate per (entity, year) and a struct max per entity."""
-    per_year = films.groupBy(key, year).agg(F.avg(rating).alias("avg_rating"))
+    # averages of non-integral ratings are rounded to 9 decimals so that the class
+    # cut-offs do not depend on the summation order
+    per_year = films.groupBy(key, year).agg(F.round(F.avg(rating), 9).alias("avg_rating"))
     last = (per_year.groupBy(key)
             .agg(F.max(F.struct(F.col(year), F.col("avg_rating"))).alias("__m")))
     return last.select(key, F.col("__m")[year].alias("last_year"),
@@ -192,7 +194,7 @@ def cumulate_actors(prev: DataFrame, films_this_year: DataFrame, year_value: int
     cur = (films_this_year.groupBy(key)
            .agg(F.max(name).alias(name),
                 F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in film_fields]))).alias("films"),
-                F.avg("rating").alias("avg_rating")))
+                F.round(F.avg("rating"), 9).alias("avg_rating")))
     y, t = prev.alias("y"), cur.alias("t")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
     active = F.col(f"t.{key}").isNotNull()
@@ -219,7 +221,7 @@ def backfill_actors(films: DataFrame, last_year: int, key: str = "actorid", name
     per_year = (films.groupBy(key, "year")
                 .agg(F.max(name).alias(name),
                      F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in film_fields]))).alias("films"),
-                     F.avg("rating").alias("avg_rating")))
+                     F.round(F.avg("rating"), 9).alias("avg_rating")))
     per_actor = (per_year.groupBy(key)
                  .agg(F.max(name).alias(name),
                       F.array_sort(F.collect_list(F.struct("year", "avg_rating", "films"))).alias("__h")))

@@ -99,8 +99,8 @@ def welch_readout(events: DataFrame, outcomes: DataFrame, control: str = "contro
                 .groupBy(unit, "experiment", "variant")
                 .agg(F.count(F.when(F.col(time_col) > F.col("exposure_time"), 1)).alias("metric")))
     per = per_unit.groupBy("experiment", "variant").agg(
-        F.count(F.lit(1)).alias("users"), F.avg("metric").alias("mean_events"),
-        F.var_samp("metric").alias("var_events"))
+        F.count(F.lit(1)).alias("users"), F.round(F.avg("metric"), 9).alias("mean_events"),
+        F.round(F.var_samp("metric"), 9).alias("var_events"))
     by_exp = Window.partitionBy("experiment")
     is_c = F.col("variant") == control
     n0 = F.max(F.when(is_c, F.col("users"))).over(by_exp)
@@ -108,4 +108,4 @@ def welch_readout(events: DataFrame, outcomes: DataFrame, control: str = "contro
     v0 = F.max(F.when(is_c, F.col("var_events"))).over(by_exp)
     se = F.sqrt(F.col("var_events") / F.col("users") + v0 / n0)
     return per.select("experiment", "variant", "users", "mean_events", "var_events",
-                      F.when(~is_c, F.try_divide(F.col("mean_events") - m0, se)).alias("welch_t"))
+                      F.round(F.when(~is_c, F.try_divide(F.col("mean_events") - m0, se)), 9).alias("welch_t"))

@@ -649,7 +649,7 @@ def _quality_sql(x: str) -> str:
 
 ORACLE["quality_class"] = with_views(["v_actor_films"], f"""
 SELECT actorid, year AS last_year, avg_rating AS last_year_avg_rating, {_quality_sql('avg_rating')} AS quality_class
-FROM (SELECT actorid, year, AVG(rating) AS avg_rating,
+FROM (SELECT actorid, year, round(AVG(rating), 9) AS avg_rating,
              ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY year DESC) AS rn
       FROM v_actor_films GROUP BY actorid, year) WHERE rn = 1""")
 
@@ -674,10 +674,10 @@ SELECT COALESCE(p.actorid, c.actorid) AS actorid, COALESCE(p.actor, c.actor) AS
 FROM (SELECT actorid, MAX(actor) AS actor, COUNT(*) AS n, SUM(votes) AS v FROM v_actor_films
       WHERE year <= {ACTOR_YEAR - 1} GROUP BY actorid) p
 LEFT JOIN (SELECT actorid, {_quality_sql('r')} AS quality_class FROM (
-      SELECT actorid, year, AVG(rating) AS r, ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY year DESC) AS rn
+      SELECT actorid, year, round(AVG(rating), 9) AS r, ROW_NUMBER() OVER (PARTITION BY actorid ORDER BY year DESC) AS rn
       FROM v_actor_films WHERE year <= {ACTOR_YEAR - 1} GROUP BY actorid, year) WHERE rn = 1) pc
   ON pc.actorid = p.actorid
-FULL OUTER JOIN (SELECT actorid, MAX(actor) AS actor, COUNT(*) AS n, SUM(votes) AS v, AVG(rating) AS r
+FULL OUTER JOIN (SELECT actorid, MAX(actor) AS actor, COUNT(*) AS n, SUM(votes) AS v, round(AVG(rating), 9) AS r
       FROM v_actor_films WHERE year = {ACTOR_YEAR} GROUP BY actorid) c ON p.actorid = c.actorid""")
 
 ORACLE["actor_scd"] = with_views(["v_actor_films"], f"""
@@ -687,7 +687,7 @@ FROM (SELECT *, SUM(CASE WHEN did_change THEN 1 ELSE 0 END) OVER (PARTITION BY a
                    OR (LAG(is_active) OVER w IS DISTINCT FROM is_active) OR ROW_NUMBER() OVER w = 1 AS did_change
             FROM actors WINDOW w AS (PARTITION BY actorid ORDER BY current_year)))
 GROUP BY actorid, quality_class, is_active, streak""", [
-    ("per_year", f"""SELECT actorid, year, AVG(rating) AS r FROM v_actor_films WHERE year <= {ACTOR_YEAR}
+    ("per_year", f"""SELECT actorid, year, round(AVG(rating), 9) AS r FROM v_actor_films WHERE year <= {ACTOR_YEAR}
                     GROUP BY 1, 2"""),
     ("agrid", f"""SELECT a.actorid, CAST(g AS INTEGER) AS current_year FROM
                  (SELECT actorid, MIN(year) AS fy FROM per_year GROUP BY 1) a, generate_series(a.fy, {ACTOR_YEAR}) t(g)"""),
@@ -835,12 +835,12 @@ FROM udc GROUP BY user_id""",
 
 ORACLE["experiment_welch"] = with_views(["v_events"], """
 SELECT p.experiment, p.variant, p.users, p.mean_events, p.var_events,
-       CASE WHEN p.variant <> 'control' THEN (p.mean_events - c.mean_events) /
-            sqrt(p.var_events / p.users + c.var_events / c.users) END AS welch_t
+       round(CASE WHEN p.variant <> 'control' THEN (p.mean_events - c.mean_events) /
+            sqrt(p.var_events / p.users + c.var_events / c.users) END, 9) AS welch_t
 FROM per p LEFT JOIN (SELECT * FROM per WHERE variant = 'control') c ON p.experiment = c.experiment""",
     [_OUTCOMES,
      ("per_unit", """SELECT o.user_id, o.experiment, o.variant,
          COUNT(CASE WHEN e.event_time > o.exposure_time THEN 1 END) AS metric
          FROM outcomes o LEFT JOIN v_events e ON e.user_id = o.user_id GROUP BY 1, 2, 3"""),
-     ("per", """SELECT experiment, variant, COUNT(1) AS users, AVG(metric) AS mean_events,
-         VAR_SAMP(metric) AS var_events FROM per_unit GROUP BY 1, 2""")])
+     ("per", """SELECT experiment, variant, COUNT(1) AS users, round(AVG(metric), 9) AS mean_events,
+         round(VAR_SAMP(metric), 9) AS var_events FROM per_unit GROUP BY 1, 2""")])
