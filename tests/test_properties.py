@@ -184,3 +184,20 @@ def test_partitioned_write_prunes(spark):
                                        & (F.col("event_date") == F.lit("2024-01-05").cast("date")))
     assert "PartitionFilters: [isnotnull(event_date_year" in plan_text(t)
     assert t.count() > 0
+
+
+def test_actor_step_iterated_equals_backfill(spark):
+    v = Views(spark, SF_SMALL)
+    films = v.v_actor_films
+    first, last = films.agg(F.min("year"), F.max("year")).first()
+    for with_films in (True, False):
+        full = dims.backfill_actors(films, last, with_films=with_films)
+        prev = full.limit(0)
+        for year in range(first, last + 1):
+            prev = dims.cumulate_actors(prev, films.where(F.col("year") == year), year,
+                                        with_films=with_films).checkpoint()
+            exp = full.where(F.col("current_year") == year)
+            cols = ["actorid", "actor", "quality_class", "is_active", "current_year"]
+            extra = ([F.size("films").alias("nf")] if with_films
+                     else [F.col("num_films").alias("nf"), "total_votes"])
+            assertDataFrameEqual(prev.select(*cols, *extra), exp.select(*cols, *extra))

@@ -182,28 +182,47 @@ def latest_films_class(films: DataFrame, key: str, year: str, rating: str,
                        class_fn(F.col("__m.avg_rating")).alias("quality_class"))
 
 
+def _actor_year_summary(films: DataFrame, keys: Sequence[str], name: str, film_fields: Sequence[str],
+                        with_films: bool) -> DataFrame:
+    aggs = [F.max(name).alias(name), F.count(F.lit(1)).alias("n"),
+            F.sum("votes").cast("long").alias("v"),
+            # rounded so the class cut-offs do not depend on the summation order
+            F.round(F.avg("rating"), 9).alias("avg_rating")]
+    if with_films:
+        aggs.append(F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in film_fields]))).alias("films"))
+    return films.groupBy(*keys).agg(*aggs)
+
+
 def cumulate_actors(prev: DataFrame, films_this_year: DataFrame, year_value: int,
                     key: str = "actorid", name: str = "actor",
                     film_fields: Sequence[str] = ("film", "votes", "rating", "filmid"),
-                    class_fn: ClassFn | None = None) -> DataFrame:
+                    class_fn: ClassFn | None = None, with_films: bool = True) -> DataFrame:
     """Actor variant of the cumulative step: several films per entity and year, so
-    this year's films are grouped into an array first; quality class from this
-    year's average rating when active, carried otherwise."""
+    this year's films are grouped first; quality class from this year's average
+    rating when active, carried otherwise.
+
+    ``with_films`` keeps the films array of the actors table (it grows with an
+    actor's filmography); without it the snapshot carries ``num_films`` and
+    ``total_votes`` and no row holds an unbounded collection."""
     from ..functions.exprs import quality_class
     class_fn = class_fn or quality_class
-    cur = (films_this_year.groupBy(key)
-           .agg(F.max(name).alias(name),
-                F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in film_fields]))).alias("films"),
-                F.round(F.avg("rating"), 9).alias("avg_rating")))
+    cur = _actor_year_summary(films_this_year, [key], name, film_fields, with_films)
     y, t = prev.alias("y"), cur.alias("t")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
     active = F.col(f"t.{key}").isNotNull()
-    elem_t = cur.schema["films"].dataType
+    if with_films:
+        elem_t = cur.schema["films"].dataType
+        body = [F.concat(F.coalesce(F.col("y.films"), F.array().cast(elem_t)),
+                         F.coalesce(F.col("t.films"), F.array().cast(elem_t))).alias("films")]
+    else:
+        zero = F.lit(0).cast("long")
+        body = [(F.coalesce(F.col("y.num_films").cast("long"), zero) + F.coalesce(F.col("t.n"), zero))
+                .alias("num_films"),
+                (F.coalesce(F.col("y.total_votes"), zero) + F.coalesce(F.col("t.v"), zero)).alias("total_votes")]
     return j.select(
         F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
         F.coalesce(F.col(f"y.{name}"), F.col(f"t.{name}")).alias(name),
-        F.concat(F.coalesce(F.col("y.films"), F.array().cast(elem_t)),
-                 F.coalesce(F.col("t.films"), F.array().cast(elem_t))).alias("films"),
+        *body,
         F.when(active, class_fn(F.col("t.avg_rating"))).otherwise(F.col("y.quality_class"))
          .alias("quality_class"),
         active.alias("is_active"),
@@ -212,28 +231,32 @@ def cumulate_actors(prev: DataFrame, films_this_year: DataFrame, year_value: int
 
 def backfill_actors(films: DataFrame, last_year: int, key: str = "actorid", name: str = "actor",
                     film_fields: Sequence[str] = ("film", "votes", "rating", "filmid"),
-                    class_fn: ClassFn | None = None) -> DataFrame:
+                    class_fn: ClassFn | None = None, with_films: bool = True) -> DataFrame:
     """Actors table for every year from an actor's first year to ``last_year`` in
-    one pass: group once per actor (history sorted by year), explode the years,
-    filter the history. Equals iterating :func:`cumulate_actors`."""
+    one pass: per-year summaries are grouped once per actor (bounded by the
+    number of years), the years are exploded and the history filtered. Equals
+    iterating :func:`cumulate_actors` (with the same ``with_films``)."""
     from ..functions.exprs import quality_class
     class_fn = class_fn or quality_class
-    per_year = (films.groupBy(key, "year")
-                .agg(F.max(name).alias(name),
-                     F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in film_fields]))).alias("films"),
-                     F.round(F.avg("rating"), 9).alias("avg_rating")))
+    per_year = _actor_year_summary(films, [key, "year"], name, film_fields, with_films)
+    fields = ["year", "avg_rating", "n", "v"] + (["films"] if with_films else [])
     per_actor = (per_year.groupBy(key)
                  .agg(F.max(name).alias(name),
-                      F.array_sort(F.collect_list(F.struct("year", "avg_rating", "films"))).alias("__h")))
+                      F.array_sort(F.collect_list(F.struct(*fields))).alias("__h")))
     grid = per_actor.select(key, name, "__h",
                             F.explode(F.sequence(F.col("__h")[0]["year"], F.lit(last_year)))
                             .alias("current_year"))
     upto = F.filter("__h", lambda h: h["year"] <= F.col("current_year"))
     g = grid.select(key, name, upto.alias("__u"), "current_year")
     lst = F.element_at("__u", -1)
+    zero = F.lit(0).cast("long")
+    if with_films:
+        body = [F.flatten(F.transform("__u", lambda h: h["films"])).alias("films")]
+    else:
+        body = [F.aggregate("__u", zero, lambda acc, h: acc + h["n"]).alias("num_films"),
+                F.aggregate("__u", zero, lambda acc, h: acc + h["v"]).alias("total_votes")]
     return g.select(
-        key, name,
-        F.flatten(F.transform("__u", lambda h: h["films"])).alias("films"),
+        key, name, *body,
         class_fn(lst["avg_rating"]).alias("quality_class"),
         (lst["year"] == F.col("current_year")).alias("is_active"),
         F.col("current_year").cast("int").alias("current_year"))

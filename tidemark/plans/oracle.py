@@ -624,9 +624,9 @@ SELECT user_id, MAX(event_counts) AS total_hits, COUNT(1) AS num_devices,
 FROM events_aggregated GROUP BY user_id""", [_EVENTS_AGG])
 
 ORACLE["device_user_rollup"] = with_views(["v_events", "v_devices"], """
-SELECT d.device_id, d.device_type, COUNT(1) AS num_users,
-       array_to_string(list_sort(list(CAST(a.user_id AS VARCHAR))), ',') AS users
-FROM v_devices d JOIN events_aggregated a ON d.device_id = a.device_id GROUP BY 1, 2""", [_EVENTS_AGG])
+SELECT d.device_id, d.device_type, a.user_id, a.event_counts,
+       COUNT(1) OVER (PARTITION BY d.device_id) AS num_users
+FROM v_devices d JOIN events_aggregated a ON d.device_id = a.device_id""", [_EVENTS_AGG])
 
 ORACLE["dedup_events"] = with_views(["v_events"], """
 SELECT url, host, user_id, event_time FROM v_events GROUP BY 1, 2, 3, 4""")

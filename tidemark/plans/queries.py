@@ -593,12 +593,15 @@ def q_user_device_rollup(spark, sf):
 
 @query("device_user_rollup")
 def q_device_user_rollup(spark, sf):
+    """Users per device in long form (device, user, the device's user count): a
+    popular device may have any number of users, so its list is never gathered
+    into one row."""
     v = Views(spark, sf)
     agg = events_aggregated(v)
     j = v.v_devices.join(agg, "device_id")
-    return j.groupBy("device_id", "device_type").agg(
-        F.count(F.lit(1)).alias("num_users"),
-        F.array_join(F.array_sort(F.collect_list(F.col("user_id").cast("string"))), ",").alias("users"))
+    per_dev = j.groupBy("device_id").agg(F.count(F.lit(1)).alias("num_users"))
+    return (j.select("device_id", "device_type", "user_id", "event_counts")
+            .join(per_dev, "device_id"))
 
 
 @query("dedup_events")
@@ -655,13 +658,12 @@ def actors_backfill(v: Views, last: int | None = None) -> DataFrame:
     f = v.v_actor_films
     if last is not None:
         f = f.where(F.col("year") <= last)
-    return dims.backfill_actors(f, last if last is not None else ACTOR_YEAR)
+    return dims.backfill_actors(f, last if last is not None else ACTOR_YEAR, with_films=False)
 
 
 def _flat_actors(df: DataFrame) -> DataFrame:
     return df.select("actorid", "actor", "current_year", "quality_class", "is_active",
-                     F.size("films").alias("num_films"),
-                     F.aggregate("films", F.lit(0).cast("long"), lambda a, x: a + x["votes"]).alias("total_votes"))
+                     F.col("num_films").cast("int").alias("num_films"), "total_votes")
 
 
 @query("actor_cumulative")
@@ -669,7 +671,7 @@ def q_actor_cumulative(spark, sf):
     v = Views(spark, sf)
     prev = actors_backfill(v, ACTOR_YEAR - 1).where(F.col("current_year") == ACTOR_YEAR - 1)
     films = v.v_actor_films.where(F.col("year") == ACTOR_YEAR)
-    return _flat_actors(dims.cumulate_actors(prev, films, ACTOR_YEAR))
+    return _flat_actors(dims.cumulate_actors(prev, films, ACTOR_YEAR, with_films=False))
 
 
 @query("actor_scd")
