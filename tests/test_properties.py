@@ -201,3 +201,12 @@ def test_actor_step_iterated_equals_backfill(spark):
             extra = ([F.size("films").alias("nf")] if with_films
                      else [F.col("num_films").alias("nf"), "total_votes"])
             assertDataFrameEqual(prev.select(*cols, *extra), exp.select(*cols, *extra))
+
+
+def test_insert_by_name(spark):
+    path = scratch_path(spark, "by-name")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.mode("overwrite").option("path", path) \
+        .saveAsTable("by_name_t")
+    W.insert_by_name(spark, spark.createDataFrame([("b", 2)], "v string, k long"), "by_name_t")
+    assert sorted(tuple(r) for r in spark.table("by_name_t").collect()) == [(1, "a"), (2, "b")]
+    spark.sql("DROP TABLE by_name_t")

@@ -63,3 +63,14 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def insert_by_name(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Append ``df`` to ``table`` matching columns by NAME, not position (a
+    positional insert silently shifts values when column orders differ)."""
+    view = f"__insert_{table.replace('.', '_')}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)

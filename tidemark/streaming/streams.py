@@ -139,3 +139,16 @@ def run_many_available_now(specs: Sequence[tuple[DataFrame, str, str, Callable[[
     for h in handles:
         if h.exception() is not None:  # pragma: no cover
             raise RuntimeError(str(h.exception()))
+
+
+def start_stream(df: DataFrame, checkpoint: str, output_mode: str,
+                 sink: Callable[[DataFrame, int], None], processing_time: str = "10 seconds",
+                 name: str | None = None):
+    """Long-running form: a micro-batch every ``processing_time`` (the trigger
+    interval plays the role of a checkpoint interval: offsets and state are
+    committed to ``checkpoint`` once per batch). Returns the query handle."""
+    w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+         .foreachBatch(sink).trigger(processingTime=processing_time))
+    if name:
+        w = w.queryName(name)
+    return w.start()
