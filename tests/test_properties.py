@@ -210,3 +210,21 @@ def test_insert_by_name(spark):
     W.insert_by_name(spark, spark.createDataFrame([("b", 2)], "v string, k long"), "by_name_t")
     assert sorted(tuple(r) for r in spark.table("by_name_t").collect()) == [(1, "a"), (2, "b")]
     spark.sql("DROP TABLE by_name_t")
+
+
+def test_run_periods_equals_backfill(spark):
+    from tidemark.plans.periodic import run_periods
+    v = Views(spark, SF_SMALL)
+    days = [f"2024-01-{d:02d}" for d in range(1, 6)]
+    empty = facts.dates_backfill(v.v_events, "2024-01-01").limit(0)
+    path = scratch_path(spark, "periods")
+    table = run_periods(spark, path, days, empty,
+                        lambda prev, d: facts.cumulate_dates(prev.drop("snapshot"), v.v_events, d),
+                        "snapshot")
+    last = table.where(F.col("snapshot") == "2024-01-05").drop("snapshot")
+    assertDataFrameEqual(last, facts.dates_backfill(v.v_events, "2024-01-05").select(*last.columns))
+    n = last.count()
+    # re-running one period replaces it
+    run_periods(spark, path, ["2024-01-05"], table.where(F.col("snapshot") == "2024-01-04"),
+                lambda prev, d: facts.cumulate_dates(prev.drop("snapshot"), v.v_events, d), "snapshot")
+    assert spark.read.parquet(path).where(F.col("snapshot") == "2024-01-05").count() == n
