@@ -228,3 +228,13 @@ def test_run_periods_equals_backfill(spark):
     run_periods(spark, path, ["2024-01-05"], table.where(F.col("snapshot") == "2024-01-04"),
                 lambda prev, d: facts.cumulate_dates(prev.drop("snapshot"), v.v_events, d), "snapshot")
     assert spark.read.parquet(path).where(F.col("snapshot") == "2024-01-05").count() == n
+
+
+def test_reduced_fact_approx_visitors_close(spark):
+    v = Views(spark, SF_SMALL)
+    exact = {r.host: r.unique_visitors for r in facts.reduced_month_fact(v.v_events, "2024-01-30").collect()}
+    approx = {r.host: r.unique_visitors
+              for r in facts.reduced_month_fact(v.v_events, "2024-01-30", approx_visitors=True).collect()}
+    assert exact.keys() == approx.keys()
+    for h in exact:
+        assert all(abs(a - b) <= max(1, 0.1 * b) for a, b in zip(approx[h], exact[h]))

@@ -177,19 +177,23 @@ def array_to_rows(df: DataFrame, group: Sequence[str] = ("metric_name", "month_s
 
 
 def reduced_month_fact(events: DataFrame, as_of: str, key: str = "host",
-                       user: str = "user_id", time_col: str = "event_time") -> DataFrame:
+                       user: str = "user_id", time_col: str = "event_time",
+                       approx_visitors: bool = False) -> DataFrame:
     """Monthly reduced fact per key: hit_array (events per day) and
     unique_visitors (distinct users per day) as of ``as_of``.
 
     The distinct count is planned by Spark as a (key, day, user) partial
     de-duplication followed by a count, so a hot key is split across tasks
-    before the per-key arrays (bounded by the month length) are assembled."""
+    before the per-key arrays (bounded by the month length) are assembled.
+    ``approx_visitors`` uses a HyperLogLog++ sketch instead (one small buffer per
+    group and task, no de-duplication shuffle)."""
     a = _lit_date(as_of)
     ms = F.trunc(a, "month")
     d = day_of(time_col)
     e = events.where(F.col(key).isNotNull() & (d >= ms) & (d <= a))
     daily = e.groupBy(key, d.alias("date")).agg(
-        F.count(F.lit(1)).alias("hits"), F.count_distinct(user).alias("visitors"))
+        F.count(F.lit(1)).alias("hits"),
+        (F.approx_count_distinct(user) if approx_visitors else F.count_distinct(user)).alias("visitors"))
     per_key = daily.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(
         F.datediff(F.col("date"), ms).alias("i"),
         F.struct(F.col("hits"), F.col("visitors")).alias("v")))).alias("__m"))

@@ -152,3 +152,14 @@ def start_stream(df: DataFrame, checkpoint: str, output_mode: str,
     if name:
         w = w.queryName(name)
     return w.start()
+
+
+def foreach_batch_jdbc(url: str, table: str, properties: dict | None = None,
+                       mode: str = "append") -> Callable[[DataFrame, int], None]:
+    """Sink for ``foreachBatch`` into a relational table over JDBC (the driver
+    jar must be on the classpath). For exactly-once results into a keyed table,
+    write each batch to a staging table and upsert from it on the database
+    side, or use the change-log sink and ``latest_per_key``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode(mode).jdbc(url, table, properties=properties or {})
+    return write
