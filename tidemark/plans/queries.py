@@ -359,10 +359,14 @@ def q_game_grouping_top(spark, sf):
 
 @query("team_90_game_wins")
 def q_team_90_game_wins(spark, sf):
-    f = _games_facts(Views(spark, sf))
-    team_games = (f.select("team_id", "game_id", "game_date",
-                           (F.col("team_id") == F.col("winner_team_id")).cast("long").alias("won"))
-                  .distinct())
+    v = Views(spark, sf)
+    # a team's games: distinct (team, game) pairs (duplicates of a player's row do
+    # not change them, so the raw details suffice), with the game's date and winner
+    teams_in_game = v.v_game_details.select("team_id", "game_id").distinct()
+    g = v.v_games.select("game_id", "game_date", "winner_team_id")
+    team_games = teams_in_game.join(g, "game_id").select(
+        "team_id", "game_id", "game_date",
+        (F.col("team_id") == F.col("winner_team_id")).cast("long").alias("won"))
     return olap.max_stretch_sum(team_games, ["team_id"], "game_date", "game_id", "won", 90,
                                 out="max_wins_90_games")
 
@@ -370,7 +374,9 @@ def q_team_90_game_wins(spark, sf):
 @query("longest_streak")
 def q_longest_streak(spark, sf):
     from ..operators.windows import longest_run
-    f = _games_facts(Views(spark, sf))
+    v = Views(spark, sf)
+    dates = v.t.orders.select(F.col("o_orderkey").alias("game_id"), F.to_date("o_orderdate").alias("game_date"))
+    f = v.v_game_details_dedup.select("player_id", "game_id", "pts").join(dates, "game_id")
     return longest_run(f, ["player_id"], ["game_date", "game_id"], F.col("pts") > 10,
                        out="longest_streak_over_10")
 
