@@ -48,33 +48,38 @@ def growth_step(prev: DataFrame, events: DataFrame, day: str, key: str = "user_i
 
 
 def growth_backfill(events: DataFrame, last_day: str, key: str = "user_id",
-                    time_col: str = "event_time") -> DataFrame:
+                    time_col: str = "event_time", with_dates: bool = True) -> DataFrame:
     """Every daily snapshot from each key's first active day to ``last_day`` in one
     pass (equals iterating :func:`growth_step` from an empty table).
 
     Plan: one aggregation per key gathers its sorted active days (bounded by the
-    number of days); each snapshot row is generated with explode(sequence) and
-    derived from the day list with array functions, so no per-day join, no
-    window and no loop over days on the driver."""
+    number of days). Each active day d_i then generates the snapshot rows of
+    the interval [d_i, d_{i+1}) — in that interval the last active day is d_i
+    and i+1 days are active — so the work is linear in the number of snapshot
+    rows: no per-day join, no window over a key, no scan of the day list per
+    row. ``with_dates`` adds the cumulative ``dates_active`` array of the
+    snapshot table (its size grows with the history)."""
     d = day_of(time_col)
-    per_key = (events.where(F.col(key).isNotNull() & (d <= F.lit(last_day).cast("date")))
+    last = F.lit(last_day).cast("date")
+    per_key = (events.where(F.col(key).isNotNull() & (d <= last))
                .select(key, d.alias("__d")).distinct()
                .groupBy(key).agg(F.array_sort(F.collect_list("__d")).alias("__days")))
-    g = per_key.select(key, "__days",
-                       F.explode(F.sequence(F.col("__days")[0], F.lit(last_day).cast("date")))
-                       .alias("date"))
-    upto = F.filter("__days", lambda x: x <= F.col("date"))
-    g = g.select(key, "date", upto.alias("dates_active"))
-    last = F.element_at("dates_active", -1)
-    active = last == F.col("date")
-    prev_last = F.when(active, F.when(F.size("dates_active") > 1, F.element_at("dates_active", -2))
-                       ).otherwise(last)
-    y_present = F.size("dates_active") > F.when(active, F.lit(1)).otherwise(F.lit(0))
+    act = per_key.select(key, "__days", F.posexplode("__days").alias("__i", "__di"))
+    nxt = F.try_element_at("__days", (F.col("__i") + 2).cast("int"))
+    prev = F.when(F.col("__i") > 0, F.try_element_at("__days", F.col("__i").cast("int")))
+    act = act.select(key, "__days", "__i", "__di", prev.alias("__prev"),
+                     F.explode(F.sequence(F.col("__di"), F.coalesce(F.date_sub(nxt, 1), last)))
+                     .alias("date"))
+    active = F.col("date") == F.col("__di")
+    prev_last = F.when(active, F.col("__prev")).otherwise(F.col("__di"))
+    y_present = ~(active & (F.col("__i") == 0))
     t_day = F.when(active, F.col("date"))
     daily, weekly = _states(y_present, t_day, prev_last, F.date_sub(F.col("date"), 1))
-    return g.select(key, F.col("dates_active")[0].alias("first_active_date"),
-                    last.alias("last_active_date"), daily.alias("daily_active_state"),
-                    weekly.alias("weekly_active_state"), "dates_active", "date")
+    extra = [F.slice("__days", 1, F.col("__i") + 1).alias("dates_active")] if with_dates else []
+    return act.select(key, F.col("__days")[0].alias("first_active_date"),
+                      F.col("__di").alias("last_active_date"), daily.alias("daily_active_state"),
+                      weekly.alias("weekly_active_state"), *extra,
+                      (F.col("__i") + 1).cast("int").alias("num_dates"), "date")
 
 
 def retention_curve(snapshots: DataFrame) -> DataFrame:

@@ -250,14 +250,14 @@ from ..operators import growth  # noqa: E402
 
 
 def growth_snapshots(v: Views) -> DataFrame:
-    return growth.growth_backfill(v.v_events_thin, AS_OF)
+    return growth.growth_backfill(v.v_events_thin, AS_OF, with_dates=False)
 
 
 @query("growth_accounting")
 def q_growth_accounting(spark, sf):
     return growth_snapshots(Views(spark, sf)).select(
         "user_id", "date", "first_active_date", "last_active_date", "daily_active_state",
-        "weekly_active_state", F.size("dates_active").alias("num_dates"))
+        "weekly_active_state", "num_dates")
 
 
 @query("growth_accounting_step")
