@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+def broadcast_checked(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """``broadcast(df)`` only when the side is proven small: a bounded count
     (``limit(max_rows + 1)``) stops reading as soon as the bound is exceeded.
     Otherwise the plain side is returned and the planner shuffles (or AQE
@@ -41,7 +41,7 @@ def bucketed_tables(spark: SparkSession, tables: dict[str, DataFrame], n: int, c
 
 
 def range_join(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: str,
-               block: int, how: str = "left", max_broadcast_rows: int = 2_000_000) -> DataFrame:
+               block: int, how: str = "left", max_broadcast_rows: int = 500_000) -> DataFrame:
     """``lo <= point <= hi`` as an equi join on blocks of width ``block``.
 
     Each range is expanded to the blocks it touches (one row per block), each
