@@ -63,3 +63,9 @@ def test_range_join_is_equi_join(spark):
     df = Q.q_geo_enrich(spark, SF_SMALL)
     txt = plan_text(df)
     assert "NestedLoop" not in txt and "Cartesian" not in txt
+
+
+def test_first_per_key_limits_before_the_shuffle(spark):
+    df = Q.q_team_vertices(spark, SF_SMALL)
+    txt = plan_text(df, "simple")
+    assert "WindowGroupLimit" in txt and "Partial" in txt, txt
