@@ -238,3 +238,25 @@ def test_reduced_fact_approx_visitors_close(spark):
     assert exact.keys() == approx.keys()
     for h in exact:
         assert all(abs(a - b) <= max(1, 0.1 * b) for a, b in zip(approx[h], exact[h]))
+
+
+def test_growth_backfill_equals_iterated_steps_random(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for u in range(12):
+        for day in range(1, 21):
+            if rnd.random() < (0.15 if u % 3 == 0 else 0.5):
+                rows.append((u, f"2024-02-{day:02d} 10:00:00"))
+    ev = spark.createDataFrame(rows, "user_id long, t string").select(
+        "user_id", F.col("t").cast("timestamp_ntz").alias("event_time"))
+    full = growth.growth_backfill(ev, "2024-02-20")
+    prev = full.limit(0).drop("num_dates")
+    cols = ["user_id", "first_active_date", "last_active_date", "daily_active_state",
+            "weekly_active_state", "date"]
+    for day in range(1, 21):
+        d = f"2024-02-{day:02d}"
+        prev = growth.growth_step(prev, ev, d).checkpoint()
+        exp = full.where(F.col("date") == F.lit(d).cast("date"))
+        assertDataFrameEqual(prev.select(*cols, F.size("dates_active").alias("n")),
+                             exp.select(*cols, F.col("num_dates").alias("n")))
