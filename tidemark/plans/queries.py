@@ -39,11 +39,11 @@ def _season_list(col: str = "seasons"):
     return F.array_join(F.transform(col, lambda s: s["season"].cast("string")), ",")
 
 
-def _flat_players(df: DataFrame) -> DataFrame:
+def _flat_players(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "player_name", "current_season", "scoring_class", "years_since_last_active", "is_active",
         F.size("seasons").alias("seasons_played"), _season_list().alias("season_list"),
-        F.element_at("seasons", -1)["pts"].alias("last_pts"))
+        F.element_at("seasons", -1)["pts"].alias("last_pts"), *extra)
 
 
 def players_backfill(v: Views, last=None) -> DataFrame:
@@ -66,8 +66,7 @@ def q_cumulative_dim_step(spark, sf):
     prev = players_backfill(v, STEP_SEASON - 1).where(F.col("current_season") == STEP_SEASON - 1)
     cur = v.v_player_seasons.where(F.col("season") == STEP_SEASON)
     out = dims.cumulate_dim(prev, cur, STEP_SEASON)
-    return _flat_players(out).join(out.select("player_name", "weight", "country", "college"),
-                                   "player_name")
+    return _flat_players(out, "weight", "country", "college")
 
 
 @query("scd2_backfill")
