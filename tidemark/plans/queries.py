@@ -153,9 +153,9 @@ def site_hits_arrays(v: Views, fill, metric_name=None, first_found=False) -> Dat
     if metric_name is not None:
         prev = prev.withColumn("metric_name", F.lit(metric_name))
     today = daily.where(F.col("date") == F.lit(AS_OF).cast("date"))
-    step = facts.cumulate_month(prev, today, AS_OF, fill=fill, metric_name=metric_name)
-    keys = ["user_id", "month_start"] + (["metric_name"] if metric_name else [])
-    return facts.upsert(prev, step, keys)
+    # the full outer join already carries every key of yesterday's table, so the
+    # step output is the whole month table (the keyed upsert is `merge_upsert`)
+    return facts.cumulate_month(prev, today, AS_OF, fill=fill, metric_name=metric_name)
 
 
 @query("monthly_array_metrics")

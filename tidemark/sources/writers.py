@@ -33,12 +33,11 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     checkpoint folder (the merged rows must not be read from the files being
     replaced) and written back with a dynamic partition overwrite. Re-running
     with the same updates yields the same table."""
+    from ..operators.facts import upsert
     existing = spark.read.parquet(path)
     touched = updates.select(*part_cols).distinct()
     old = existing.join(touched, list(part_cols), "left_semi")
-    merged = old.join(updates.select(*keys), list(keys), "left_anti").unionByName(
-        updates.select(*existing.columns))
-    merged = merged.checkpoint(eager=True)
+    merged = upsert(old, updates, keys).checkpoint(eager=True)
     write_snapshot(merged, path, part_cols)
 
 
