@@ -131,3 +131,14 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     m = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])).alias("__m")
     return df.groupBy(*group).agg(m).select(
         *group, *[F.col(f"__m.{c}").alias(prefix + c) for c in [*order, *payload]])
+
+
+def top_per_group_by(df: DataFrame, group: Sequence[str], rankings: dict[str, Sequence[str]],
+                     payload: Sequence[str]) -> DataFrame:
+    """Several top-1 answers per group in ONE aggregation: for each
+    ``prefix -> order columns`` a struct max (ties to the larger payload)."""
+    aggs = [F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])).alias(f"__{p}")
+            for p, order in rankings.items()]
+    out = df.groupBy(*group).agg(*aggs)
+    return out.select(*group, *[F.col(f"__{p}.{c}").alias(p + c)
+                                for p, order in rankings.items() for c in [*order, *payload]])

@@ -351,9 +351,8 @@ def q_game_grouping_sets(spark, sf):
 def q_game_grouping_top(spark, sf):
     g = game_grouping_sets(Views(spark, sf))
     keys = ["player_name", "team_abbreviation", "season"]
-    by_pts = olap.top_per_group(g, ["aggregation_level"], ["total_pts"], keys, prefix="pts_")
-    by_won = olap.top_per_group(g, ["aggregation_level"], ["games_won"], keys, prefix="won_")
-    return by_pts.join(by_won, "aggregation_level")
+    return olap.top_per_group_by(g, ["aggregation_level"],
+                                 {"pts_": ["total_pts"], "won_": ["games_won"]}, keys)
 
 
 @query("team_90_game_wins")
