@@ -40,9 +40,25 @@ def _pick(values, idx_col):
 
 
 class Views:
-    """The ``v_*`` views of FIXTURES.md §2."""
+    """The ``v_*`` views of FIXTURES.md §2.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``Views(spark, sf_dir)`` returns one shared instance per session and folder:
+    the views are immutable logical plans over read-only tables, so queries of
+    one application reuse them instead of rebuilding (and re-analysing) them."""
+
+    _instances: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+        inst = cls._instances.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst._init(spark, sf_dir)
+            cls._instances = {k: v for k, v in cls._instances.items() if k[:2] == key[:2]}
+            cls._instances[key] = inst
+        return inst
+
+    def _init(self, spark: SparkSession, sf_dir: str):
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
