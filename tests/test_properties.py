@@ -260,3 +260,22 @@ def test_growth_backfill_equals_iterated_steps_random(spark):
         exp = full.where(F.col("date") == F.lit(d).cast("date"))
         assertDataFrameEqual(prev.select(*cols, F.size("dates_active").alias("n")),
                              exp.select(*cols, F.col("num_dates").alias("n")))
+
+
+def test_range_join_random_against_brute_force(spark):
+    import random
+    rnd = random.Random(5)
+    ranges = []
+    for i in range(40):
+        lo = rnd.randint(0, 50_000)
+        ranges.append((lo, lo + rnd.randint(0, 4_000), f"r{i}"))
+    points = [(i, rnd.randint(-100, 56_000)) for i in range(300)]
+    pts = spark.createDataFrame(points, "id long, ip long")
+    rng = spark.createDataFrame(ranges, "lo long, hi long, name string")
+    for block in (250, 1000, 7000):
+        got = sorted((r.id, r.name or "") for r in range_join(pts, rng, "ip", "lo", "hi", block).collect())
+        exp = []
+        for pid, ip in points:
+            hits = [n for lo, hi, n in ranges if lo <= ip <= hi]
+            exp += [(pid, n) for n in hits] or [(pid, "")]
+        assert got == sorted(exp)
