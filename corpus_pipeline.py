@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, mixing, quality_rules, secret_scan
+from tidemark.llm import decontam, jaccard_join, mixing, quality_rules, secret_scan
 from tidemark.llm.common import materialize
 
 
@@ -19,6 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.reject_outliers(docs)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies stays (5-word n-grams, Jaccard 0.8)."""
+    return jaccard_join.keep_first(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover 5 % of the words or more go."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -36,6 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("n-gram Jaccard join", distinct),
     ("benchmark decontamination", decontaminated),
     ("secret scans", without_secrets),
     ("mixing", mixed),

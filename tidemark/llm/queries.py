@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_lines, mixing, quality_rules, secret_scan, token_counts, warc
+from . import byte_cnn, decontam, html_lines, jaccard_join, lm_score, mixing, quality_rules, secret_scan, token_counts, warc
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -19,6 +19,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm_score.score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), held)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = warc.derivatives(warc.responses(_table(spark, sf_dir, "pages")))
     return d.select(F.col("source_key").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri",
@@ -49,12 +54,26 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, percent=90)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = lambda c: F.pmod(F.crc32(c.cast("string")), F.lit(5))
+    net = byte_cnn.fit_classifier(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"), rest(F.col("__id")) != 0)
+    return byte_cnn.classify(docs, net).select("doc_id", (rest(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extraction": op5_html_extraction,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_quality_classifier": op10_quality_classifier,
 }
