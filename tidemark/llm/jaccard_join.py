@@ -69,6 +69,13 @@ def _bucket_bits(buckets: int) -> int:
     return max(0, (buckets - 1).bit_length())
 
 
+def _below(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits that follow the bucket's bits. Frequencies only order n-grams, so a
+    rare collision costs an index entry, never a link; a bucket's load stays the
+    same as buckets grow with the input."""
+    return ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+
+
 def _slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Ranges of sorted keys by their upper bits."""
     if not len(keys):
@@ -92,12 +99,12 @@ def frequencies(src: DataFrame, n: int, buckets: int) -> DataFrame:
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         _, _, distinct = _chunk_sets(pdf["__text"], n)
         keys, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True) if distinct else (np.empty(0, np.uint64), None)
-        rows = [(pdf["__chunk"].iloc[0], b, keys[s].tobytes(), counts[s].astype(np.uint16 if len(distinct) < 65536 else np.uint32).tobytes())
+        rows = [(pdf["__chunk"].iloc[0], b, _below(keys[s], bits).tobytes(), counts[s].astype(np.uint16 if len(distinct) < 65536 else np.uint32).tobytes())
                 for b, s in _slices(keys, bits)]
         return pd.DataFrame(rows, columns=["__chunk", "bucket", "keys", "counts"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        keys = [np.frombuffer(k, np.uint32) for k in pdf["keys"]]
         counts = [np.frombuffer(c, np.uint16 if len(c) == 2 * len(k) else np.uint32) for c, k in zip(pdf["counts"], keys)]
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.minimum(np.bincount(at, weights=np.concatenate(counts)), 65535).astype(np.uint16)[at]
