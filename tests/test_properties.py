@@ -66,7 +66,7 @@ def test_month_array_pads_skipped_days(spark):
 
 def test_growth_step_equals_backfill(spark):
     v = Views(spark, SF_SMALL)
-    e = v.v_events_thin
+    e = v.v_events
     prev = growth.growth_backfill(e, "2024-01-19").where(F.col("date") == F.lit("2024-01-19").cast("date"))
     step = growth.growth_step(prev, e, "2024-01-20")
     full = growth.growth_backfill(e, "2024-01-20").where(F.col("date") == F.lit("2024-01-20").cast("date"))

@@ -238,6 +238,7 @@ def backfill_actors(films: DataFrame, last_year: int, key: str = "actorid", name
     iterating :func:`cumulate_actors` (with the same ``with_films``)."""
     from ..functions.exprs import quality_class
     class_fn = class_fn or quality_class
+    films = films.where(F.col("year") <= last_year)  # later debuts have no year yet
     per_year = _actor_year_summary(films, [key, "year"], name, film_fields, with_films)
     fields = ["year", "avg_rating", "n", "v"] + (["films"] if with_films else [])
     per_actor = (per_year.groupBy(key)

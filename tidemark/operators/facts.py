@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,11 +122,15 @@ def month_array_backfill(daily: DataFrame, as_of: str, keys: Sequence[str] = ("u
 
 def cumulate_month(prev: DataFrame, daily_today: DataFrame, day: str, keys: Sequence[str] = ("user_id",),
                    value: str = "num_site_hits", fill=0, metric_name: str | None = None) -> DataFrame:
-    """Daily step of the month array: yesterday's arrays full-outer-joined with
-    today's values; arrays are padded with ``fill`` up to day-1 (late joiners
-    and skipped days) before today's value (or ``fill``) is appended."""
+    """Daily step of the month array: the month's arrays so far full-outer-joined
+    with today's values; arrays are padded with ``fill`` up to day-1 (late joiners
+    and skipped days) before today's value (or ``fill``) is appended. Rows of other
+    months in ``prev`` are left alone, and an array that already reaches today is
+    cut to day-1 first, so a new month starts afresh and a day can run again."""
     a = _lit_date(day)
     ms = F.trunc(a, "month")
+    if "month_start" in prev.columns:
+        prev = prev.where(F.col("month_start").cast("date") == ms)
     y, t = prev.alias("y"), daily_today.alias("t")
     cond = None
     for k in keys:
@@ -133,7 +138,7 @@ def cumulate_month(prev: DataFrame, daily_today: DataFrame, day: str, keys: Sequ
         cond = c if cond is None else cond & c
     j = y.join(t, cond, "full")
     fill_col = F.lit(fill).cast("long")
-    base = F.coalesce(F.col("y.metric_array"), empty_array(T.LongType()))
+    base = F.slice(F.coalesce(F.col("y.metric_array"), empty_array(T.LongType())), F.lit(1), F.datediff(a, ms))
     pad = F.array_repeat(fill_col, F.greatest(F.datediff(a, ms) - F.size(base), F.lit(0)))
     today_val = F.coalesce(F.col(f"t.{value}").cast("long"), fill_col)
     cols = [*[F.coalesce(F.col(f"y.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
@@ -152,7 +157,12 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Data
     """Keyed upsert as a plan: rows of ``existing`` whose key is not in
     ``updates`` (left anti join), plus all of ``updates``. Written back with a
     dynamic partition overwrite this is the ON CONFLICT DO UPDATE of the
-    reference, and re-running it is idempotent."""
+    reference, and re-running it is idempotent. Two updates of one key fail the
+    query: which of them wins is not defined."""
+    per_key = Window.partitionBy(*keys)
+    twice = F.raise_error(F.lit("upsert: more than one update row for a key"))
+    updates = (updates.withColumn("__same_key", F.count(F.lit(1)).over(per_key))
+               .where(F.when(F.col("__same_key") > 1, twice).otherwise(F.lit(True))).drop("__same_key"))
     keep = existing.join(updates.select(*keys), list(keys), "left_anti")
     return keep.unionByName(updates.select(*existing.columns))
 

@@ -1,4 +1,4 @@
-"""Join strategies a Spark user chooses explicitly: size-checked broadcast,
+"""Join strategies a Spark user chooses explicitly:
 bucketed (shuffle-free) sort-merge join, range joins rewritten to equi joins."""
 
 from __future__ import annotations
@@ -11,15 +11,6 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """``broadcast(df)`` only when the side is proven small: a bounded count
-    (``limit(max_rows + 1)``) stops reading as soon as the bound is exceeded.
-    Otherwise the plain side is returned and the planner shuffles (or AQE
-    broadcasts on measured size)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def write_bucketed(df: DataFrame, name: str, n: int, cols: Sequence[str], path: str,
                    sort: bool = True) -> DataFrame:
     """Save ``df`` as a table bucketed (and sorted) on ``cols`` into ``n`` buckets at
@@ -41,18 +32,17 @@ def bucketed_tables(spark: SparkSession, tables: dict[str, DataFrame], n: int, c
 
 
 def range_join(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: str,
-               block: int, how: str = "left", max_broadcast_rows: int = 500_000) -> DataFrame:
+               block: int, how: str = "left") -> DataFrame:
     """``lo <= point <= hi`` as an equi join on blocks of width ``block``.
 
     Each range is expanded to the blocks it touches (one row per block), each
     point falls in exactly one block; the equi join on the block id is followed
     by the range predicate. With ranges no wider than a few blocks the
     expansion is linear and the join is a normal hash/sort-merge join, so a
-    large range table never becomes a nested loop. The range side is broadcast
-    when its expanded size is proven small."""
+    large range table never becomes a nested loop. Whether the range side is
+    broadcast is left to Spark's byte threshold and its measured sizes."""
     r = ranges.select("*", F.explode(F.sequence(F.floor(F.col(lo) / block).cast("long"),
                                                 F.floor(F.col(hi) / block).cast("long"))).alias("__blk"))
-    r = broadcast_checked(r, max_broadcast_rows)
     p = points.withColumn("__blk", F.floor(F.col(point) / block).cast("long"))
     cond = ((p["__blk"] == r["__blk"]) & (p[point] >= r[lo]) & (p[point] <= r[hi]))
     return p.join(r, cond, how).drop(p["__blk"]).drop(r["__blk"])

@@ -85,7 +85,7 @@ SELECT event_id,
        CASE WHEN event_type = 'purchase' THEN '/api/v1/user' ELSE '/' || event_type END AS url,
        {_case(REFERRERS, f"({_K}) % 8")} AS referrer,
        CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id END AS user_id,
-       {_K} AS device_id,
+       CASE WHEN ({_K}) % 11 = 10 THEN -({_K}) ELSE {_K} END AS device_id,
        {_case(HOSTS, "user_id % 3")} AS host,
        ts AS event_time
 FROM events
@@ -97,23 +97,15 @@ UNION ALL
 SELECT * FROM v_events_base WHERE event_id % 50 = 0
 """)
 
-VIEWS["v_events_thin"] = (["v_events"], """
-SELECT * FROM v_events
-WHERE user_id IS NULL OR NOT (
-     (user_id % 4 = 1 AND day(event_time) BETWEEN 5 AND 14)
-  OR (user_id % 4 = 2 AND day(event_time) < 10)
-  OR (user_id % 4 = 3 AND day(event_time) > 12))
-""")
-
 VIEWS["v_devices"] = ([], """
 SELECT p_partkey AS device_id, p_brand AS browser_type,
        CASE WHEN p_size < 5 THEN NULL ELSE p_type END AS os_type,
        split_part(p_name, ' ', 1) AS device_type
-FROM part WHERE p_partkey < 90
+FROM part
 """)
 
 VIEWS["v_web_events"] = (["v_events"], """
-SELECT event_id, user_id * 1000 + device_id AS ip, referrer, host, url,
+SELECT event_id, user_id * 1000 + abs(device_id) AS ip, referrer, host, url,
        strftime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS event_time
 FROM v_events
 """)
@@ -138,13 +130,13 @@ FROM lineitem GROUP BY l_orderkey, l_suppkey
 """)
 
 VIEWS["v_medals_matches_players"] = ([], """
-SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey % 50 AS medal_id,
+SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey AS medal_id,
        CAST(SUM(CAST(l_linenumber AS BIGINT)) AS BIGINT) AS count
-FROM lineitem GROUP BY l_orderkey, l_suppkey, l_partkey % 50
+FROM lineitem GROUP BY l_orderkey, l_suppkey, l_partkey
 """)
 
 VIEWS["v_medals"] = ([], """
-SELECT p_partkey AS medal_id, p_name AS name, p_type AS classification FROM part WHERE p_partkey < 50
+SELECT p_partkey AS medal_id, p_name AS name, p_type AS classification FROM part
 """)
 
 VIEWS["v_maps"] = ([], "SELECT n_nationkey AS mapid, n_name AS name FROM nation")

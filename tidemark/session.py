@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Values that a cluster deployment is expected to override through spark-defaults.
+# Settings of a local session; a cluster has its own in spark-defaults.
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -23,32 +22,35 @@ LOCAL_DEFAULTS = {
 
 
 def get_spark(master: str | None = None, app: str = "tidemark", **conf: str) -> SparkSession:
-    """Local session for tests and the bench; on a cluster use the provided session."""
+    """A session for tests and the bench; on a cluster use the provided session.
+    The defaults above hold for a ``local`` master only."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**LOCAL_DEFAULTS, **conf}.items():
+    defaults = LOCAL_DEFAULTS if (master or "").startswith("local[") or master == "local" else {}
+    for k, v in {**defaults, **conf}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, registered for checkpoints.
 
-    On a cluster this setting names a shared file system folder and is only
-    read. Where it is unset (local tests) a fresh private folder is created
-    and registered.
+    Where it is unset, one process on one machine (a ``local`` master, as in
+    tests) gets a folder of its own; elsewhere executors would not see such a
+    folder, so the call fails.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tidemark-local-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -56,12 +58,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
-def makedirs_if_local(p: str) -> None:
-    if is_local_path(p):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)

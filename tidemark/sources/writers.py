@@ -26,15 +26,21 @@ def write_partitioned(df: DataFrame, path: str, by: str, transform: str = "year"
 
 
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                 part_cols: Sequence[str]) -> None:
+                 part_cols: Sequence[str], partitions: dict[str, Sequence] | None = None) -> None:
     """ON CONFLICT (keys) DO UPDATE for a parquet table partitioned by
-    ``part_cols``: only partitions touched by ``updates`` are read, merged
+    ``part_cols``. ``partitions`` names the partition values of the batch (known
+    from its period), so the scan of the old table is pruned to them; updates outside
+    of them fail. The old rows of the touched partitions are merged
     (old rows without a new version + all new rows), checkpointed to the shared
     checkpoint folder (the merged rows must not be read from the files being
     replaced) and written back with a dynamic partition overwrite. Re-running
     with the same updates yields the same table."""
     from ..operators.facts import upsert
     existing = spark.read.parquet(path)
+    for col, values in (partitions or {}).items():
+        existing = existing.where(F.col(col).isin(list(values)))
+        stray = F.raise_error(F.lit(f"merge_upsert: an update outside the named partitions of {col}"))
+        updates = updates.where(F.when(F.col(col).isin(list(values)), F.lit(True)).otherwise(stray))
     touched = updates.select(*part_cols).distinct()
     old = existing.join(touched, list(part_cols), "left_semi")
     merged = upsert(old, updates, keys).checkpoint(eager=True)
@@ -42,13 +48,13 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
 
 
 def layout_report(spark: SparkSession, layouts: dict[str, str]) -> DataFrame:
-    """Bytes and file count per written layout, from the ``_metadata`` columns
+    """Bytes, files and rows per written layout, from the ``_metadata`` columns
     of the files (distributed: no driver-side listing)."""
     out = None
     for label, path in layouts.items():
-        files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-        r = files.agg(F.sum("file_size").alias("size_bytes"), F.count(F.lit(1)).alias("num_files")) \
-                 .withColumn("layout", F.lit(label))
+        files = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").count()
+        r = files.agg(F.sum("file_size").alias("size_bytes"), F.count(F.lit(1)).alias("num_files"),
+                      F.sum("count").alias("num_rows")).withColumn("layout", F.lit(label))
         out = r if out is None else out.unionByName(r)
     return out
 
