@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from ..session import ensure_checkpoint_dir
+
 # White space between words: space and U+0009..U+000D, nothing else.
 SPACE = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -33,10 +35,7 @@ def word_array(text: Column) -> Column:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
