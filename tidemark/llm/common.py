@@ -65,7 +65,7 @@ def with_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     totals = df.groupBy(*keys, b).agg(F.sum(value).alias(tot))
     wk = W.partitionBy(*keys).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
     before = totals.withColumn(pre, F.coalesce(F.sum(tot).over(wk), F.lit(0))).drop(tot)
-    return inner.join(before, [*keys, b]).withColumn(out, F.col(own) + F.col(pre)).drop(b, own, pre)
+    return inner.join(before.hint("merge"), [*keys, b]).withColumn(out, F.col(own) + F.col(pre)).drop(b, own, pre)
 
 
 def keep_columns(docs: DataFrame, *names: str) -> list[Column]:

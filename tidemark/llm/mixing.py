@@ -145,7 +145,7 @@ class Mix:
 
         return self.spark.range(math.ceil(slots / width)).mapInPandas(run, "shard long, source int, n long")
 
-    def slot_table(self) -> DataFrame:
+    def slot_table(self, slots_per_task: int = 50_000) -> DataFrame:
         """(shard, slot, __source, __index): the block that each slot of the mix holds."""
         numbered = with_prefix_sum(self.draws(), ["source"], ["shard"], "n", F.floor(F.col("shard") / 4096), "first")
         blocks, most, seed = self.blocks, self.max_slots, self.seed
@@ -164,7 +164,9 @@ class Mix:
                     place = np.array([_key(seed, int(shard), int(s), int(x)) >> 1 for x in j], dtype=np.int64)
                     yield pd.DataFrame({"shard": np.int64(shard), "__place": place, "__source": np.int32(s), "__index": index})
 
-        return numbered.mapInPandas(run, "shard long, __place long, __source int, __index long")
+        # A row makes up to a shard's slots: dealt by number, so that few bytes are not one task.
+        tasks = max(1, math.ceil(self.slots / slots_per_task))
+        return numbered.repartition(tasks, "shard", "source").mapInPandas(run, "shard long, __place long, __source int, __index long")
 
     def segments(self) -> DataFrame:
         """(row's columns, __index, __words): words of each row in each block it touches."""
@@ -178,7 +180,8 @@ class Mix:
     def taken(self) -> DataFrame:
         """(__id, __size, __source_size, __target, __taken): one row per row of the table."""
         times = self.slot_table().groupBy("__source", "__index").agg(F.count("*").alias("__times"))
-        got = self.segments().join(times, ["__source", "__index"], "left")
+        # Sizes of Python output are not known to the planner; both sides grow with the corpus.
+        got = self.segments().join(times.hint("merge"), ["__source", "__index"], "left")
         row = ["__id", "__hash", "__source", "__start", "__size", "__source_size", "__target"]
         # Words of rows alike in all of these (repeated blank rows) are told apart by count.
         some = got.filter("__size > 0").groupBy(*row).agg(F.sum(F.coalesce(F.col("__times"), F.lit(0)) * F.col("__words")).alias("__taken"))
@@ -203,7 +206,7 @@ def mix_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Rows alike in id and text are distinct places in the stream with the same words.
     spots = mix.rows.filter("__size > 0").select("__id", "__hash", "__source", "__start")
     texts = texts.dropDuplicates(["__id", "__hash"])
-    placed = spots.join(texts, ["__id", "__hash"])
+    placed = spots.join(texts.hint("merge"), ["__id", "__hash"])
     kind = placed.schema["__id"].dataType
     schema = T.StructType([T.StructField("__source", T.IntegerType()), T.StructField("__index", T.LongType()),
                            T.StructField("__at", T.IntegerType()), T.StructField("__id", kind),
@@ -224,7 +227,7 @@ def mix_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     pieces = placed.select("__id", "__source", "__start", "__text").mapInPandas(run, schema)
     whole = pieces.groupBy("__source", "__index").agg(F.array_sort(F.collect_list(F.struct("__at", "__id", "__n", "__piece"))).alias("__p"))
-    slots = mix.slot_table().join(whole, ["__source", "__index"]).join(mix.recipe.select("__source", F.col("__name").alias("source")), "__source")
+    slots = mix.slot_table().join(whole.hint("merge"), ["__source", "__index"]).join(mix.recipe.select("__source", F.col("__name").alias("source")), "__source")
     p = F.col("__p")
     return slots.select(
         "shard", F.col("__place").alias("slot"), "source", F.col("__index").alias("block"),

@@ -195,8 +195,8 @@ def _group_names(rows: DataFrame, min_rows: int) -> DataFrame:
     """(lang, source) -> group name ``__g``: own, the language's rest or the pooled rest."""
     sizes = rows.groupBy("__lang", "__source").agg(F.count("*").alias("n"))
     named = sizes.withColumn("own", F.col("n") >= min_rows)
-    by_lang = named.filter(~F.col("own")).groupBy("__lang").agg(F.sum("n").alias("ln"))
-    named = named.join(by_lang, named["__lang"].eqNullSafe(by_lang["__lang"]), "left").drop(by_lang["__lang"])
+    by_lang = named.filter(~F.col("own")).groupBy(F.col("__lang").alias("__small")).agg(F.sum("n").alias("ln"))
+    named = named.join(by_lang, F.col("__lang").eqNullSafe(F.col("__small")), "left").drop("__small")
     named = named.withColumn("level", F.when(F.col("own"), 0).when(F.col("ln") >= min_rows, 1).otherwise(2))
     tag = lambda c: F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), c))
     name = F.when(F.col("level") == 0, F.concat_ws("\x1f", F.lit("0"), tag(F.col("__lang")), tag(F.col("__source")))) \
