@@ -34,7 +34,7 @@ MAX_REPEAT_PERCENT = 20
 
 DIMS = ("x_word", "x_symbol", "x_repeat", "x_lines", "x_upper")
 # Least scatter of each statistic: smaller differences are no evidence.
-FLOOR = {"x_word": 0.08, "x_symbol": 0.03, "x_repeat": 0.05, "x_lines": 0.05, "x_upper": 0.05}
+FLOOR = {"x_word": 0.08, "x_symbol": 0.03, "x_repeat": 0.12, "x_lines": 0.15, "x_upper": 0.05}
 START_BINS = 1024  # per unit of a statistic, for medians
 DIST_BINS = 16  # per power of two of a squared distance
 

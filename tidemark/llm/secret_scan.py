@@ -2,7 +2,7 @@
 
 Patterns find assignments, access keys and hex strings. Every other run of 20 or
 more characters of the usual encodings is a candidate. Its encoding is inferred
-(digits, hex, base 32, letters, alphanumeric, base 64) and gives an alphabet;
+(digits, hex, base 32, letters, joined words, alphanumeric, base 64) and gives an alphabet;
 characters become numbers of that alphabet and meet three tests:
 
 * chi-squared uniformity over the alphabet. Its sum of squared counts is also the
@@ -47,6 +47,7 @@ ENCODINGS = (
     ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef"),
     ("base32", r"^(?=.*[2-7])[A-Z2-7]+$", UPPER + "234567"),
     ("letters", r"^([A-Z]?[a-z]+|[A-Z]+)$", LOWER),
+    ("words", r"^[A-Z]?[a-z]+([-_/+][A-Z]?[a-z]+)+$", LOWER + "-_/+"),
     ("alnum", r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     ("base64url", r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
     ("base64", r"^.*$", UPPER + LOWER + DIGITS + "+/"),
@@ -106,7 +107,7 @@ def battery(token: Column) -> Column:
         enc = F.when(body.rlike(ENCODINGS[i][1]), F.lit(i)).otherwise(enc)
 
     def numbers(x: Column) -> Column:
-        word = F.when(x["enc"].isin(1, 3), F.lower(x["body"])).otherwise(x["body"])
+        word = F.when(x["enc"].isin(1, 3, 4), F.lower(x["body"])).otherwise(x["body"])
         alphabet = _pick(x["enc"], [a for _, _, a in ENCODINGS])
         return F.struct(x["enc"].alias("enc"), _pick(x["enc"], [len(a) for _, _, a in ENCODINGS]).cast("double").alias("m"),
                         F.transform(F.split(word, ""), lambda c: F.instr(alphabet, c) - 1).alias("v"))
