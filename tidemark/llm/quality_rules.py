@@ -124,9 +124,10 @@ def chi2_quantile(p: float, k: int) -> float:
     return hi
 
 
-def _bin_quantile(df: DataFrame, keys: list[str], bin_col: str, share: float, out: str) -> DataFrame:
-    """Per key the least bin that ``share`` of the rows reach, from counts per bin."""
-    counts = df.groupBy(*keys, bin_col).agg(F.expr("count(*) AS __n"))
+def _bin_quantile(df: DataFrame, keys: list[str], bin_col: str, share: float, out: str, weight: str = "1") -> DataFrame:
+    """Per key the least bin that ``share`` of the rows reach, from counts per bin; a
+    row of ``df`` stands for ``weight`` rows."""
+    counts = df.groupBy(*keys, bin_col).agg(F.expr(f"sum({weight}) AS __n"))
     # At most a few thousand bins a key by construction of the bins.
     rows = counts.groupBy(*keys).agg(F.expr(f"array_sort(collect_list(struct({bin_col} AS b, __n AS n))) AS __b"), F.expr("sum(__n) AS __all"))
     return rows.select(*keys, F.expr(f"""
@@ -135,13 +136,15 @@ def _bin_quantile(df: DataFrame, keys: list[str], bin_col: str, share: float, ou
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Centre and diagonal scatter per group from medians and median deviations."""
+    """Centre and diagonal scatter per group from medians and median deviations. Only
+    counts per (group, statistic, bin) meet the medians, never the rows."""
     p = len(DIMS)
     stats = ", ".join(f"struct({i} AS d, cast(floor({x} * {START_BINS}) AS bigint) AS b)" for i, x in enumerate(DIMS))
-    long = rows.select("__g", F.expr(f"inline(array({stats}))"))
-    med = _bin_quantile(long, ["__g", "d"], "b", 0.5, "m")
-    dev = long.join(med, ["__g", "d"]).withColumn("b", F.expr("abs(b - m)"))
-    mad = _bin_quantile(dev, ["__g", "d"], "b", 0.5, "s")
+    bins = rows.select("__g", F.expr(f"inline(array({stats}))")).groupBy("__g", "d", "b").agg(F.count("*").alias("n"))
+    bins = materialize(bins, "mcd-bins")
+    med = _bin_quantile(bins, ["__g", "d"], "b", 0.5, "m", "n")
+    dev = bins.join(med, ["__g", "d"]).withColumn("b", F.expr("abs(b - m)"))
+    mad = _bin_quantile(dev, ["__g", "d"], "b", 0.5, "s", "n")
     pick = lambda c, i: f"max(if(d = {i}, {c}, null))"
     start = med.join(mad, ["__g", "d"]).groupBy("__g").agg(*[F.expr(x) for i in range(p) for x in (
         f"{pick(f'(m + 0.5D) / {START_BINS}', i)} AS c{i}",
