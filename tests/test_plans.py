@@ -70,3 +70,10 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     df = Q.q_team_vertices(spark, SF_SMALL)
     txt = plan_text(df, "simple")
     assert "WindowGroupLimit" in txt and "Partial" in txt, txt
+
+
+def test_date_predicate_of_the_dimension_side_reaches_its_scan(spark):
+    tables = Q.bucketed_match_tables(spark, Views(spark, SF_SMALL), only=("match_details", "matches"))
+    out = Q.matches_on_day(tables, Q.MATCH_DAY)
+    assert count_ops(out, "Exchange") == 0, plan_text(out)
+    assert "GreaterThanOrEqual(completion_date" in plan_text(out), plan_text(out)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -279,3 +280,30 @@ def test_range_join_random_against_brute_force(spark):
             hits = [n for lo, hi, n in ranges if lo <= ip <= hi]
             exp += [(pid, n) for n in hits] or [(pid, "")]
         assert got == sorted(exp)
+
+
+def test_reduced_month_step_equals_the_whole_month(spark):
+    """Random days, a month's change, skipped days and days that run again."""
+    rng = np.random.default_rng(5)
+    start = dt.datetime(2024, 1, 20)
+    rows = [(f"h{rng.integers(3)}" if rng.random() > .05 else None, int(rng.integers(4)) if rng.random() > .1 else None,
+             start + dt.timedelta(hours=int(rng.integers(24 * 20)))) for _ in range(120)]
+    ev = spark.createDataFrame(rows, "host string, user_id long, event_time timestamp_ntz")
+    state = facts.reduced_month_fact(ev, "2024-01-29")
+    for day in ("2024-01-30", "2024-01-30", "2024-01-31", "2024-02-01", "2024-02-02", "2024-02-02"):
+        state = facts.reduced_month_step(state, ev, day).checkpoint()
+        assertDataFrameEqual(state, facts.reduced_month_fact(ev, day))
+    # a day that is skipped counts as a day without events
+    gap = facts.reduced_month_step(state, ev, "2024-02-05")
+    without = ev.where(~F.to_date("event_time").isin(dt.date(2024, 2, 3), dt.date(2024, 2, 4)))
+    assertDataFrameEqual(gap, facts.reduced_month_fact(without, "2024-02-05"))
+
+
+def test_actor_step_onto_history_equals_history(spark):
+    films = Views(spark, SF_SMALL).v_actor_films
+    by = {"key": ("actorid",), "period": "current_year", "attrs": ("quality_class", "is_active")}
+    snaps = dims.backfill_actors(films, 2001, with_films=False).checkpoint()
+    scd = dims.scd2_backfill(snaps.where("current_year <= 1998"), **by)
+    for year in (1999, 2000, 2001):
+        scd = dims.scd2_incremental(scd, snaps.where(F.col("current_year") == year), year, **by).checkpoint()
+        assertDataFrameEqual(scd, dims.scd2_backfill(snaps.where(F.col("current_year") <= year), **by))

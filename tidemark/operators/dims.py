@@ -261,3 +261,13 @@ def backfill_actors(films: DataFrame, last_year: int, key: str = "actorid", name
         class_fn(lst["avg_rating"]).alias("quality_class"),
         (lst["year"] == F.col("current_year")).alias("is_active"),
         F.col("current_year").cast("int").alias("current_year"))
+
+
+def actor_films(films: DataFrame, key: str = "actorid", year: str = "year",
+                film_fields: Sequence[str] = ("film", "votes", "rating", "filmid")) -> DataFrame:
+    """Films history in long form: a row per film, with the actor's class of that year.
+    The class is one aggregate per (actor, year); no row holds an actor's films."""
+    from ..functions.exprs import quality_class
+    per_year = films.groupBy(key, year).agg(
+        F.count(F.lit(1)).alias("films_of_year"), quality_class(F.round(F.avg("rating"), 9)).alias("quality_class"))
+    return films.select(key, "actor", year, *film_fields).join(per_year, [key, year])

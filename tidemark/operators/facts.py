@@ -213,3 +213,27 @@ def reduced_month_fact(events: DataFrame, as_of: str, key: str = "host",
         key, ms.alias("month_start"),
         F.transform(idx, lambda i: F.coalesce(F.col("__m")[i]["hits"], zero)).alias("hit_array"),
         F.transform(idx, lambda i: F.coalesce(F.col("__m")[i]["visitors"], zero)).alias("unique_visitors"))
+
+
+def reduced_month_step(prev: DataFrame, events: DataFrame, day: str, key: str = "host",
+                       user: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """Daily step of :func:`reduced_month_fact`: only ``day``'s events are read, both
+    arrays are cut or padded with 0 to day-1 and today's values appended, so the
+    step equals the whole-month form, also when a day is skipped (as a day without
+    events), run again, or the first of a month. Rows of other months in ``prev``
+    are left alone."""
+    a = _lit_date(day)
+    today = (events.where(F.col(key).isNotNull() & (day_of(time_col) == a)).groupBy(key)
+             .agg(F.count(F.lit(1)).alias("hits"), F.count_distinct(user).alias("visitors")))
+    month = F.trunc(a, "month")
+    y = prev.where(F.col("month_start") == month).alias("y")
+    zero = F.lit(0).cast("long")
+
+    def reached(arr: str, value: str) -> Column:
+        base = F.slice(F.coalesce(F.col(f"y.{arr}"), empty_array(T.LongType())), F.lit(1), F.datediff(a, month))
+        pad = F.array_repeat(zero, F.datediff(a, month) - F.size(base))
+        return F.concat(base, pad, F.array(F.coalesce(F.col(f"t.{value}"), zero))).alias(arr)
+
+    j = y.join(today.alias("t"), F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
+    return j.select(F.coalesce(f"y.{key}", f"t.{key}").alias(key), month.alias("month_start"),
+                    reached("hit_array", "hits"), reached("unique_visitors", "visitors"))

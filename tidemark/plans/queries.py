@@ -21,6 +21,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters of the registered queries (the reference hard-codes such literals).
 STEP_SEASON = 2000          # period of the one-step dimension queries
 AS_OF = "2024-01-30"        # snapshot day of the fact queries (events cover Jan 1-30)
+MATCH_DAY = "1996-03-09"    # day of the dimension-side date predicate
 THRESHOLD_TOTAL = 100       # referrer window analysis: minimum total events
 FUNNEL_MIN_COUNT = 100      # funnel: minimum number of events per url
 
@@ -245,6 +246,15 @@ def q_host_activity_reduced(spark, sf):
                       _long_text("unique_visitors").alias("visitors_text"))
 
 
+@query("host_activity_step")
+def q_host_activity_step(spark, sf):
+    v = Views(spark, sf)
+    prev = facts.reduced_month_fact(v.v_events, _prev_day(AS_OF))
+    out = facts.reduced_month_step(prev, v.v_events, AS_OF)
+    return out.select("host", "month_start", _long_text("hit_array").alias("hit_text"),
+                      _long_text("unique_visitors").alias("visitors_text"))
+
+
 # ---- 2.9 growth, retention, funnel --------------------------------------------------------
 
 from ..operators import growth  # noqa: E402
@@ -509,10 +519,11 @@ def q_broadcast_map_medal(spark, sf):
             .select("match_id", "player_gamertag", "medal_id", "medal_name", "count", "mapid", "map_name"))
 
 
-def bucketed_match_tables(spark, v: Views, n: int = 16) -> dict[str, DataFrame]:
-    return joins.bucketed_tables(spark, {"match_details": v.v_match_details, "matches": v.v_matches,
-                                         "medals_matches_players": v.v_medals_matches_players},
-                                 n, ["match_id"], tag="b16")
+def bucketed_match_tables(spark, v: Views, n: int | None = None,
+                          only: tuple[str, ...] = ("match_details", "matches", "medals_matches_players")) -> dict[str, DataFrame]:
+    """The match tables in ``n`` buckets, by default as many as the session's shuffle partitions."""
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return joins.bucketed_tables(spark, {k: getattr(v, f"v_{k}") for k in only}, n, ["match_id"], tag="bucketed")
 
 
 def bucket_join(t: dict[str, DataFrame]) -> DataFrame:
@@ -534,6 +545,23 @@ def q_bucket_join(spark, sf):
     return bucket_join(bucketed_match_tables(spark, Views(spark, sf)))
 
 
+def matches_on_day(t: dict[str, DataFrame], day: str) -> DataFrame:
+    """Match details of the matches that were completed on ``day`` (J11): the date is a
+    range on the dimension side's own column, so it reaches the scan; the join uses
+    the buckets."""
+    start = F.lit(day).cast(t["matches"].schema["completion_date"].dataType)
+    at = F.col("completion_date")
+    m = t["matches"].where((at >= start) & (at < start + F.expr("INTERVAL 1 DAY")))
+    return t["match_details"].join(m.hint("merge"), "match_id").select(
+        "match_id", "player_gamertag", "player_total_kills", "player_total_deaths", "playlist_id", "mapid",
+        F.to_date("completion_date").alias("completion_date"))
+
+
+@query("bucket_join_by_date")
+def q_bucket_join_by_date(spark, sf):
+    return matches_on_day(bucketed_match_tables(spark, Views(spark, sf), only=("match_details", "matches")), MATCH_DAY)
+
+
 # ---- 2.4 match questions (A16) ------------------------------------------------------------
 
 def _match_facts(v: Views) -> DataFrame:
@@ -692,6 +720,21 @@ def q_actor_scd(spark, sf):
                               attrs=("quality_class", "is_active"))
 
 
+@query("actor_scd_incremental")
+def q_actor_scd_incremental(spark, sf):
+    v = Views(spark, sf)
+    by = {"key": ("actorid",), "period": "current_year", "attrs": ("quality_class", "is_active")}
+    snaps = actors_backfill(v, ACTOR_YEAR)
+    prev = dims.scd2_backfill(snaps.where(F.col("current_year") < ACTOR_YEAR), **by)
+    cur = snaps.where(F.col("current_year") == ACTOR_YEAR)
+    return dims.scd2_incremental(prev, cur, ACTOR_YEAR, **by)
+
+
+@query("actor_films")
+def q_actor_films(spark, sf):
+    return dims.actor_films(Views(spark, sf).v_actor_films)
+
+
 # ---- 2.11 streams -------------------------------------------------------------------------
 
 from ..session import scratch_path  # noqa: E402
