@@ -310,6 +310,18 @@ def test_html_extraction(spark):
     assert got[1][2] == len(got[1][1]) and got[2] == (None, "", 0) and got[3] == ("u", "", 0)
 
 
+def test_html_stretches_on_marked_pages():
+    one, two = ("one " * 40).strip(), ("two " * 40).strip()
+    page = f"<body><p>x</p><article><p>{one}</p><p>end.</p></article><p>{{}}</p><article><h2>Two</h2><p>{two}</p></article><p>y</p></body>"
+    assert html_lines.main_text(page.format("A line between the two.")) == f"{one}\n\nend.\n\nA line between the two.\n\nTwo\n\n{two}"
+    far = page.format("</p><p>a</p><p>b</p><p>c</p><p>d</p><p>e</p><p>")  # the windows fall between the articles
+    assert html_lines.main_text(far) == f"{one}\n\nend.\n\nTwo\n\n{two}"
+    tiny = f"<body><article>Log in.</article><p>a</p><p>b</p><p>c</p><p>d</p><main><p>{one}</p><p>a</p><p>b</p><p>c</p><p>d</p></main></body>"
+    assert html_lines.main_text(tiny) == f"{one}\n\na\n\nb\n\nc\n\nd"
+    assert html_lines.main_text("<article>First.</article><p>no</p><article>Second one.</article>") == "First.\n\nSecond one."
+    assert html_lines.main_text(f"<article>Short.</article><p>a</p><p>b</p><p>c</p><p>{one}</p>") == "Short."
+
+
 def test_warc_records_link(spark):
     df = spark.createDataFrame([(1, "http://a", "<p>x &lt; y</p><script>z</script>"), (2, None, None), (2, None, None)], "page_id long, url string, html string")
     resp = warc.responses(df)

@@ -6,13 +6,15 @@ their elements, every other block element ends a line. Text lengths are summed o
 windows of ``window`` lines. A surge point is where a window passes the surge
 threshold and the next ones hold text; a dive point is where the windows fall
 below the dive threshold. Text between surge and dive is kept; of several such stretches
-the one with the most text. Where the page marks its article, the stretch is
-looked for among the article's lines and widened to all of them, so short
-paragraphs at its ends stay.
-
-Defined results: a null or blank page gives an empty text; a page of short lines only
-(no surge) gives its lines that are left after the strip; markup that is cut off
-ends with the page; repeated rows give equal texts.
+the one with the most text. Where the page marks articles (article or main), every
+stretch that reaches into one is kept and the marks correct its ends: an end that
+lies in an article moves to the article's end, so short paragraphs there stay, and
+lines outside articles before the first or after the last marked line go.
+
+Defined results: a null or blank page gives an empty text; a page without a surge (in
+its articles, if it marks some) gives all its marked lines, without marks all lines
+that are left after the strip; markup that is cut off ends with the page; repeated
+rows give equal texts.
 """
 
 from __future__ import annotations
@@ -132,15 +134,20 @@ def main_text(page: str | None, window: int = 3, surge: int = 86, dive: int = 20
     if not page:
         return ""
     lines = text_lines(page)
-    marked = {}
-    for text, a in lines:
-        if a:
-            marked[a] = marked.get(a, 0) + len(text)
-    if marked:
-        best = max(marked, key=lambda a: (marked[a], -a))
-        return "\n\n".join(t for t, a in lines if a == best)
     lengths = [len(t) for t, _ in lines]
     found = stretches(lengths, window, surge, dive)
+    first, last = {}, {}  # lines of each article
+    for i, (_, article) in enumerate(lines):
+        if article:
+            first.setdefault(article, i)
+            last[article] = i
+    if first:
+        kept: set[int] = set()
+        for a, b in found:
+            inside = [article for _, article in lines[a:b] if article]
+            if inside:
+                kept.update(range(first[inside[0]], last[inside[-1]] + 1))
+        return "\n\n".join(t for i, (t, article) in enumerate(lines) if (i in kept if kept else article))
     if not found:
         return "\n\n".join(t for t, _ in lines)
     a, b = max(found, key=lambda s: (sum(lengths[s[0]:s[1]]), -s[0]))
