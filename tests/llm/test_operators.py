@@ -322,6 +322,49 @@ def test_html_stretches_on_marked_pages():
     assert html_lines.main_text(f"<article>Short.</article><p>a</p><p>b</p><p>c</p><p>{one}</p>") == "Short."
 
 
+def test_warc_text_against_a_parser(spark):
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.skip = [], False
+
+        def handle_starttag(self, tag, attrs):
+            self.out.append(" ")
+            self.skip = tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.out.append(" ")
+            self.skip = False
+
+        def handle_comment(self, data):
+            self.out.append(" ")
+
+        handle_decl = handle_pi = unknown_decl = handle_comment
+
+        def handle_data(self, data):
+            self.out.append(" " if self.skip else data)
+
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        parser = Text()
+        parser.feed(r.html)
+        parser.close()
+        want[r.page_id] = re.sub("[ \t\r\n\x0b\x0c\xa0]+", " ", "".join(parser.out)).strip(" ")
+    got = {r.source_key: r for r in warc.derivatives(warc.responses(pages)).filter("warc_type = 'conversion'").collect()}
+    assert {k: r.block for k, r in got.items()} == want and any("\u00b7" in t for t in want.values())
+    assert all(r.content_length == len(r.block.encode()) and r.block_digest == "sha256:" + hashlib.sha256(r.block.encode()).hexdigest() for r in got.values())
+    cases = [("&copy;&middot;&#233;&#xE9;&#X1F600;&eacute;&amp;lt;", "\u00a9\u00b7\u00e9\u00e9\U0001f600\u00e9&lt;"), ("a&nbsp;&#160;\u00a0b", "a b"),
+             ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"), ("I <3 you<br>all", "I <3 you all"), ("<a title='x > y' alt=\">\" b>link</a>", "link"),
+             ("<p title=it's>don't</p> 'q'", "don't 'q'"), ("in<script>var x = '<p>';", "in"), ("in<style>p {", "in"), ("in<!-- out", "in"),
+             ("<SCRIPT src=a>1</Script >t", "t"), ("<scripts>kept</scripts>", "kept"), ("<!DOCTYPE html><?xml?></p>t", "t"), ("x <b", "x <b"), ("&bogus; & &#0;", "&bogus; & \ufffd")]
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
+    got = {r.source_key: r.block for r in warc.derivatives(warc.responses(df)).filter("warc_type = 'conversion'").collect()}
+    assert [got[i] for i in range(len(cases))] == [t for _, t in cases]
+
+
 def test_warc_records_link(spark):
     df = spark.createDataFrame([(1, "http://a", "<p>x &lt; y</p><script>z</script>"), (2, None, None), (2, None, None)], "page_id long, url string, html string")
     resp = warc.responses(df)

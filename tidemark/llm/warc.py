@@ -4,12 +4,18 @@ Input is a table of response records. Each response gives two records that refer
 to it by its record id: a ``metadata`` record (application/warc-fields) that
 carries the source headers, and a ``conversion`` record (text/plain) whose block is
 the payload's text. Both keep the target URI and date of the response; the
-conversion also keeps the payload digest of its source. All of it is DataFrame
-expressions, row by row, without a shuffle.
+conversion also keeps the payload digest of its source. All of it is row by row, without a
+shuffle: DataFrame expressions, and one Arrow function for the payload's text.
 
 Record ids are name-based: the first 16 bytes of the SHA-256 of record type and
 source record id, written as a UUID, so reruns give the same ids and the links hold.
 
+Text of a payload: scripts, styles, comments and tags become a space each, character
+references (named, decimal, hexadecimal) are decoded once, and white space, no-break
+spaces among it, is folded. A tag begins with '<' and a letter, '/', '!' or '?', and a '>' in a
+quoted attribute does not end it; any other '<' is text, and so is a tag that never ends.
+An unclosed script, style or comment goes on to the payload's end.
+
 Defined results: a null or empty payload gives an empty block (its digest is that
 of the empty string); null headers, URI or date leave their fields out; repeated
 responses give repeated derivatives; no rows give no rows.
@@ -17,15 +23,20 @@ responses give repeated derivatives; no rows give no rows.
 
 from __future__ import annotations
 
+import html as _html
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-# Parts that hold no text, then tags; character references that markup itself uses.
-DROP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-TAG = r"(?s)<[^>]*>"
-SPACES = r"[ \t\r\n\x0b\x0c]+"
-REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+ATTRS = r"(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+"
+# Parts that hold no text, then tags.
+MARKUP = re.compile(
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style)(?=[\s/>]){ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    rf"|</?[a-z]{ATTRS}>|<[!?/][^>]*>", re.S | re.I | re.A)
+SPACES = re.compile("[ \t\r\n\x0b\x0c\xa0]+")
 
 
 def sha256_label(c: Column) -> Column:
@@ -38,12 +49,18 @@ def record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), at(1, 8), F.lit("-"), at(9, 4), F.lit("-"), at(13, 4), F.lit("-"), at(17, 4), F.lit("-"), at(21, 12), F.lit(">"))
 
 
+def text_of(page: str | None) -> str:
+    """Text of a page: scripts, styles, comments and tags out, references decoded, white space folded."""
+    return SPACES.sub(" ", _html.unescape(MARKUP.sub(" ", page or ""))).strip(" ")
+
+
 def plain_text(html: Column) -> Column:
-    """Text of a page: scripts, styles, comments and tags out, white space folded."""
-    t = F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), DROP, " "), TAG, " ")
-    for ref, char in REFERENCES:
-        t = F.replace(t, F.lit(ref), F.lit(char))
-    return F.btrim(F.regexp_replace(t, SPACES, " "), F.lit(" "))
+    """``text_of`` of a column."""
+    return F.arrow_udf(_texts, "string")(html)
+
+
+def _texts(pages: pa.Array) -> pa.Array:
+    return pa.array([text_of(p.as_py()) for p in pages], pa.string())
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
