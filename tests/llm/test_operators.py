@@ -74,6 +74,42 @@ def test_quality_outliers_go_and_the_bulk_stays(spark):
     assert kept == set(range(400))
 
 
+def test_quality_small_groups_against_brute_force_mcd(spark):
+    from itertools import combinations
+
+    import numpy as np
+
+    r, rows = random.Random(11), []
+    sizes = {("en", "a"): 12, ("en", "b"): 14, ("de", "a"): 13, (None, "a"): 12, ("fr", "a"): 5, ("fr", "b"): 8, ("es", "a"): 4, ("it", None): 3}
+    for g, (key, n) in enumerate(sizes.items()):
+        for k in range(n):
+            mark = "" if k or n < 5 else "%&*|"  # the first row of a group of five or more is an outlier
+            text = " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 4 + g % 4))) + mark for _ in range(60))
+            rows.append((len(rows), text, *key, 1))
+    docs = spark.createDataFrame(rows, DOCS)
+    stats = quality_rules._vectors(quality_rules.text_statistics(docs), "lang", "source").select("doc_id", *quality_rules.DIMS).collect()
+    x = {s.doc_id: np.array(s[1:]) for s in stats}
+    # fr has 13 rows in two groups that are too small, es and it are the pooled rest.
+    pool = {("fr", "a"): "fr", ("fr", "b"): "fr", ("es", "a"): "rest", ("it", None): "rest"}
+    groups = {}
+    for i, _, lang, source, _ in rows:
+        groups.setdefault(pool.get((lang, source), (lang, source)), []).append(i)
+    p, floor = len(quality_rules.DIMS), np.diag([quality_rules.FLOOR[d] ** 2 for d in quality_rules.DIMS])
+    scale = 0.75 / quality_rules.chi2_cdf(quality_rules.chi2_quantile(0.75, p), p + 2)
+    want = {}
+    for ids in groups.values():
+        pts = np.array([x[i] for i in ids])
+        best = min(([pts[list(c)] for c in combinations(range(len(ids)), -(-3 * len(ids) // 4))]),
+                   key=lambda a: np.linalg.det(scale * np.cov(a.T, bias=True) + floor))
+        inverse = np.linalg.inv(scale * np.cov(best.T, bias=True) + floor)
+        for i, v in zip(ids, pts - best.mean(0)):
+            want[i] = bool(v @ inverse @ v <= quality_rules.chi2_quantile(1 - 1e-7, p))
+    got = {v.doc_id: v for v in quality_rules.quality_verdicts(docs).collect()}
+    assert not any(v.base_failed or v.distance2 is None for v in got.values())
+    assert {i: v.kept for i, v in got.items()} == want
+    assert sum(not k for k in want.values()) == 6
+
+
 def test_chi_squared_functions():
     assert abs(quality_rules.chi2_cdf(3.841458820694124, 1) - 0.95) < 1e-9
     assert abs(quality_rules.chi2_quantile(0.75, 5) - 6.62567976) < 1e-6

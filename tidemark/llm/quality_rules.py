@@ -14,8 +14,9 @@ its bins. Estimates stay a table (one row per group) and never reach the driver.
 Defined results: a null text has no words, so the limits reject it. A null lang or
 source is a group of its own. Groups under ``min_rows`` rows use the estimate of all
 groups under ``min_rows`` of the language, and those that are still too few that of
-the pooled rest; a pool under ``min_rows`` rejects nothing. Repeated rows count each.
-Scatter has a floor per statistic, so ties (all rows alike) give a regular matrix.
+the pooled rest, however few its rows: every row that passes the limits is judged by
+an estimate. Repeated rows count each. Scatter has a floor per statistic, so ties (all
+rows alike) and few rows give a regular matrix.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ MAX_REPEAT_PERCENT = 20
 DIMS = ("x_word", "x_symbol", "x_repeat", "x_lines", "x_upper")
 # Least scatter of each statistic: smaller differences are no evidence.
 FLOOR = {"x_word": 0.08, "x_symbol": 0.03, "x_repeat": 0.12, "x_lines": 0.15, "x_upper": 0.05}
+# From this many rows on three quarters of a group are a support of (n + p + 1) / 2 rows or more.
+MIN_ROWS = 2 * (len(DIMS) + 1)
 START_BINS = 1024  # per unit of a statistic, for medians
 DIST_BINS = 16  # per power of two of a squared distance
 
@@ -227,13 +230,11 @@ def fit(stats: DataFrame, min_rows: int, support: float, steps: int) -> tuple[Da
     """Group names and estimates, from the rows that pass the fixed limits."""
     rows = stats.filter(~F.col("__failed")).select("__lang", "__source", *DIMS)
     names = materialize(_group_names(rows, min_rows), "mcd-groups")
-    grouped = _joined(rows, names).select("__g", *DIMS)
-    enough = grouped.groupBy("__g").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_rows).select("__g")
-    return names, fit_mcd(grouped.join(enough, "__g", "left_semi"), support, steps)
+    return names, fit_mcd(_joined(rows, names).select("__g", *DIMS), support, steps)
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     source_col: str = "source", min_rows: int = 200, support: float = 0.75, steps: int = 4,
+                     source_col: str = "source", min_rows: int = MIN_ROWS, support: float = 0.75, steps: int = 4,
                      tail: float = 1e-7) -> DataFrame:
     """One row per input row: id, the base statistics, base_failed, distance2, kept."""
     narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
@@ -247,7 +248,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def reject_outliers(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                    min_rows: int = 200, support: float = 0.75, steps: int = 4, tail: float = 1e-7) -> DataFrame:
+                    min_rows: int = MIN_ROWS, support: float = 0.75, steps: int = 4, tail: float = 1e-7) -> DataFrame:
     """The rows that the rules keep, with the table's own columns. Statistics are
     computed twice (fit, verdict) so that no text is shuffled or written."""
     cols = docs.columns
