@@ -322,6 +322,19 @@ def test_mixing_blocks_hold_the_documents_words(table):
     assert sum(r.n_words for r in slots) == taken
 
 
+def test_mixing_keeps_words_of_rows_without_an_id(spark):
+    r = random.Random(8)
+    big = (1 << 60) + 1
+    rows = [(None if k % 3 else big + k, " ".join(f"w{r.randrange(50)}" for _ in range(r.randint(1, 20))), "en", f"s{k % 2}", 1) for k in range(120)]
+    rows += [(None, "same words here", "en", "s1", 1)] * 2 + [(None, None, "en", "s0", 1), (None, " ", "en", None, 1)]
+    df = spark.createDataFrame(rows, DOCS)
+    slots = mixing.mix_blocks(df, block=8, shard_slots=32).collect()
+    assert all(len(words(s.text)) == s.n_words for s in slots)
+    assert sum(s.n_words for s in slots) == sum(t.taken for t in mixing.taken_words(df, block=8, shard_slots=32).collect()) > 0
+    ids = {i for s in slots for i in s.doc_ids}
+    assert None in ids and ids <= {i for i, *_ in rows}
+
+
 def test_mixing_targets_and_permutation():
     import numpy as np
 

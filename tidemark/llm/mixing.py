@@ -21,7 +21,7 @@ source's tokens and the excess is shared again by weight. Slots beyond
 ``max_repeats`` times.
 
 Defined results: a null or blank text has size 0 and is taken 0 times; a null
-source is a source (the last); rows with the same id are documents of their own;
+source is a source (the last); rows with the same id or without one are documents of their own;
 an empty table has no sources and no slots. Draws depend on the seed, the sources'
 sizes and the ids alone, so reruns agree, also after lost executors.
 """
@@ -34,6 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,8 +122,9 @@ class Mix:
         self.recipe = spark.createDataFrame([(r[0], i, r[1], targets[i]) for i, r in enumerate(per)], schema)
         named = self.recipe.withColumnRenamed("__name", "__n2")
         rows = sized.join(named, sized["__name"].eqNullSafe(named["__n2"])).drop("__n2")
-        self.rows = with_prefix_sum(rows, ["__source"], ["__id", "__hash", "__size"], "__size",
-                                    F.pmod(F.xxhash64("__id"), F.lit(buckets)), "__start")
+        # Rows without an id are dealt by their text.
+        deal = F.when(F.col("__id").isNull(), F.col("__hash")).otherwise(F.xxhash64("__id"))
+        self.rows = with_prefix_sum(rows, ["__source"], ["__id", "__hash", "__size"], "__size", F.pmod(deal, F.lit(buckets)), "__start")
         self.spark = spark
 
     def draws(self) -> DataFrame:
@@ -202,30 +204,36 @@ def mix_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     documents, one space between)."""
     mix = Mix(docs, id_col, text_col, source_col, **params)
     block = mix.block
-    texts = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__hash"), F.col(text_col).alias("__text"))
+    # As a struct the key is never null, so rows without an id meet their texts, and one shuffle
+    # of the texts serves both the distinct rows and the join.
+    texts = docs.select(F.struct(F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__hash")).alias("__key"),
+                        F.col(text_col).alias("__text"))
     # Rows alike in id and text are distinct places in the stream with the same words.
-    spots = mix.rows.filter("__size > 0").select("__id", "__hash", "__source", "__start")
-    texts = texts.dropDuplicates(["__id", "__hash"])
-    placed = spots.join(texts.hint("merge"), ["__id", "__hash"])
+    spots = mix.rows.filter("__size > 0").select(F.struct("__id", "__hash").alias("__key"), "__id", "__source", "__start")
+    placed = spots.join(texts.dropDuplicates(["__key"]).hint("merge"), "__key")
     kind = placed.schema["__id"].dataType
     schema = T.StructType([T.StructField("__source", T.IntegerType()), T.StructField("__index", T.LongType()),
                            T.StructField("__at", T.IntegerType()), T.StructField("__id", kind),
                            T.StructField("__n", T.IntegerType()), T.StructField("__piece", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for i in range(0, len(pdf), 256):
-                out = []
-                for doc, s, start, text in zip(*(pdf[c].iloc[i:i + 256] for c in ("__id", "__source", "__start", "__text"))):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):
+                b, out = whole.slice(i, 256), []
+                for row, (s, start, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("__source", "__start", "__text")))):
                     words, pos = text.encode("utf-8", "surrogatepass").split(), 0
                     while pos < len(words):
                         at = (start + pos) % block
                         piece = words[pos:pos + block - at]
-                        out.append((s, (start + pos) // block, at, doc, len(piece), b" ".join(piece).decode("utf-8", "replace")))
+                        out.append((s, (start + pos) // block, at, row, len(piece), b" ".join(piece).decode("utf-8", "replace")))
                         pos += len(piece)
-                yield pd.DataFrame(out, columns=schema.names)
+                if out:
+                    s, index, at, row, n, piece = zip(*out)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(s, pa.int32()), pa.array(index, pa.int64()), pa.array(at, pa.int32()),
+                        b.column("__id").take(pa.array(row, pa.int64())), pa.array(n, pa.int32()), pa.array(piece, pa.string())], names=schema.names)
 
-    pieces = placed.select("__id", "__source", "__start", "__text").mapInPandas(run, schema)
+    pieces = placed.select("__id", "__source", "__start", "__text").mapInArrow(run, schema)
     whole = pieces.groupBy("__source", "__index").agg(F.array_sort(F.collect_list(F.struct("__at", "__id", "__n", "__piece"))).alias("__p"))
     slots = mix.slot_table().join(whole.hint("merge"), ["__source", "__index"]).join(mix.recipe.select("__source", F.col("__name").alias("source")), "__source")
     p = F.col("__p")
