@@ -9,9 +9,10 @@ training counts, N tokens, V distinct tokens and h' the history h without its fi
 
 As an automaton: a seen history is a state; a seen n-gram h w is an arc of weight
 log p(w | h); the failure arc of h leads to h' and weighs log(mass / (c(h) + mass)).
-A text is read once from left to right: the state is carried from token to token,
-failure arcs are followed until a state has an arc for the token, and the weights
-are added up. An unknown word returns to the root. The end of the text is a token.
+The weight of a token is that of its arc, with the failure arcs before it. No state is
+carried from token to token: an equivalent lookup takes the counts of all tokens'
+histories and n-grams order by order, as arrays, and adds the failure weights where an
+arc is missing. An unknown word has no arc above the root. The end of the text is a token.
 
 The whole model never meets in one place. Documents are dealt into chunks. A chunk
 sends its distinct n-grams with their training counts, packed and sorted, to buckets
