@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import day_of, map_referrer
+from .scan import prefix_scan
 
 
 def labelled_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], labels: dict,
@@ -71,34 +72,6 @@ def referrer_window_analysis(daily: DataFrame, min_total: int, prev_lo: int = -1
                     (F.col("count").cast("double") / F.col("total_cumulative_sum")).alias("pct_of_total")))
 
 
-def ordinal_positions(df: DataFrame, key: Sequence[str], day: str, tiebreak: str,
-                      value: str) -> DataFrame:
-    """Position ``pos`` (1-based) of each row within its key ordered by (day,
-    tiebreak), and the running sum ``cum`` of ``value`` up to that row, without a
-    window over a whole key (a hot key would be one task).
-
-    ``df`` is read once: a window per (key, day) ranks rows inside the day; the
-    per-day totals are aggregated from that output (same partitioning, no new
-    shuffle of the rows); their running sums per key run over one row per day;
-    the join back on (key, day) only moves the small per-day side."""
-    key = list(key)
-    within = Window.partitionBy(*key, day).orderBy(tiebreak)
-    within_run = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = df.select(*key, day, tiebreak, value,
-                     F.row_number().over(within).alias("__k"),
-                     F.sum(value).over(within_run).alias("__ks"))
-    per_day = rows.groupBy(*key, day).agg(F.max("__k").alias("__n"), F.max("__ks").alias("__s"))
-    before = (Window.partitionBy(*key).orderBy(day)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    per_day = per_day.select(*key, day,
-                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
-                             F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__s0"))
-    j = rows.join(per_day, [*key, day])
-    return j.select(*key, day, tiebreak, value,
-                    (F.col("__n0") + F.col("__k")).alias("pos"),
-                    (F.col("__s0") + F.col("__ks")).alias("cum"))
-
-
 def max_stretch_sum(df: DataFrame, key: Sequence[str], day: str, tiebreak: str, value: str,
                     n: int, out: str = "max_stretch") -> DataFrame:
     """Maximum of SUM(value) over any ``n`` consecutive rows per key (leading
@@ -107,9 +80,10 @@ def max_stretch_sum(df: DataFrame, key: Sequence[str], day: str, tiebreak: str,
     sum(rows p-n+1..p) = cum(p) - cum(p-n). Each position is sent to its own
     (block, offset) slot and, as the 'previous' value, to the same offset of
     the next block (block = (p-1) div n); one aggregation per slot pairs them.
-    No join and no window over a whole key; the final max is partial per task."""
+    Positions and running sums come from a distributed prefix scan: no window
+    over a whole key or day; the final max is partial per task."""
     key = list(key)
-    pos = ordinal_positions(df, key, day, tiebreak, value)
+    pos = prefix_scan(df.select(*key, day, tiebreak, value), key, [day, tiebreak], {"cum": value})
     blk = F.floor((F.col("pos") - 1) / n).cast("long")
     off = ((F.col("pos") - 1) % n).cast("long")
     roles = F.explode(F.array(F.struct(blk.alias("b"), F.lit(True).alias("cur")),

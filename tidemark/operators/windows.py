@@ -56,39 +56,16 @@ def rolling_sum(value: str, key: Sequence[str], order: str, lo: int, hi: int) ->
 
 def longest_run(df: DataFrame, key: Sequence[str], order: Sequence[str], cond: Column,
                 out: str = "longest_run") -> DataFrame:
-    """Longest run of consecutive rows (ordered by ``order``, whose first column is
-    a day-like bucket) where ``cond`` holds, per key (gaps and islands). Keys with
-    no qualifying row report 0.
-
-    No task holds a whole key: runs are first summarised per (key, bucket) —
-    length, leading run, trailing run, best inner run, all-pass flag — with a
-    window over that bucket only; the summaries (one per bucket) are then folded
-    in bucket order per key with ``aggregate``, since run summaries combine
-    associatively."""
+    """Longest run of consecutive rows (ordered by ``order``) where ``cond`` holds, per
+    key (gaps and islands). Keys with no qualifying row report 0.
+
+    The running count of failing rows, from a distributed prefix scan, names the
+    island of each row; the length of a run is the count of passing rows of its
+    island, summed partially per task. No task holds a whole key, day or run."""
+    from .scan import prefix_scan
     key = list(key)
-    bucket, rest = order[0], list(order[1:])
-    ok = F.coalesce(cond, F.lit(False))
-    w = Window.partitionBy(*key, bucket).orderBy(*rest) if rest else Window.partitionBy(*key, bucket).orderBy(bucket)
-    run_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (df.select(*key, bucket, *rest, ok.alias("__ok"))
-            .withColumn("__k", F.row_number().over(w))
-            .withColumn("__isl", F.sum((~F.col("__ok")).cast("int")).over(run_w)))
-    # islands inside a bucket: island 0 is the leading run, the last island the trailing run
-    isl = rows.groupBy(*key, bucket, "__isl").agg(F.sum(F.col("__ok").cast("long")).alias("__len"))
-    per_bucket = isl.groupBy(*key, bucket).agg(
-        F.max("__len").alias("best"),
-        F.coalesce(F.max(F.when(F.col("__isl") == 0, F.col("__len"))), F.lit(0)).cast("long").alias("lead"),
-        F.max(F.struct(F.col("__isl"), F.col("__len")))["__len"].alias("trail"),
-        (F.max("__isl") == 0).alias("all_ok"))
-    folded = per_bucket.groupBy(*key).agg(F.array_sort(F.collect_list(
-        F.struct(bucket, "best", "lead", "trail", "all_ok"))).alias("__s"))
-    zero = F.lit(0).cast("long")
-    init = F.struct(zero.alias("best"), zero.alias("cur"))
-
-    def step(acc, s):
-        cur_ok = acc["cur"] + s["lead"]
-        return F.when(s["all_ok"], F.struct(F.greatest(acc["best"], cur_ok).alias("best"), cur_ok.alias("cur"))) \
-                .otherwise(F.struct(F.greatest(acc["best"], cur_ok, s["best"]).alias("best"), s["trail"].alias("cur")))
-
-    res = F.aggregate("__s", init, step)
-    return folded.select(*key, F.greatest(res["best"], res["cur"]).alias(out))
+    ok = F.coalesce(cond, F.lit(False)).cast("int")
+    rows = df.select(*key, *order, ok.alias("__ok"), (1 - ok).alias("__miss"))
+    isl = prefix_scan(rows, key, order, {"__island": "__miss"})
+    runs = isl.groupBy(*key, "__island").agg(F.sum("__ok").alias("__len"))
+    return runs.groupBy(*key).agg(F.max("__len").alias(out))
