@@ -38,11 +38,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage,
     and what is lost with an executor is read again, not computed again."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -68,6 +68,29 @@ def with_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     return inner.join(before.hint("merge"), [*keys, b]).withColumn(out, F.col(own) + F.col(pre)).drop(b, own, pre)
 
 
+def bounded_head(counts: DataFrame, n: str, limit: int) -> tuple[DataFrame, int]:
+    """Rows with the largest counts, ``limit`` at most, and the least count among them.
+
+    The least count is the smallest power of 2^(1/4) above which no more than
+    ``limit`` rows lie, from a histogram of a few hundred bins: no sort, no task that
+    sees all rows. Rows of equal count are in or out together."""
+    step = lambda c: F.floor(F.log2(c.cast("double")) * 4).cast("int")
+    bins = counts.where(F.col(n) > 0).groupBy(step(F.col(n)).alias("__bin")).agg(F.count(F.lit(1)).alias("__rows"), F.min(n).alias("__least")).collect()
+    total, least = 0, (1 << 63) - 1
+    for r in sorted(bins, key=lambda r: -r["__bin"]):
+        total += r["__rows"]
+        if total > limit:
+            break
+        least = r["__least"]
+    return counts.where(F.col(n) >= least), least
+
+
+def read_file(path: str) -> bytes:
+    """A small file's content, read on the driver."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def keep_columns(docs: DataFrame, *names: str) -> list[Column]:
     """The named columns, those that the table lacks as null strings."""
     have = set(docs.columns)

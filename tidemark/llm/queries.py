@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, decontam, html_lines, jaccard_join, lm_score, mixing, quality_rules, resample, secret_scan, token_counts, warc
+from . import align, byte_cnn, decontam, html_lines, jaccard_join, lm_score, mixing, quality_rules, resample, secret_scan, token_counts, warc
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -65,6 +65,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(docs, net).select("doc_id", (rest(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align.alignment_digest(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
 
@@ -80,5 +87,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_token_alignment": op12_token_alignment,
     "op13_target_resampling": op13_target_resampling,
 }
