@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, byte_cnn, decontam, html_lines, jaccard_join, lm_score, mixing, quality_rules, resample, secret_scan, token_counts, warc
+from . import align, byte_cnn, decontam, html_lines, jaccard_join, langid, lm_score, mixing, quality_rules, resample, secret_scan, token_counts, warc
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -65,6 +65,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(docs, net).select("doc_id", (rest(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    found = langid.identify(docs, langid.fit(docs, rest != 0))
+    return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -87,6 +94,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_language_id": op11_language_id,
     "op12_token_alignment": op12_token_alignment,
     "op13_target_resampling": op13_target_resampling,
 }
