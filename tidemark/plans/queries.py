@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import dims
 from ..sources.fixtures import Views
@@ -739,6 +740,7 @@ def q_actor_films(spark, sf):
 
 from ..session import scratch_path  # noqa: E402
 from ..streaming import streams as S  # noqa: E402
+from ..streaming.keyed_table import KeyedTable, fan_out  # noqa: E402
 
 # Arrival order of the staged web-event files (event-time text boundaries).
 STREAM_SLICES = ["2024-01-11T00:00:00.000Z", "2024-01-21T00:00:00.000Z"]
@@ -746,14 +748,16 @@ SENTINEL_HOST = "__end_of_stream__"
 
 
 def run_event_stream(spark: SparkSession, v: Views, build, output_mode: str,
-                     late_copy: bool = False, sentinel: bool = False) -> DataFrame:
+                     late_copy: bool = False, sentinel: bool = False, make_sink=None) -> DataFrame | None:
     """Stage ``v_web_events`` as files arriving in event-time order (one append
     per slice), and after each arrival run ``build(stream)`` to completion with
     the same checkpoint. ``late_copy`` re-sends the first slice inside the last
     one (late data); ``sentinel`` appends one far-future event so the watermark
-    closes every open window/session. Returns the sink's change log."""
+    closes every open window/session. ``make_sink(base, stream's result)`` gives
+    another sink than the change log, which is returned otherwise."""
     base = scratch_path(spark, "stream")
     src, ck, out = f"{base}/in", f"{base}/checkpoint", f"{base}/out"
+    sink = None
     we = v.v_web_events
     t = F.col("event_time")
     bounds = [None, *STREAM_SLICES, None]
@@ -778,14 +782,24 @@ def run_event_stream(spark: SparkSession, v: Views, build, output_mode: str,
     for p in parts:
         p.write.mode("append").parquet(src)
         stream = S.parse_event_time(S.read_stream(spark, "parquet", S.WEB_EVENT_SCHEMA, src))
-        S.run_available_now(build(stream), ck, output_mode, S.foreach_batch_changelog(out))
-    return spark.read.parquet(out)
+        built = build(stream)
+        if sink is None:
+            sink = make_sink(base, built) if make_sink else S.foreach_batch_changelog(out)
+        S.run_available_now(built, ck, output_mode, sink)
+    return None if make_sink else spark.read.parquet(out)
 
 
 def _tumbling(spark, sf, keys, late=False):
+    """Window counts in a keyed table: every update-mode batch replaces its keys' rows."""
     v = Views(spark, sf)
-    log = run_event_stream(spark, v, lambda s: S.tumbling_counts(s, keys), "update", late_copy=late)
-    return S.latest_per_key(log, ["window_start", *keys])
+    tables = []
+
+    def make_sink(base, result):
+        tables.append(KeyedTable(spark, f"{base}/table", result.schema, ["window_start", *keys]))
+        return tables[0].sink()
+
+    run_event_stream(spark, v, lambda s: S.tumbling_counts(s, keys), "update", late_copy=late, make_sink=make_sink)
+    return tables[0].read()
 
 
 @query("stream_tumbling_host")
@@ -822,23 +836,23 @@ def q_session_avg_by_host(spark, sf):
 
 @query("stream_two_sinks")
 def q_stream_two_sinks(spark, sf):
-    """Two sinks fed by one source (host counts and host x referrer counts),
-    each query with its own checkpoint; the second is rolled up to host level
-    and set beside the first, so the two must agree."""
+    """Two keyed tables from one query that reads its source once: counts per host
+    and referrer, and, of the windows a batch touches, counts per host from them.
+    The first is rolled up and set beside the second, so the two must agree."""
     v = Views(spark, sf)
-    base = scratch_path(spark, "two-sinks")
-    src = f"{base}/in"
-    v.v_web_events.write.mode("append").parquet(src)
-    stream = S.parse_event_time(S.read_stream(spark, "parquet", S.WEB_EVENT_SCHEMA, src))
-    S.run_many_available_now([
-        (S.tumbling_counts(stream, ["host"]), f"{base}/ck1", "update", S.foreach_batch_changelog(f"{base}/out1")),
-        (S.tumbling_counts(stream, ["host", "referrer"]), f"{base}/ck2", "update",
-         S.foreach_batch_changelog(f"{base}/out2")),
-    ])
-    a = S.latest_per_key(spark.read.parquet(f"{base}/out1"), ["window_start", "host"])
-    b = (S.latest_per_key(spark.read.parquet(f"{base}/out2"), ["window_start", "host", "referrer"])
-         .groupBy("window_start", "host").agg(F.sum("num_hits").alias("num_hits_by_referrer_sink")))
-    return a.join(b, ["window_start", "host"], "full")
+    tables = []
+
+    def make_sink(base, result):
+        by_referrer = KeyedTable(spark, f"{base}/by_referrer", result.schema, ["window_start", "host", "referrer"])
+        host_cols = T.StructType([f for f in result.schema if f.name != "referrer"])
+        by_host = KeyedTable(spark, f"{base}/by_host", host_cols, ["window_start", "host"])
+        tables.extend([by_referrer, by_host])
+        return fan_out([(lambda batch: batch, by_referrer), (lambda batch: S.rolled_up(batch, by_referrer.read(), "window_start", ["host"], "num_hits"), by_host)])
+
+    run_event_stream(spark, v, lambda s: S.tumbling_counts(s, ["host", "referrer"]), "update", make_sink=make_sink)
+    fine, host = tables[0].read(), tables[1].read()
+    b = fine.groupBy("window_start", "host").agg(F.sum("num_hits").alias("num_hits_by_referrer_sink"))
+    return host.join(b, ["window_start", "host"], "full")
 
 
 @query("stream_geo_enrich")
@@ -910,8 +924,6 @@ def q_kpi_engagement(spark, sf):
 
 # ---- 2.1 sources and sinks ----------------------------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
 from ..sources import writers as W  # noqa: E402
 from ..sources.tables import enforce_schema  # noqa: E402
 

@@ -104,6 +104,21 @@ def latest_per_key(changelog: DataFrame, keys: Sequence[str]) -> DataFrame:
             .drop("__rn", "batch_id"))
 
 
+def rolled_up(changed: DataFrame, table: DataFrame, window_col: str, keys: Sequence[str], value: str) -> DataFrame:
+    """Sums of ``value`` per (window, keys) over a finer ``table``, for the (window,
+    keys) that occur in ``changed`` alone. Only the span of windows that the batch
+    touches is read from the table."""
+    span = changed.agg(F.min(window_col), F.max(window_col)).first()
+    if span[0] is None:
+        return changed.select(window_col, *keys, value)
+    touched = changed.select(F.col(window_col).alias("__w"), *[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
+    cond = F.col(window_col) == F.col("__w")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    rows = table.where(F.col(window_col).between(F.lit(span[0]).cast("timestamp_ntz"), F.lit(span[1]).cast("timestamp_ntz")))
+    return rows.join(touched, cond, "left_semi").groupBy(window_col, *keys).agg(F.sum(value).alias(value))
+
+
 def run_available_now(df: DataFrame, checkpoint: str, output_mode: str,
                       sink: Callable[[DataFrame, int], None], name: str | None = None) -> None:
     """Process everything available, then stop (restartable: offsets, state and
@@ -127,20 +142,6 @@ def kafka_sink(df: DataFrame, topic: str, checkpoint: str, options: dict | None
             .option("checkpointLocation", checkpoint).options(**(options or {})))
 
 
-def run_many_available_now(specs: Sequence[tuple[DataFrame, str, str, Callable[[DataFrame, int], None]]]) -> None:
-    """Start several queries over the same source (each with its own checkpoint,
-    e.g. two sinks fed by one topic) and wait for all of them."""
-    handles = []
-    for df, checkpoint, mode, sink in specs:
-        handles.append(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-                       .foreachBatch(sink).trigger(availableNow=True).start())
-    for h in handles:
-        h.awaitTermination()
-    for h in handles:
-        if h.exception() is not None:  # pragma: no cover
-            raise RuntimeError(str(h.exception()))
-
-
 def start_stream(df: DataFrame, checkpoint: str, output_mode: str,
                  sink: Callable[[DataFrame, int], None], processing_time: str = "10 seconds",
                  name: str | None = None):
