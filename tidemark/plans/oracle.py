@@ -449,6 +449,12 @@ SELECT w.event_id, w.ip, w.event_time, w.referrer, w.host, w.url,
             'city', g.city) AS VARCHAR) ELSE '{}' END AS geodata
 FROM v_web_events w LEFT JOIN v_geo_ranges g ON w.ip BETWEEN g.lo AND g.hi""")
 
+ORACLE["geo_enrich_nested"] = with_views(["v_web_events", "v_geo_nested"], """
+SELECT w.event_id, w.ip, w.event_time, h.name, h.hi - h.lo + 1 AS width
+FROM v_web_events w LEFT JOIN (
+  SELECT i.ip, g.* FROM (SELECT DISTINCT ip FROM v_web_events) i JOIN v_geo_nested g ON i.ip BETWEEN g.lo AND g.hi
+  QUALIFY row_number() OVER (PARTITION BY i.ip ORDER BY g.hi - g.lo, g.lo, g.name) = 1) h ON w.ip = h.ip""")
+
 ORACLE["broadcast_map_medal"] = with_views(["v_medals_matches_players", "v_medals", "v_matches", "v_maps"], """
 SELECT mmp.match_id, mmp.player_gamertag, mmp.medal_id, md.name AS medal_name, mmp.count,
        m.mapid, mp.name AS map_name

@@ -116,6 +116,13 @@ SELECT CAST(n.n_nationkey AS BIGINT) * 6000 AS lo, CAST(n.n_nationkey AS BIGINT)
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 """)
 
+VIEWS["v_geo_nested"] = (["v_geo_ranges"], """
+SELECT s_suppkey * 331 AS lo, s_suppkey * 331 + (s_suppkey % 7) * 40 AS hi, 'street ' || s_name AS name FROM supplier
+UNION ALL SELECT lo, hi, 'country ' || country FROM v_geo_ranges
+UNION ALL SELECT r_regionkey * 300000, r_regionkey * 300000 + 599999, 'region ' || r_name FROM region
+UNION ALL SELECT 0, 1099511627775, 'world'
+""")
+
 VIEWS["v_matches"] = ([], """
 SELECT o.o_orderkey AS match_id, o.o_orderpriority AS playlist_id, c.c_nationkey AS mapid,
        o.o_orderdate AS completion_date, (o.o_orderstatus = 'F') AS is_team_game

@@ -500,6 +500,14 @@ def geo_enrich(web_events: DataFrame, ranges: DataFrame, block: int = 1000) -> D
     return j.select("event_id", "ip", "event_time", "referrer", "host", "url", geo.alias("geodata"))
 
 
+@query("geo_enrich_nested")
+def q_geo_enrich_nested(spark, sf):
+    """Address blocks inside one another, 1 to 2^40 wide: the narrowest one wins."""
+    v = Views(spark, sf)
+    j = joins.narrowest_range(v.v_web_events, v.v_geo_nested, "ip", "lo", "hi", ["name"])
+    return j.select("event_id", "ip", "event_time", "name", (F.col("hi") - F.col("lo") + 1).alias("width"))
+
+
 def _medals(v: Views) -> DataFrame:
     return v.v_medals.select("medal_id", F.col("name").alias("medal_name"))
 
@@ -861,7 +869,7 @@ def q_stream_geo_enrich(spark, sf):
     ranges = v.v_geo_ranges
 
     def build(s):
-        j = joins.range_join(s, ranges, "ip", "lo", "hi", 1000)
+        j = joins.narrowest_range(s, ranges, "ip", "lo", "hi", ["country", "state", "city"])
         geo = F.when(F.col("lo").isNotNull(),
                      F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
         return j.select("event_id", "ip", S.utc_ts_to_ntz("event_timestamp").alias("event_timestamp"),

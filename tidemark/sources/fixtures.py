@@ -213,6 +213,15 @@ class Views:
             F.col("r_name").alias("state"),
             F.col("n_name").alias("city"))
 
+    @cached_property
+    def v_geo_nested(self) -> DataFrame:
+        """Nested and overlapping address blocks: streets, countries, regions, the world."""
+        s = self.t.supplier.select(F.col("s_suppkey") * 331, F.col("s_suppkey") * 331 + (F.col("s_suppkey") % 7) * 40, F.concat(F.lit("street "), F.col("s_name")))
+        n = self.v_geo_ranges.select("lo", "hi", F.concat(F.lit("country "), F.col("country")))
+        r = self.t.region.select(F.col("r_regionkey").cast("long") * 300_000, F.col("r_regionkey").cast("long") * 300_000 + 599_999, F.concat(F.lit("region "), F.col("r_name")))
+        world = self.t.region.where("r_regionkey = 0").select(F.lit(0).cast("long"), F.lit((1 << 40) - 1), F.lit("world"))
+        return s.union(n).union(r).union(world).toDF("lo", "hi", "name")
+
     # -- matches -----------------------------------------------------------------
     @cached_property
     def v_matches(self) -> DataFrame:
