@@ -41,7 +41,7 @@ from .common import bounded_head, materialize, read_file
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _WORKER: dict[str, "Pair"] = {}
 
@@ -58,21 +58,28 @@ class SideA:
     """Byte-level BPE of a ``tokenizers`` file's content."""
 
     def __init__(self, spec: str, ranked: bool | None = None):
-        from tokenizers import Tokenizer
-
         j = json.loads(spec)
-        self.library = Tokenizer.from_str(spec)
-        self.library.encode_special_tokens = True
-        self.library.no_truncation()
-        self.library.no_padding()
         letters = byte_letters()
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.bytes: list[bytes] = [b""] * size
-        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+        vocab = {t["content"]: t["id"] for t in j.get("added_tokens") or []} | j["model"]["vocab"]
+        self.bytes: list[bytes] = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.spec, self._library = spec, None
         self.plain = self._plain(j)
         self.ranked = by_rank(j) if self.plain and (merges_by_rank(j) if ranked is None else ranked) else None
 
+    @property
+    def library(self):
+        """The library's tokenizer, special strings as plain text."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self.spec)
+            self._library.encode_special_tokens = True
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
+
     @staticmethod
     def _plain(j: dict) -> bool:
         """Nothing but byte-level pre-tokens and merges: no step looks across a space."""
