@@ -39,25 +39,48 @@ def edges(df: DataFrame, subject: str, subject_type: str, obj: str, object_type:
                                {"ignoreNullFields": "false"}).alias("properties"))
 
 
+def pair_cells(facts: DataFrame, group: str, node: str, cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a self join of ``group``'s members, cut into triangle cells.
+
+    A group of more than ``cell_rows`` rows is hashed by ``node`` into blocks of about that
+    size; a row of block i goes to the cells (i, j >= i) on the left and (j <= i, i)
+    on the right. Joined on (group, __i, __j), two rows of different blocks meet in
+    one cell, rows of one block in the cell (i, i), where the caller orders them.
+    A cell holds about 2 x ``cell_rows`` rows whatever the size of its group. Rows with a
+    null group or node pair with nothing and are left out."""
+    facts = facts.where(F.col(group).isNotNull() & F.col(node).isNotNull())
+    big = (facts.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > cell_rows)
+           .select(group, F.ceil(F.col("__n") / cell_rows).cast("int").alias("__blocks")))
+    f = (facts.join(big, group, "left").withColumn("__blocks", F.coalesce("__blocks", F.lit(1)))
+         .withColumn("__block", F.pmod(F.xxhash64(node), F.col("__blocks")).cast("int")))
+    left = f.withColumn("__j", F.explode(F.sequence("__block", F.col("__blocks") - 1))).withColumnRenamed("__block", "__i").drop("__blocks")
+    right = f.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__block")))).withColumnRenamed("__block", "__j").drop("__blocks")
+    return left, right
+
+
 def co_occurrence_edges(facts: DataFrame, group: str, node: str, node_name: str, side: str,
-                        value: str, same_label: str, diff_label: str) -> DataFrame:
+                        value: str, same_label: str, diff_label: str, cell_rows: int = 2000) -> DataFrame:
     """Edges between nodes that share a group (players in the same game):
     one edge per unordered pair and relation (same side or not), with the
-    number of shared groups and the value sums of both ends.
-
-    The self join is an equi join on ``group`` with the residual ``a > b``, so
-    each pair is produced once; its fan-out is bounded by the nodes per group.
-    Each side is projected to four columns before the join."""
-    a = facts.select(F.col(group), *[F.col(c).alias(f"a_{c}") for c in (node, node_name, side, value)])
-    b = facts.select(F.col(group), *[F.col(c).alias(f"b_{c}") for c in (node, node_name, side, value)])
-    j = a.join(b, group).where((F.col(f"a_{node}") > F.col(f"b_{node}")) &
-                               (F.col(f"a_{node_name}") != F.col(f"b_{node_name}")))
-    rel = F.when(F.col(f"a_{side}") == F.col(f"b_{side}"), same_label).otherwise(diff_label)
-    return (j.groupBy(F.col(f"a_{node}").alias("subject_identifier"),
-                      F.col(f"a_{node_name}").alias("subject_name"),
-                      F.col(f"b_{node}").alias("object_identifier"),
-                      F.col(f"b_{node_name}").alias("object_name"),
-                      rel.alias("edge_type"))
-            .agg(F.count(F.lit(1)).alias("num_games"),
-                 F.sum(f"a_{value}").alias("subject_points"),
-                 F.sum(f"b_{value}").alias("object_points")))
+    number of shared groups and the value sums of both ends. The subject is the
+    greater node.
+
+    The self join runs on triangle cells (``pair_cells``), so the pairs of a group
+    that holds much of the rows are made by many tasks, and are summed per task
+    before they are shuffled by pair. Each side is projected to its columns first."""
+    ends = (node, node_name, side, value)
+    left, right = pair_cells(facts.select(group, *ends), group, node, cell_rows)
+    a = left.select(group, "__i", "__j", F.struct(*ends).alias("__a"))
+    b = right.select(group, "__i", "__j", F.struct(*ends).alias("__b"))
+    j = a.join(b, [group, "__i", "__j"]).where(
+        ((F.col("__i") < F.col("__j")) | (F.col(f"__a.{node}") > F.col(f"__b.{node}")))
+        & (F.col(f"__a.{node_name}") != F.col(f"__b.{node_name}")))
+    first = F.col(f"__a.{node}") > F.col(f"__b.{node}")
+    pick = lambda c: (F.when(first, F.col(f"__a.{c}")).otherwise(F.col(f"__b.{c}")),
+                      F.when(first, F.col(f"__b.{c}")).otherwise(F.col(f"__a.{c}")))
+    rel = F.when(F.col(f"__a.{side}") == F.col(f"__b.{side}"), same_label).otherwise(diff_label)
+    (s_id, o_id), (s_name, o_name), (s_val, o_val) = pick(node), pick(node_name), pick(value)
+    return (j.groupBy(s_id.alias("subject_identifier"), s_name.alias("subject_name"),
+                      o_id.alias("object_identifier"), o_name.alias("object_name"), rel.alias("edge_type"))
+            .agg(F.count(F.lit(1)).alias("num_games"), F.sum(s_val).alias("subject_points"),
+                 F.sum(o_val).alias("object_points")))

@@ -12,6 +12,18 @@ from ..functions.exprs import day_of, map_referrer
 from .scan import prefix_scan
 
 
+def _labelled(df: DataFrame, cols: Sequence[str], labels: dict, overall: str, level_col: str, values: Sequence[str]) -> DataFrame:
+    """Level label from the ``__g_`` flags, NULL grouping columns shown as ``overall``."""
+    label = None
+    for s, name in labels.items():
+        cond = None
+        for c in cols:
+            c_cond = (F.col(f"__g_{c}") == (0 if c in s else 1))
+            cond = c_cond if cond is None else cond & c_cond
+        label = F.when(cond, name) if label is None else label.when(cond, name)
+    return df.select(label.alias(level_col), *[F.coalesce(F.col(c).cast("string"), F.lit(overall)).alias(c) for c in cols], *values)
+
+
 def labelled_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], labels: dict,
                            aggs: dict[str, Column], overall: str = "(overall)",
                            level_col: str = "aggregation_level") -> DataFrame:
@@ -22,19 +34,29 @@ def labelled_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], labels:
     ``labels`` maps a frozenset of grouped columns to its label."""
     cols = sorted({c for s in sets for c in s})
     g = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols])
-    gid = [F.grouping(c).alias(f"__g_{c}") for c in cols]
-    out = g.agg(*[c.alias(n) for n, c in aggs.items()], *gid)
-    label = None
-    for s, name in labels.items():
-        cond = None
-        for c in cols:
-            c_cond = (F.col(f"__g_{c}") == (0 if c in s else 1))
-            cond = c_cond if cond is None else cond & c_cond
-        label = F.when(cond, name) if label is None else label.when(cond, name)
-    agg_names = list(aggs)
-    return out.select(label.alias(level_col),
-                      *[F.coalesce(F.col(c).cast("string"), F.lit(overall)).alias(c) for c in cols],
-                      *agg_names)
+    out = g.agg(*[c.alias(n) for n, c in aggs.items()], *[F.grouping(c).alias(f"__g_{c}") for c in cols])
+    return _labelled(out, cols, labels, overall, level_col, list(aggs))
+
+
+def grouping_sets_over_items(df: DataFrame, sets: Sequence[Sequence[str]], labels: dict, item: str,
+                             sums: dict[str, Column], count: str, flags: dict[str, Column],
+                             overall: str = "(overall)", level_col: str = "aggregation_level") -> DataFrame:
+    """Grouping sets with sums and exact distinct counts of ``item``: ``count`` for all
+    items, and per flag the items with a row where it holds.
+
+    Distinct counts in grouping sets would expand every row once more per distinct
+    expression. Here the sets group by (columns, item) first, where an item's flags
+    become maxima, then by the columns, where distinct counts are plain sums: one
+    Expand (rows x sets), partial results on both levels, and a group that holds
+    much of the rows is spread over its items. Null items are not counted."""
+    cols = sorted({c for s in sets for c in s})
+    g = df.groupingSets([[*[F.col(c) for c in s], F.col(item)] for s in sets], *[F.col(c) for c in cols], F.col(item))
+    per_item = g.agg(*[c.alias(n) for n, c in sums.items()], *[F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()],
+                     *[F.grouping(c).alias(f"__g_{c}") for c in cols])
+    there = F.col(item).isNotNull()
+    out = per_item.groupBy(*cols, *[f"__g_{c}" for c in cols]).agg(
+        *[F.sum(n).alias(n) for n in sums], F.count(item).alias(count), *[F.count_if(there & F.col(n)).alias(n) for n in flags])
+    return _labelled(out, cols, labels, overall, level_col, [*sums, count, *flags])
 
 
 def referrer_daily_counts(events: DataFrame, time_col: str = "event_time") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dims
+from ..sources import writers as W
 from ..sources.fixtures import Views
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -335,8 +336,11 @@ def q_referrer_window_analysis(spark, sf):
 
 
 def _games_facts(v: Views) -> DataFrame:
-    gd = v.v_game_details_dedup
-    g = v.v_games.select("game_id", "game_date", "season", "winner_team_id")
+    """De-duplicated game details with their game's season and winner; staged, since
+    the winners and the facts both come from them."""
+    cols = ["game_id", "player_name", "team_id", "team_abbreviation", "pts"]
+    gd = W.materialize(v.spark, v.v_game_details_dedup.select(*cols), "game-details")
+    g = v.games_of(gd).select("game_id", "season", "winner_team_id")
     return gd.join(g, "game_id")
 
 
@@ -347,12 +351,10 @@ GAME_SETS = {"player_team": ["player_name", "team_abbreviation"],
 
 def game_grouping_sets(v: Views) -> DataFrame:
     f = _games_facts(v)
-    won = F.when(F.col("team_id") == F.col("winner_team_id"), F.col("game_id"))
     labels = {frozenset(s): n for n, s in GAME_SETS.items()}
-    return olap.labelled_grouping_sets(
-        f, list(GAME_SETS.values()), labels,
-        {"total_pts": F.sum("pts"), "num_games": F.count_distinct("game_id"),
-         "games_won": F.count_distinct(won)})
+    return olap.grouping_sets_over_items(
+        f, list(GAME_SETS.values()), labels, "game_id", {"total_pts": F.sum("pts")}, "num_games",
+        {"games_won": F.col("team_id") == F.col("winner_team_id")})
 
 
 @query("game_grouping_sets")
@@ -932,7 +934,6 @@ def q_kpi_engagement(spark, sf):
 
 # ---- 2.1 sources and sinks ----------------------------------------------------------------
 
-from ..sources import writers as W  # noqa: E402
 from ..sources.tables import enforce_schema  # noqa: E402
 
 EVENT_SCHEMA = T.StructType([

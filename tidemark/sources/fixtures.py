@@ -136,7 +136,10 @@ class Views:
 
     @cached_property
     def v_games(self) -> DataFrame:
-        gd = self.v_game_details_dedup
+        return self.games_of(self.v_game_details_dedup)
+
+    def games_of(self, gd: DataFrame) -> DataFrame:
+        """Games with their winner from de-duplicated (perhaps staged) details."""
         team_pts = gd.groupBy("game_id", "team_id").agg(F.sum("pts").alias("team_pts"))
         # winner = highest point sum, ties to the lowest team_id: one hash aggregate
         # with a struct max, no per-game sort
