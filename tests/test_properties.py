@@ -176,17 +176,6 @@ def test_cached_rollups_and_csv(spark, tmp_path):
     assert read_csv(spark, str(p)).schema["mapid"].dataType == T.StringType()
 
 
-def test_partitioned_write_prunes(spark):
-    from tidemark.plans.explain import plan_text
-    v = Views(spark, SF_SMALL)
-    path = scratch_path(spark, "by-year")
-    W.write_partitioned(v.v_events.withColumn("event_date", F.to_date("event_time")), path, "event_date")
-    t = spark.read.parquet(path).where((F.col("event_date_year") == 2024)
-                                       & (F.col("event_date") == F.lit("2024-01-05").cast("date")))
-    assert "PartitionFilters: [isnotnull(event_date_year" in plan_text(t)
-    assert t.count() > 0
-
-
 def test_actor_step_iterated_equals_backfill(spark):
     v = Views(spark, SF_SMALL)
     films = v.v_actor_films

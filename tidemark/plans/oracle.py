@@ -8,7 +8,7 @@ of period and rank, steps as a day of the whole history, frames by list slices.
 from __future__ import annotations
 
 from .oracle_views import with_views
-from .queries import AS_OF, FUNNEL_MIN_COUNT, MATCH_DAY, STEP_SEASON, THRESHOLD_TOTAL  # noqa: F401
+from .queries import AS_OF, FUNNEL_MIN_COUNT, HIDDEN_USERS, LAYOUT_DAYS, MATCH_DAY, STEP_SEASON, THRESHOLD_TOTAL  # noqa: F401
 
 ORACLE: dict[str, str] = {}
 
@@ -737,6 +737,7 @@ FROM per p LEFT JOIN (SELECT * FROM per WHERE variant = 'control') c ON p.experi
      ("per", """SELECT experiment, variant, COUNT(1) AS users, round(AVG(metric), 9) AS mean_events,
          round(VAR_SAMP(metric), 9) AS var_events FROM per_unit GROUP BY 1, 2""")])
 
-ORACLE["layout_report"] = with_views(["v_events"], """
-SELECT l.layout, (SELECT COUNT(*) FROM v_events) AS num_rows, TRUE AS has_files
-FROM (VALUES ('unsorted'), ('sorted')) l(layout)""")
+ORACLE["hidden_partition_read"] = with_views(["v_events"], f"""
+SELECT event_id, user_id, url, host, event_time FROM v_events
+WHERE event_time >= TIMESTAMP '{LAYOUT_DAYS[0]}' AND event_time < TIMESTAMP '{LAYOUT_DAYS[1]}'
+  AND user_id IN ({', '.join(map(str, HIDDEN_USERS))})""")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dims
+from ..sources import layout as L
 from ..sources import writers as W
 from ..sources.fixtures import Views
 
@@ -989,16 +990,36 @@ def q_snapshot_partition_read(spark, sf):
     return t.where(F.col("date") == F.lit(AS_OF).cast("date")).select("user_id", "date", "num_site_hits")
 
 
+LAYOUT_DAYS = ("2024-01-10", "2024-01-12")
+LAYOUT_USERS = (100, 140)
+
+
 @query("layout_report")
 def q_layout_report(spark, sf):
+    """Bytes, files, rows and files touched by a predicate on day and user, of the events
+    as they arrive, sorted within partitions, and clustered along a curve. The
+    numbers are those of the files written here, so no SQL over the given tables
+    can state them; the tests hold them against the files' own metadata."""
     e = Views(spark, sf).v_events.withColumn("event_date", F.to_date("event_time"))
-    start = e.repartition("event_date")
+    start = e.repartition(8, "event_date")
     base = scratch_path(spark, "layout")
     start.write.mode("overwrite").parquet(f"{base}/unsorted")
     start.sortWithinPartitions("event_date", "host").write.mode("overwrite").parquet(f"{base}/sorted")
-    report = W.layout_report(spark, {"unsorted": f"{base}/unsorted", "sorted": f"{base}/sorted"})
-    # sizes and file counts depend on the writer; rows and the presence of files do not
-    return report.select("layout", "num_rows", (F.col("num_files") > 0).alias("has_files"))
+    L.write_clustered(e, f"{base}/clustered", ["event_date", "user_id"], 8)
+    return L.layout_report(spark, {k: f"{base}/{k}" for k in ("unsorted", "sorted", "clustered")},
+                           {"event_date": LAYOUT_DAYS, "user_id": LAYOUT_USERS})
+
+
+@query("hidden_partition_read")
+def q_hidden_partition_read(spark, sf):
+    """Events partitioned by a day and a user bucket that readers do not name."""
+    path = scratch_path(spark, "hidden")
+    L.write_hidden(Views(spark, sf).v_events, path, [L.Field("event_time", "day"), L.Field("user_id", "bucket", 4)])
+    t = L.read_hidden(spark, path, [("event_time", ">=", LAYOUT_DAYS[0]), ("event_time", "<", LAYOUT_DAYS[1]), ("user_id", "in", list(HIDDEN_USERS))])
+    return t.select("event_id", "user_id", "url", "host", "event_time")
+
+
+HIDDEN_USERS = tuple(range(1, 40))
 
 
 # ---- 2.12 UDF surface ---------------------------------------------------------------------

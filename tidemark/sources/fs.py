@@ -21,17 +21,22 @@ class Store:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(p)) if self._fs.exists(p) else []
 
     def files(self, folder: str) -> list[tuple[str, int]]:
-        """(path below the folder, bytes) of all data files under a folder; names
-        that start with an underscore or a dot are not data."""
-        out, todo = [], [folder]
+        """(whole address, bytes) of all data files under a folder; names that start
+        with an underscore or a dot are not data. The address is that in the
+        ``_metadata.file_path`` of rows read from the file, but for the number of
+        slashes behind the scheme of local files."""
+        out, todo = [], [""]
         while todo:
             at = todo.pop()
-            for s in self._fs.listStatus(self._path(at)):
+            for s in self._fs.listStatus(self._path("/".join(x for x in (folder, at) if x))):
                 name = s.getPath().getName()
+                below = f"{at}/{name}" if at else name
+                if name[0] in "_.":
+                    continue
                 if s.isDirectory():
-                    todo.append(f"{at}/{name}")
-                elif name[0] not in "_.":
-                    out.append((f"{at}/{name}"[len(folder) + 1:], s.getLen()))
+                    todo.append(below)
+                else:
+                    out.append((s.getPath().toUri().toString(), s.getLen()))
         return sorted(out)
 
     def read(self, name: str) -> str:

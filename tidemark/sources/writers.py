@@ -1,5 +1,4 @@
-"""Sinks and table layout: idempotent snapshot writes, partitioned and bucketed
-tables, keyed upsert, file-layout report."""
+"""Sinks: idempotent snapshot writes, keyed upsert, staging, insert by name."""
 
 from __future__ import annotations
 
@@ -16,15 +15,6 @@ def write_snapshot(df: DataFrame, path: str, part_cols: Sequence[str], fmt: str
      .partitionBy(*part_cols).format(fmt).save(path))
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, transform: str = "year",
-                      fmt: str = "parquet") -> None:
-    """Partition by a derived column (``<by>_<transform>``), e.g. year(event_date).
-    Readers must filter the derived column too to get partition pruning."""
-    col = f"{by}_{transform}"
-    fn = {"year": F.year, "month": F.month, "day": F.to_date}[transform]
-    write_snapshot(df.withColumn(col, fn(by)), path, [col], fmt)
-
-
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                  part_cols: Sequence[str], partitions: dict[str, Sequence] | None = None) -> None:
     """ON CONFLICT (keys) DO UPDATE for a parquet table partitioned by
@@ -47,18 +37,6 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     write_snapshot(merged, path, part_cols)
 
 
-def layout_report(spark: SparkSession, layouts: dict[str, str]) -> DataFrame:
-    """Bytes, files and rows per written layout, from the ``_metadata`` columns
-    of the files (distributed: no driver-side listing)."""
-    out = None
-    for label, path in layouts.items():
-        files = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").count()
-        r = files.agg(F.sum("file_size").alias("size_bytes"), F.count(F.lit(1)).alias("num_files"),
-                      F.sum("count").alias("num_rows")).withColumn("layout", F.lit(label))
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several branches of a job read (a staging
     table) as parquet under the shared checkpoint folder and read it back.
