@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +104,45 @@ def scd2_backfill(snapshots: DataFrame, key: Sequence[str] = ("player_name",),
             .drop("streak_id"))
 
 
+def scd2_correct(scd: DataFrame, corrections: DataFrame, key: Sequence[str] = ("player_name",),
+                 attrs: Sequence[str] = ("scoring_class",), period: str = "current_season",
+                 start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
+    """Facts for closed periods that arrive late: ``corrections`` has the true ``attrs`` of a
+    (key, period), one row each; the result is the history that a backfill on the
+    corrected periods gives.
+
+    A row whose interval holds corrected periods is cut around them, the corrected
+    periods become intervals of length 1 (also where the key had none, or is new), and
+    neighbours that touch and are equal (null-safe) join again. Keys without a
+    correction pass through; only the others are shuffled by key for the joining."""
+    key = list(key)
+    on = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key]
+    periods = corrections.groupBy(*key).agg(F.array_sort(F.collect_set(F.col(period).cast("int"))).alias("__cuts"))
+    both = scd.alias("s").join(periods.alias("c"), on("s", "c"), "left")
+    fields = [*key, *attrs, start_col, end_col]
+    own = [F.col(f"s.{c}").alias(c) for c in fields]
+    same = both.where(F.col("__cuts").isNull()).select(*own)
+    cut = both.where(F.col("__cuts").isNotNull()).select(*own, "__cuts")
+    # what is left of an interval: the gaps between the corrected periods inside it
+    inside = F.filter("__cuts", lambda p: (p >= F.col(start_col)) & (p <= F.col(end_col)))
+    lows = F.concat(F.array(F.col(start_col).cast("int")), F.transform(inside, lambda p: p + 1))
+    highs = F.concat(F.transform(inside, lambda p: p - 1), F.array(F.col(end_col).cast("int")))
+    gaps = F.filter(F.arrays_zip(lows.alias("lo"), highs.alias("hi")), lambda g: g["lo"] <= g["hi"])
+    left = cut.withColumn("__g", F.explode(gaps)).select(*key, *attrs, F.col("__g.lo").alias("__lo"), F.col("__g.hi").alias("__hi"))
+    new = corrections.select(*key, *attrs, F.col(period).cast("int").alias("__lo"), F.col(period).cast("int").alias("__hi"))
+    parts = left.unionByName(new)
+    w = Window.partitionBy(*key).orderBy("__lo")
+    joined = F.lag("__hi").over(w) == F.col("__lo") - 1
+    for a in attrs:
+        joined = joined & F.lag(a).over(w).eqNullSafe(F.col(a))
+    begins = parts.withColumn("__begins", (~F.coalesce(joined, F.lit(False))).cast("int"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = (begins.withColumn("__run", F.sum("__begins").over(run)).groupBy(*key, *attrs, "__run")
+              .agg(F.min("__lo").alias(start_col), F.max("__hi").alias(end_col)).drop("__run"))
+    types = {f.name: f.dataType for f in scd.schema}
+    return same.unionByName(merged.select(*[F.col(c).cast(types[c]).alias(c) for c in fields]))
+
+
 def scd2_incremental(prev_scd: DataFrame, cur: DataFrame, period_value: int,
                      key: Sequence[str] = ("player_name",), attrs: Sequence[str] = ("scoring_class",),
                      period: str = "current_season", start_col: str = "start_date",

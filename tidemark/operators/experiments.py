@@ -109,3 +109,70 @@ def welch_readout(events: DataFrame, outcomes: DataFrame, control: str = "contro
     se = F.sqrt(F.col("var_events") / F.col("users") + v0 / n0)
     return per.select("experiment", "variant", "users", "mean_events", "var_events",
                       F.round(F.when(~is_c, F.try_divide(F.col("mean_events") - m0, se)), 9).alias("welch_t"))
+
+
+def unit_metrics(events: DataFrame, outcomes: DataFrame, unit: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """Per exposed unit: ``metric`` (events after the first exposure) and ``before``
+    (events before it), from one aggregation."""
+    e = events.where(F.col(unit).isNotNull()).select(unit, time_col)
+    o = outcomes.select(unit, "experiment", "variant", "exposure_time")
+    return (o.join(e, unit, "left").groupBy(unit, "experiment", "variant")
+            .agg(F.count_if(F.col(time_col) > F.col("exposure_time")).alias("metric"),
+                 F.count_if(F.col(time_col) < F.col("exposure_time")).alias("before")))
+
+
+def adjusted_readout(units: DataFrame, control: str = "control") -> DataFrame:
+    """Means of ``metric`` adjusted by the covariate ``before``: theta = cov / var over all
+    units of the experiment, adjusted = mean - theta (mean before - overall mean before).
+    ``variance_kept`` is 1 - correlation squared, the share of the variance left.
+    Moments per variant are summed once; the experiment's follow from them."""
+    x, y = F.col("before").cast("double"), F.col("metric").cast("double")
+    per = units.groupBy("experiment", "variant").agg(
+        F.count(F.lit(1)).alias("users"), F.sum(x).alias("__x"), F.sum(y).alias("__y"),
+        F.sum(x * x).alias("__xx"), F.sum(x * y).alias("__xy"), F.sum(y * y).alias("__yy"))
+    whole = Window.partitionBy("experiment")
+    for c in ("users", "__x", "__y", "__xx", "__xy", "__yy"):
+        per = per.withColumn(f"__all{c}", F.sum(c).over(whole))
+    n, sx, sy = F.col("__allusers"), F.col("__all__x"), F.col("__all__y")
+    var_x, cov, var_y = F.col("__all__xx") - sx * sx / n, F.col("__all__xy") - sx * sy / n, F.col("__all__yy") - sy * sy / n
+    theta = F.coalesce(F.try_divide(cov, var_x), F.lit(0.0))
+    adjusted = F.col("__y") / F.col("users") - theta * (F.col("__x") / F.col("users") - sx / n)
+    out = per.select("experiment", "variant", "users", F.round(F.col("__y") / F.col("users"), 9).alias("mean"), F.round(theta, 9).alias("theta"),
+                     F.round(adjusted, 9).alias("adjusted_mean"), F.round(1 - F.coalesce(F.try_divide(cov * cov, var_x * var_y), F.lit(0.0)), 9).alias("variance_kept"))
+    base = F.max(F.when(F.col("variant") == control, F.col("adjusted_mean"))).over(whole)
+    return out.withColumn("adjusted_lift", F.when(F.col("variant") != control, F.round(F.try_divide(F.col("adjusted_mean") - base, base), 9)))
+
+
+# P(Poisson(1) <= k) times 2^32, rounded up, for k = 0..11 (from the series e^-1 / k!).
+def _poisson_cuts() -> list[int]:
+    import math
+    total, cuts = 0.0, []
+    for k in range(12):
+        total += math.exp(-1) / math.factorial(k)
+        cuts.append(math.ceil(total * 4294967296))
+    return cuts
+
+
+def poisson_weight(unit: Column, replicate: Column, seed: str) -> Column:
+    """A Poisson(1) draw of (unit, replicate) from 32 bits of md5: the same in any run."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), unit.cast("string"), replicate.cast("string"))), 1, 8), 16, 10).cast("long")
+    return sum((F.when(h >= c, 1).otherwise(0) for c in _poisson_cuts()), F.lit(0))
+
+
+def bootstrap_intervals(units: DataFrame, replicates: int = 200, level: float = 0.95, seed: str = "bootstrap",
+                        control: str = "control", unit: str = "user_id", metric: str = "metric") -> DataFrame:
+    """Percentile intervals of each variant's mean of ``metric``, and of its difference to
+    control, by a Poisson bootstrap: each replicate weighs every unit by its own
+    Poisson(1) draw, so all replicates are sums in one aggregation, summed per task,
+    and no unit is ever sampled or moved. Replicates of weight 0 are left out."""
+    lo, hi = (1 - level) / 2, (1 + level) / 2
+    r = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("__r")
+    w = units.select("experiment", "variant", F.col(unit).alias("__u"), F.col(metric).cast("double").alias("__m"), r)
+    w = w.withColumn("__w", poisson_weight(F.concat_ws(":", F.col("experiment"), F.col("__u").cast("string")), F.col("__r"), seed)).where("__w > 0")
+    per = w.groupBy("experiment", "variant", "__r").agg((F.sum(F.col("__w") * F.col("__m")) / F.sum("__w")).alias("__mean"))
+    base = F.max(F.when(F.col("variant") == control, F.col("__mean"))).over(Window.partitionBy("experiment", "__r"))
+    per = per.withColumn("__diff", F.when(F.col("variant") != control, F.col("__mean") - base))
+    q = lambda c, p: F.round(F.percentile(c, F.lit(p)), 9)
+    return per.groupBy("experiment", "variant").agg(
+        F.count(F.lit(1)).alias("replicates"), q("__mean", lo).alias("mean_low"), q("__mean", hi).alias("mean_high"),
+        q("__diff", lo).alias("diff_low"), q("__diff", hi).alias("diff_high"))

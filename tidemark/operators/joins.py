@@ -12,23 +12,51 @@ from ..session import scratch_path
 
 
 def write_bucketed(df: DataFrame, name: str, n: int, cols: Sequence[str], path: str,
-                   sort: bool = True) -> DataFrame:
+                   sort: bool = True, session: SparkSession | None = None) -> DataFrame:
     """Save ``df`` as a table bucketed (and sorted) on ``cols`` into ``n`` buckets at
     ``path``. ``repartition(n, cols)`` first makes each task write one bucket,
-    so the table has n files instead of n per task. Returns the table."""
+    so the table has n files instead of n per task. Returns the table, as seen by
+    ``session`` (by default the one of ``df``)."""
     w = df.repartition(n, *cols).write.mode("overwrite").option("path", path).bucketBy(n, *cols)
     if sort:
         w = w.sortBy(*cols)
     w.saveAsTable(name)
-    return df.sparkSession.table(name)
+    return (session or df.sparkSession).table(name)
 
 
 def bucketed_tables(spark: SparkSession, tables: dict[str, DataFrame], n: int, cols: Sequence[str],
-                    tag: str = "bucketed") -> dict[str, DataFrame]:
+                    tag: str = "bucketed", session: SparkSession | None = None) -> dict[str, DataFrame]:
+    """Bucketed copies of ``tables``. Their names are needed only while they are written
+    and looked up: the catalog entries are dropped again (the files stay, and the
+    returned tables keep their bucket layout)."""
     base = scratch_path(spark, tag)
     suffix = base.rsplit("-", 1)[-1]
-    return {k: write_bucketed(df, f"{k}_{tag}_{suffix}", n, cols, f"{base}/{k}")
-            for k, df in tables.items()}
+    out = {}
+    for k, df in tables.items():
+        name = f"{k}_{tag}_{suffix}"
+        out[k] = write_bucketed(df, name, n, cols, f"{base}/{k}", session=session)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out
+
+
+def session_with(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session beside ``spark`` with its settings and some of its own: a plan that needs
+    another rule does not change the caller's session."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if s.conf.isModifiable(k):
+            s.conf.set(k, v)
+    for k, v in settings.items():
+        s.conf.set(k.replace("__", "."), v)
+    return s
+
+
+def write_by_period(df: DataFrame, period: str, path: str) -> DataFrame:
+    """Facts in one folder per ``period`` value. Joined on that column, a filter of the
+    other side reaches the facts at run time: only the folders of the periods that
+    its rows have are read."""
+    df.repartition(period).write.mode("overwrite").partitionBy(period).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 TOP_BIT = 62  # bounds and points lie within +-2^62

@@ -741,3 +741,48 @@ ORACLE["hidden_partition_read"] = with_views(["v_events"], f"""
 SELECT event_id, user_id, url, host, event_time FROM v_events
 WHERE event_time >= TIMESTAMP '{LAYOUT_DAYS[0]}' AND event_time < TIMESTAMP '{LAYOUT_DAYS[1]}'
   AND user_id IN ({', '.join(map(str, HIDDEN_USERS))})""")
+
+ORACLE["visitors_by_period"] = with_views(["v_events"], """
+SELECT host, period_start, COUNT(*) AS hits, COUNT(DISTINCT user_id) AS visitors, period FROM (
+  SELECT host, user_id, CAST(date_trunc('week', event_time) AS DATE) AS period_start, 'week' AS period FROM v_events
+  UNION ALL SELECT host, user_id, CAST(date_trunc('month', event_time) AS DATE), 'month' FROM v_events
+  UNION ALL SELECT host, user_id, CAST(event_time AS DATE) + CAST(k AS INTEGER), '7' FROM v_events, range(7) r(k))
+WHERE host IS NOT NULL AND user_id IS NOT NULL GROUP BY host, period, period_start""")
+
+# The backfill of the corrected seasons.
+ORACLE["scd2_late_corrections"] = with_views(["v_player_seasons"], _scd_sql(["scoring_class"], "corrected"),
+    [*players_ctes(), ("corrected", """SELECT player_name, current_season,
+        CASE WHEN (length(player_name) + CAST(right(player_name, 2) AS INTEGER) + current_season) % 5 <> 0 THEN scoring_class
+             WHEN current_season % 2 = 0 THEN 'star' ELSE 'corrected' END AS scoring_class FROM players""")])
+
+ORACLE["partition_pruned_join"] = with_views(["v_match_details", "v_matches"], f"""
+SELECT match_id, strftime(completion_date, '%Y-%m') AS match_month, player_gamertag, player_total_kills, player_total_deaths, playlist_id, mapid
+FROM v_match_details JOIN v_matches USING (match_id)
+WHERE is_team_game AND CAST(completion_date AS DATE) = DATE '{MATCH_DAY}'""")
+
+_UNITS = ("units", """SELECT o.user_id, o.experiment, o.variant,
+    COUNT(CASE WHEN e.event_time > o.exposure_time THEN 1 END) AS metric,
+    COUNT(CASE WHEN e.event_time < o.exposure_time THEN 1 END) AS before
+    FROM outcomes o LEFT JOIN v_events e ON e.user_id = o.user_id GROUP BY 1, 2, 3""")
+
+ORACLE["experiment_adjusted"] = with_views(["v_events"], """
+SELECT experiment, variant, users, round(m, 9) AS mean, round(theta, 9) AS theta, adjusted_mean, round(kept, 9) AS variance_kept,
+       CASE WHEN variant <> 'control' THEN round(adjusted_mean / max(CASE WHEN variant = 'control' THEN adjusted_mean END) OVER (PARTITION BY experiment) - 1, 9) END AS adjusted_lift
+FROM (SELECT experiment, variant, COUNT(*) AS users, AVG(metric) AS m, any_value(theta) AS theta, any_value(kept) AS kept,
+             round(AVG(metric) - any_value(theta) * (AVG(before) - any_value(mb)), 9) AS adjusted_mean
+      FROM units JOIN (SELECT experiment, covar_samp(metric, before) / var_samp(before) AS theta, 1 - pow(corr(metric, before), 2) AS kept, AVG(before) AS mb
+                       FROM units GROUP BY 1) USING (experiment)
+      GROUP BY 1, 2)""", [_OUTCOMES, _UNITS])
+
+# Poisson(1) by inversion of the first 32 bits of the same md5.
+ORACLE["experiment_bootstrap"] = with_views(["v_events"], """
+SELECT experiment, variant, COUNT(*) AS replicates, round(quantile_cont(m, 0.025), 9) AS mean_low, round(quantile_cont(m, 0.975), 9) AS mean_high,
+       round(quantile_cont(d, 0.025), 9) AS diff_low, round(quantile_cont(d, 0.975), 9) AS diff_high
+FROM (SELECT t.experiment, t.variant, t.m, CASE WHEN t.variant <> 'control' THEN t.m - c.m END AS d
+      FROM means t LEFT JOIN (SELECT * FROM means WHERE variant = 'control') c USING (experiment, r))
+GROUP BY 1, 2""", [_OUTCOMES, _UNITS,
+    ("cuts", "SELECT k, CAST(ceil(sum(exp(-1) / CAST(factorial(CAST(k AS INTEGER)) AS DOUBLE)) OVER (ORDER BY k) * 4294967296) AS BIGINT) AS cut FROM range(12) t(k)"),
+    ("drawn", """SELECT experiment, variant, metric, r, CAST('0x' || substr(md5('bootstrap:' || experiment || ':' || user_id || ':' || r), 1, 8) AS BIGINT) AS h
+        FROM units, range(1, 51) t(r)"""),
+    ("weighted", "SELECT d.*, (SELECT count(*) FROM cuts WHERE d.h >= cut) AS w FROM drawn d"),
+    ("means", "SELECT experiment, variant, r, sum(w * metric) / sum(w) AS m FROM weighted WHERE w > 0 GROUP BY 1, 2, 3")])

@@ -96,6 +96,15 @@ def q_scd2_incremental(spark, sf):
     return dims.scd2_incremental(prev_scd, cur, STEP_SEASON, attrs=attrs)
 
 
+@query("scd2_late_corrections")
+def q_scd2_late_corrections(spark, sf):
+    """History of the spending class, to which corrections of closed seasons come late."""
+    snapshots = players_backfill(Views(spark, sf))
+    late = snapshots.where((F.length("player_name") + F.substring("player_name", -2, 2).cast("int") + F.col("current_season")) % 5 == 0)
+    late = late.select("player_name", "current_season", F.when(F.col("current_season") % 2 == 0, F.lit("star")).otherwise(F.lit("corrected")).alias("scoring_class"))
+    return dims.scd2_correct(dims.scd2_backfill(snapshots), late)
+
+
 @query("player_state_change")
 def q_player_state_change(spark, sf):
     return dims.player_state_change(players_backfill(Views(spark, sf)))
@@ -258,6 +267,21 @@ def q_host_activity_step(spark, sf):
                       _long_text("unique_visitors").alias("visitors_text"))
 
 
+@query("visitors_by_period")
+def q_visitors_by_period(spark, sf):
+    """Weekly, monthly and trailing 7-day visitors per host from stored daily bitmaps;
+    the last day is written on its own, and again, as a daily run would."""
+    from ..operators import uniques as U
+    e = Views(spark, sf).v_events
+    path = scratch_path(spark, "daily_visitors")
+    state = U.daily_bitmaps(e)
+    W.write_snapshot(state, path, ["date"])
+    W.write_snapshot(state.where(F.col("date") == F.lit(AS_OF).cast("date")), path, ["date"])
+    days = spark.read.schema(state.schema).parquet(path)
+    parts = [U.visitors_exact(days, p).withColumn("period", F.lit(str(p))) for p in ("week", "month", 7)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- 2.9 growth, retention, funnel --------------------------------------------------------
 
 from ..operators import growth  # noqa: E402
@@ -531,11 +555,16 @@ def q_broadcast_map_medal(spark, sf):
             .select("match_id", "player_gamertag", "medal_id", "medal_name", "count", "mapid", "map_name"))
 
 
+# rows that share match_id and player share the match_id bucket
+BY_PART_OF_KEY = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
+
+
 def bucketed_match_tables(spark, v: Views, n: int | None = None,
                           only: tuple[str, ...] = ("match_details", "matches", "medals_matches_players")) -> dict[str, DataFrame]:
     """The match tables in ``n`` buckets, by default as many as the session's shuffle partitions."""
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return joins.bucketed_tables(spark, {k: getattr(v, f"v_{k}") for k in only}, n, ["match_id"], tag="bucketed")
+    return joins.bucketed_tables(spark, {k: getattr(v, f"v_{k}") for k in only}, n, ["match_id"], tag="bucketed",
+                                 session=joins.session_with(spark, **BY_PART_OF_KEY))
 
 
 def bucket_join(t: dict[str, DataFrame]) -> DataFrame:
@@ -543,8 +572,6 @@ def bucket_join(t: dict[str, DataFrame]) -> DataFrame:
     bucket column is among the keys, no exchange), then the sort-merge joins use
     the bucket layout."""
     md, m, mmp = t["match_details"], t["matches"], t["medals_matches_players"]
-    # rows that share match_id and player share the match_id bucket
-    md.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     medals = mmp.groupBy("match_id", "player_gamertag").agg(F.sum("count").alias("__n"))
     j = (md.join(m.hint("merge"), "match_id")
          .join(medals.hint("merge"), ["match_id", "player_gamertag"], "left"))
@@ -574,6 +601,28 @@ def q_bucket_join_by_date(spark, sf):
     return matches_on_day(bucketed_match_tables(spark, Views(spark, sf), only=("match_details", "matches")), MATCH_DAY)
 
 
+def tables_by_month(spark, v: Views) -> dict[str, DataFrame]:
+    """Match details in one folder per month of their match, and the matches."""
+    base = scratch_path(spark, "by-month")
+    m = v.v_matches.withColumn("match_month", F.date_format("completion_date", "yyyy-MM"))
+    m.write.parquet(f"{base}/matches")
+    m = spark.read.schema(m.schema).parquet(f"{base}/matches")
+    details = v.v_match_details.join(m.select("match_id", "match_month"), "match_id")
+    return {"matches": m, "match_details": joins.write_by_period(details, "match_month", f"{base}/details")}
+
+
+def pruned_by_matches(t: dict[str, DataFrame], day: str) -> DataFrame:
+    """Match details of the team games of a day (J11): the filter is on the matches
+    alone; the months that they have prune the details' folders at run time."""
+    m = t["matches"].where((F.to_date("completion_date") == day) & F.col("is_team_game"))
+    return t["match_details"].join(m.select("match_id", "match_month", "playlist_id", "mapid"), ["match_id", "match_month"])
+
+
+@query("partition_pruned_join")
+def q_partition_pruned_join(spark, sf):
+    return pruned_by_matches(tables_by_month(spark, Views(spark, sf)), MATCH_DAY)
+
+
 # ---- 2.4 match questions (A16) ------------------------------------------------------------
 
 def _match_facts(v: Views) -> DataFrame:
@@ -918,6 +967,19 @@ def q_experiment_welch(spark, sf):
     return X.welch_readout(v.v_events, X.exposures_and_outcomes(v.v_events, EXPERIMENT, WEIGHTS))
 
 
+@query("experiment_adjusted")
+def q_experiment_adjusted(spark, sf):
+    v = Views(spark, sf)
+    return X.adjusted_readout(X.unit_metrics(v.v_events, X.exposures_and_outcomes(v.v_events, EXPERIMENT, WEIGHTS)))
+
+
+@query("experiment_bootstrap")
+def q_experiment_bootstrap(spark, sf):
+    v = Views(spark, sf)
+    units = X.unit_metrics(v.v_events, X.exposures_and_outcomes(v.v_events, EXPERIMENT, WEIGHTS))
+    return X.bootstrap_intervals(units, replicates=50)
+
+
 @query("kpi_profit")
 def q_kpi_profit(spark, sf):
     return kpi.monthly_rollup(kpi.unit_day_fact(Views(spark, sf).v_profit))
