@@ -87,11 +87,11 @@ class SideA:
         return (j.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True)) and not pre.get("add_prefix_space")
                 and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.ranked is not None:
-            enc = self.ranked.encode_ordinary
-            return [enc(t) for t in texts]
-        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)] if texts else []
+            enc = self.ranked.encode_to_numpy
+            return [enc(t).view(np.int32) for t in texts]
+        return [np.array(e.ids, np.int32) for e in self.library.encode_batch(texts, add_special_tokens=False)] if texts else []
 
 
 def ranks_of(j: dict) -> dict[bytes, int]:
@@ -137,8 +137,8 @@ class SideB:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(m[1], 16)]) if (m := BYTE_PIECE.match(p)) and self.model.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1) if texts else []
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.model.encode(texts, num_threads=1)] if texts else []
 
 
 class Pair:
@@ -148,21 +148,21 @@ class Pair:
         self.a, self.b = SideA(spec, ranked), SideB(model)
         self.len_a = np.array([len(x) for x in self.a.bytes], np.int64)
         self.len_b = np.array([len(x) for x in self.b.bytes], np.int64)
-        text = lambda sep, n: np.array([f"{sep}{i}" for i in range(n)], dtype=object)
-        self.names = {(side, sep): text(sep, n) for side, n in (("a", len(self.len_a)), ("b", len(self.len_b))) for sep in ",;|"}
+        # an id's text behind a comma, and behind the mark that starts a group's part of this side
+        text = lambda mark, n: np.array([f"{m}{i}" for m in ("," , mark) for i in range(n)], dtype=object)
+        self.names_a, self.names_b = text(";", len(self.len_a)), text("|", len(self.len_b))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(A ids, A tokens per text, B ids, B tokens per text) of space+text; none
         for empty texts and where bytes differ."""
-        of_a, of_b = self.a.bytes.__getitem__, self.b.bytes.__getitem__
-        sides = ([], [])
-        for t, a, b in zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts)):
-            raw = b" " + t.encode("utf-8", "surrogatepass")
-            # byte-level merges alone keep every byte
-            same = bool(t) and b"".join(map(of_b, b)) == raw and (self.a.plain or b"".join(map(of_a, a)) == raw)
-            for side, ids in zip(sides, (a, b)):
-                side.append(np.array(ids if same else [], np.int32))
-        return tuple(x for side in sides for x in (np.concatenate(side).astype(np.int64) if side else np.zeros(0, np.int64), np.array([len(i) for i in side], np.int64)))
+        a, b = self.a.encode([" " + t for t in texts]), self.b.encode(texts)
+        raw = [b" " + t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        # byte-level merges alone keep every byte
+        checked = [(self.b.bytes, b)] if self.a.plain else [(self.b.bytes, b), (self.a.bytes, a)]
+        for i, (t, r) in enumerate(zip(texts, raw)):
+            if not t or any(b"".join([vocab[k] for k in ids[i].tolist()]) != r for vocab, ids in checked):
+                a[i], b[i] = a[i][:0], b[i][:0]
+        return tuple(x for side in (a, b) for x in (np.concatenate(side).astype(np.int64) if side else np.zeros(0, np.int64), np.array([len(i) for i in side], np.int64)))
 
 
 def starts(ids: np.ndarray, n: np.ndarray, lengths: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,9 +204,8 @@ def group_texts(pair: Pair, a_doc, a_id, a_last, b_doc, b_id, b_last, n_docs: in
     out = np.empty(len(a_id) + len(b_id), dtype=object)
     new_a = np.concatenate([[True], a_last[:-1]])
     new_b = np.concatenate([[True], b_last[:-1]])
-    names = pair.names
-    out[place_a] = np.where(new_a, names["a", ";"][a_id], names["a", ","][a_id])
-    out[place_b] = np.where(new_b, names["b", "|"][b_id], names["b", ","][b_id])
+    out[place_a] = pair.names_a[a_id + new_a * len(pair.len_a)]
+    out[place_b] = pair.names_b[b_id + new_b * len(pair.len_b)]
     ends = np.cumsum(np.bincount(a_doc, minlength=n_docs) + np.bincount(b_doc, minlength=n_docs))
     parts, start = [], 0
     for e in ends.tolist():
@@ -253,12 +252,14 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     """One row per row: id, n_a, n_b, n_groups, n_links (long), groups (text),
     links (codes a * |B| + b of all links in text order)."""
     spark = docs.sparkSession
-    spec = read_file(a_path).decode("utf-8")
-    shared = spark.sparkContext.broadcast((spec, read_file(b_path), merges_by_rank(json.loads(spec))))
+    spec, model = read_file(a_path).decode("utf-8"), read_file(b_path)
+    shared = spark.sparkContext.broadcast((spec, model, merges_by_rank(json.loads(spec))))
+    small = len(SideA(spec, False).bytes) * len(SideB(model).bytes) < 1 << 31  # codes fit 32 bits
+    code, np_code = (T.IntegerType(), np.int32) if small else (T.LongType(), np.int64)
     src = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     longs = ["n_a", "n_b", "n_groups", "n_links"]
     schema = T.StructType([T.StructField(id_col, src.schema["__id"].dataType), *[T.StructField(c, T.LongType()) for c in longs],
-                           T.StructField("groups", T.StringType()), T.StructField("links", T.ArrayType(T.LongType()))])
+                           T.StructField("groups", T.StringType()), T.StructField("links", T.ArrayType(code))])
     key = f"{a_path}|{b_path}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +274,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
                 n_a, n_b, n_groups, parts, codes, cuts = align_batch(pair, texts[lo:hi])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), *[pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups, np.diff(cuts))], pa.array(parts, pa.string()),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(codes, pa.int64()))], names=schema.names)
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(codes.astype(np_code)))], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -338,7 +339,7 @@ def alignment_digest(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
             for lo in range(0, batch.num_rows, 1024):
                 links = batch.column(1).slice(lo, 1024)
                 sizes = np.diff(links.offsets.to_numpy())
-                flat = links.flatten().to_numpy(zero_copy_only=False)
+                flat = links.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 at = np.searchsorted(code[:-1], flat)
                 hit = code[at] == flat
                 row = np.repeat(np.arange(len(links)), sizes)
