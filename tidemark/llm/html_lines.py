@@ -5,22 +5,29 @@ page headers and footers, sidebars, notices, adverts, reader comments) go with
 their elements, every other block element ends a line. Text lengths are summed over
 windows of ``window`` lines. A surge point is where a window passes the surge
 threshold and the next ones hold text; a dive point is where the windows fall
-below the dive threshold. Text between surge and dive is kept; of several such stretches
-the one with the most text. Where the page marks articles (article or main), every
-stretch that reaches into one is kept and the marks correct its ends: an end that
-lies in an article moves to the article's end, so short paragraphs there stay, and
-lines outside articles before the first or after the last marked line go.
-
-Defined results: a null or blank page gives an empty text; a page without a surge (in
-its articles, if it marks some) gives all its marked lines, without marks all lines
-that are left after the strip; markup that is cut off ends with the page; repeated
-rows give equal texts.
+below the dive threshold. Text between surge and dive is kept. On a page without a
+surge the window with the most text is the stretch.
+
+Where the page marks an article (article or main), the stretches that reach into one
+count, cut to the marked lines and joined where they lie in one article. A start moves
+back while windows stay above the dive threshold, and both ends move on through lines
+of the same article, ``reach`` at most: short paragraphs at the ends come in, far parts
+of the mark without text do not. Without marks the stretch with the most text counts.
+
+Markup is read once from left to right, in time linear in the page: a tag ends at
+the first > outside quotes, a < that starts no tag is text, an unclosed script, style
+or comment ends with the page.
+
+Defined results: a null or blank page gives an empty text; markup that is cut off ends
+with the page; a page of which the class names hide everything is read without
+them; repeated rows give equal texts; very long pages are read whole.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<|[^<]+", re.S | re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
+SPECIAL = re.compile(r"[>\"']")
+# Elements whose content is no markup; they end with their own closing tag.
+RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title")}
 # Elements that end a line of text.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary
@@ -39,27 +46,96 @@ table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that never hold an article's text.
 CHROME = frozenset("nav footer aside form menu head button select dialog".split())
-# The same by role, class or id, as whole parts of a name.
+# The same by role, class or id, as whole parts of a name...
 HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|modal|nav|navbar|navigation"
-    r"|newsletter|notice|popup|promo\w*|related|replies|share|sharing|sidebar|site-header|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"(?:^|[_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|modal|nav|navbar|navigation"
+    r"|newsletter|notice|popup|promo\w*|related|replies|share|sharing|sidebar|site-header|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[_-])", re.I)
+# ...but not where the name says that something else has such a part.
+HOLDER = re.compile(r"^(?:with|without|has|have|no|not|hide|show|is)[_-]|[_-](?:wrap|wrapper|layout|container|page|content|open|closed|enabled|disabled|free)$", re.I)
 ATTR = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 ARTICLE = frozenset(("article", "main"))
 
 
-def _is_chrome(tag: str, attrs: str, in_article: bool) -> bool:
+def _is_chrome(tag: str, attrs: str, in_article: bool, hints: bool) -> bool:
     if tag in CHROME or tag == "header" and not in_article:
         return True
     if not attrs or tag in ("html", "body") or tag in ARTICLE:
         return False
-    return bool(HIDDEN.search(attrs)) or any(HINT.search(v.strip("\"'")) for _, v in ATTR.findall(attrs))
+    if HIDDEN.search(attrs):
+        return True
+    return hints and any(HINT.search(name) and not HOLDER.search(name) for _, v in ATTR.findall(attrs) for name in v.strip("\"'").split())
+
+
+def markup(page: str) -> Iterator[tuple[str, str, str]]:
+    """('text', text, ''), ('open', tag, attributes), ('close', tag, '') and ('gap', '', '')
+    for what is dropped, from left to right. No part is read twice: where the next
+    quote or > lies, and how a tag that meets it ends, is remembered."""
+    n, at, special, last_gt = len(page), 0, -1, page.rfind(">")
+    ends: dict[int, int] = {}  # quote or > outside quotes -> the > that ends the tag, -1: none
+
+    def tag_end(p: int) -> int:
+        nonlocal special
+        if special < p:
+            m = SPECIAL.search(page, p)
+            special = m.start() if m else n
+        q, chain, end = special, [], -1
+        while q < n:
+            if q in ends:
+                end = ends[q]
+                break
+            chain.append(q)
+            if page[q] == ">":
+                end = q
+                break
+            close = page.find(page[q], q + 1)
+            m = SPECIAL.search(page, close + 1) if close >= 0 else None
+            q = m.start() if m else n
+        for c in chain:
+            ends[c] = end
+        return end
+
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0:
+            yield "text", page[at:], ""
+            return
+        if lt > at:
+            yield "text", page[at:lt], ""
+        at = lt
+        if page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
+            mark = "-->" if page[at + 2] == "-" else "]]>"
+            end = page.find(mark, at)
+            at = end + 3 if end >= 0 else n
+            yield "gap", "", ""
+            continue
+        m = TAG.match(page, at)
+        if m:
+            tag, end = m[2].lower(), tag_end(m.end())
+            if end >= 0:
+                if m[1]:
+                    yield "close", tag, ""
+                elif tag in RAW:
+                    close = RAW[tag].search(page, end + 1)
+                    yield "gap", "", ""
+                    end = close.end() - 1 if close else n
+                else:
+                    yield "open", tag, page[m.end():end]
+                at = end + 1
+                continue
+        elif page[at + 1:at + 2] in ("!", "?", "/") and at + 1 < n and at < last_gt:
+            at = page.find(">", at) + 1
+            yield "gap", "", ""
+            continue
+        yield "text", "<", ""
+        at += 1
 
 
-def text_lines(page: str) -> list[tuple[str, int]]:
+def text_lines(page: str, hints: bool = True) -> list[tuple[str, int]]:
     """Lines of text with the number of the article element they stand in (0: none)."""
     lines: list[tuple[str, int]] = []
     stack: list[tuple[str, bool, int]] = []  # element, whether it hides its text, article
+    opened: Counter = Counter()
     buffer: list[str] = []
     article = seen = hidden = 0
 
@@ -70,40 +146,38 @@ def text_lines(page: str) -> list[tuple[str, int]]:
             if text:
                 lines.append((text, article))
 
-    for m in TOKEN.finditer(page):
-        tag = m["tag"]
-        if tag is None:
-            piece = m[0]
-            if m["raw"] or piece.startswith("<") and len(piece) > 1:
-                buffer.append(" ")
-            elif not hidden:
-                buffer.append(piece)
-            continue
-        tag = tag.lower()
-        if m["close"]:
+    for kind, tag, attrs in markup(page):
+        if kind == "text":
+            if not hidden:
+                buffer.append(tag)
+        elif kind == "gap":
+            buffer.append(" ")
+        elif kind == "close":
             if tag in BLOCKS:
                 end_line()
-            if any(e[0] == tag for e in stack):
-                while stack:
-                    name, hides, before = stack.pop()
-                    if name in BLOCKS:
-                        end_line()
-                    hidden -= hides
-                    article = before
-                    if name == tag:
-                        break
+            while opened[tag]:
+                name, hides, before = stack.pop()
+                opened[name] -= 1
+                if name in BLOCKS:
+                    end_line()
+                hidden -= hides
+                article = before
+                if name == tag:
+                    break
         else:
             if tag in BLOCKS:
                 end_line()
                 if stack and stack[-1][0] == "p":  # a block ends an open paragraph
                     _, hides, article = stack.pop()
+                    opened["p"] -= 1
                     hidden -= hides
             elif tag == "br":
                 buffer.append(" ")
-            if tag in VOID or m["attrs"].endswith("/"):
+            if tag in VOID or attrs.endswith("/"):
                 continue
-            hides = _is_chrome(tag, m["attrs"], article > 0)
+            hides = _is_chrome(tag, attrs, article > 0, hints)
             stack.append((tag, hides, article))
+            opened[tag] += 1
             hidden += hides
             if tag in ARTICLE and not hidden and not article:
                 seen += 1
@@ -112,7 +186,7 @@ def text_lines(page: str) -> list[tuple[str, int]]:
     return lines
 
 
-def stretches(lengths: list[int], window: int, surge: int, dive: int) -> list[tuple[int, int]]:
+def surges(lengths: list[int], window: int, surge: int, dive: int) -> list[tuple[int, int]]:
     """Line ranges between a surge point and the next dive point."""
     n = len(lengths)
     sums = [sum(lengths[i:i + window]) for i in range(n)]
@@ -129,35 +203,62 @@ def stretches(lengths: list[int], window: int, surge: int, dive: int) -> list[tu
     return out
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 86, dive: int = 20) -> str:
+def stretches(lengths: list[int], window: int, surge: int, dive: int) -> list[tuple[int, int]]:
+    """The ranges of ``surges``; without a surge the window with the most text."""
+    out, n = surges(lengths, window, surge, dive), len(lengths)
+    if not out and n:
+        i = max(range(n), key=lambda k: (sum(lengths[k:k + window]), -k))
+        out.append((i, min(n, i + window)))
+    return out
+
+
+def main_text(page: str | None, window: int = 3, surge: int = 86, dive: int = 20, reach: int = 6) -> str:
     """The article's blocks, two newlines between."""
     if not page:
         return ""
-    lines = text_lines(page)
-    lengths = [len(t) for t, _ in lines]
-    found = stretches(lengths, window, surge, dive)
-    first, last = {}, {}  # lines of each article
-    for i, (_, article) in enumerate(lines):
-        if article:
-            first.setdefault(article, i)
-            last[article] = i
-    if first:
-        kept: set[int] = set()
-        for a, b in found:
-            inside = [article for _, article in lines[a:b] if article]
-            if inside:
-                kept.update(range(first[inside[0]], last[inside[-1]] + 1))
-        return "\n\n".join(t for i, (t, article) in enumerate(lines) if (i in kept if kept else article))
-    if not found:
-        return "\n\n".join(t for t, _ in lines)
-    a, b = max(found, key=lambda s: (sum(lengths[s[0]:s[1]]), -s[0]))
-    while a < b - 1 and lengths[a] <= dive:  # lines before the surge that its window reached ahead over
-        a += 1
-    return "\n\n".join(t for t, _ in lines[a:b])
+    lines = text_lines(page) or text_lines(page, hints=False)
+    sizes = [len(t) for t, _ in lines]
+    marked = [i for i, (_, article) in enumerate(lines) if article]
+    kept: set[int] = set()
+    if marked:
+        runs = _marked_runs(lines, surges(sizes, window, surge, dive))
+        if not runs:  # no surge reaches into an article: the distribution of the marked lines alone
+            lines, sizes = [lines[i] for i in marked], [sizes[i] for i in marked]
+            runs = stretches(sizes, window, surge, dive)
+        for a, b in runs:
+            kept.update(range(a, b))
+            # windows before the surge that are above the dive already belong to its rise
+            while a > 0 and lines[a - 1][1] == lines[a][1] and sum(sizes[a - 1:a - 1 + window]) > dive:
+                a -= 1
+            lo, hi = a, b
+            while a > 0 and lo - a < reach and lines[a - 1][1] == lines[lo][1]:
+                a -= 1
+            while b < len(lines) and b - hi < reach and lines[b][1] == lines[hi - 1][1]:
+                b += 1
+            kept.update(range(a, b))
+    elif lines:
+        a, b = max(stretches(sizes, window, surge, dive), key=lambda s: (sum(sizes[s[0]:s[1]]), -s[0]), default=(0, 0))
+        while a < b - 1 and sizes[a] <= dive:  # lines before the surge that its window reached ahead over
+            a += 1
+        kept.update(range(a, b))
+    return "\n\n".join(lines[i][0] for i in sorted(kept))
+
+
+def _marked_runs(lines: list[tuple[str, int]], found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches that reach into articles, from their first to their last marked
+    line; what lies between two stretches of one article belongs to both."""
+    out: list[tuple[int, int]] = []
+    for a, b in found:
+        inside = [i for i in range(a, b) if lines[i][1]]
+        if inside and out and lines[out[-1][1] - 1][1] == lines[inside[0]][1]:
+            out[-1] = (out[-1][0], inside[-1] + 1)
+        elif inside:
+            out.append((inside[0], inside[-1] + 1))
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",),
-            window: int = 3, surge: int = 86, dive: int = 20) -> DataFrame:
+            window: int = 3, surge: int = 86, dive: int = 20, reach: int = 6) -> DataFrame:
     """Per page: id, the ``keep`` columns, text, n_chars (code points of the text)."""
     src = pages.select(id_col, *keep, F.col(html_col).cast("string").alias("__html"))
     schema = T.StructType([*src.schema.fields[:-1], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
@@ -167,7 +268,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", k
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
                 b = whole.slice(i, 512)
-                texts = [main_text(h.as_py(), window, surge, dive) for h in b.column(b.num_columns - 1)]
+                texts = [main_text(h.as_py(), window, surge, dive, reach) for h in b.column(b.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([
                     *b.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
 
