@@ -6,9 +6,8 @@ chunk. A text's features are each filter's maximum over all chunks and its mean
 the chunks' maxima; a logistic unit combines them into one probability.
 
 Training uses a bounded sample of labelled rows: ``sample_per_class`` rows per label
-(the least by a hash of the id) and up to ``sample_chunks`` chunks of each, spread
-evenly over the whole text. The sample is cut to size on the executors; the weights
-(some thousand numbers) go back as a broadcast. Scoring reads every byte of every
+(the least by a hash of the id), each with its whole text. The rows are picked on
+the executors; the weights (some thousand numbers) go back as a broadcast. Scoring reads every byte of every
 text, row by row, without a shuffle.
 
 Defined results: a null or empty text is one chunk of zero bytes; with no labelled
@@ -108,31 +107,35 @@ class ByteCnn:
         flush()
         return out
 
-    def step(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean logistic loss over texts (their chunks stacked in x)."""
-        p = self.patches(x)
-        a = (p @ self.filters).reshape(len(x), PLACES, -1)
-        place = a.argmax(axis=1)
-        m = np.maximum(np.take_along_axis(a, place[:, None, :], 1)[:, 0] + self.bias, 0)
+    def step(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, part: int = 2048) -> dict[str, np.ndarray]:
+        """Gradients of the mean logistic loss over texts (their chunks stacked in x);
+        patches of ``part`` chunks at a time, so long texts need no more memory."""
+        k, n = len(self.bias), len(x)
+        place, m = np.empty((n, k), np.int16), np.empty((n, k), np.float32)
+        for i in range(0, n, part):
+            a = (self.patches(x[i:i + part]) @ self.filters).reshape(-1, PLACES, k)
+            at = a.argmax(axis=1)
+            place[i:i + part], m[i:i + part] = at, np.take_along_axis(a, at[:, None, :], 1)[:, 0]
+        m = np.maximum(m + self.bias, 0)
         starts = np.cumsum(sizes) - sizes
         f = self.features(m, starts, sizes)
         d = (1 / (1 + np.exp(-(f @ self.out + self.shift[0]))) - y) / len(y)
         g = {"out": f.T @ d, "shift": np.array([d.sum()], np.float32)}
-        k, doc = m.shape[1], np.repeat(np.arange(len(y)), sizes)
+        doc = np.repeat(np.arange(len(y)), sizes)
         df = d[:, None] * self.out[None, :]
         dm = df[doc, k:] / sizes[doc, None]
         first = m == f[doc, :k]  # chunks that hold the text's maximum share its gradient
         share = np.add.reduceat(first.astype(np.float32), starts)
         dm = (dm + first * (df[:, :k] / np.maximum(share, 1))[doc]) * (m > 0)
         g["bias"] = dm.sum(axis=0)
-        rows = (np.arange(len(x))[:, None] * PLACES + place)  # patch of each maximum
-        picked = p[rows]  # chunks, filters, patch
-        g["filters"] = np.einsum("cfk,cf->kf", picked, dm, optimize=True)
-        dp = dm[:, :, None] * self.filters.T[None]
-        width = self.embed.shape[1]
-        at = x[np.arange(len(x))[:, None, None], place[:, :, None] * STRIDE + np.arange(WIDTH)[None, None, :]]
-        g["embed"] = np.zeros_like(self.embed)
-        np.add.at(g["embed"], at.reshape(-1), dp.reshape(-1, width))
+        g["filters"], g["embed"] = np.zeros_like(self.filters), np.zeros_like(self.embed)
+        for i in range(0, n, part):
+            xs, at, dms = x[i:i + part], place[i:i + part].astype(np.int64), dm[i:i + part]
+            picked = self.patches(xs)[np.arange(len(xs))[:, None] * PLACES + at]  # chunks, filters, patch of the maximum
+            g["filters"] += np.einsum("cfk,cf->kf", picked, dms, optimize=True)
+            dp = dms[:, :, None] * self.filters.T[None]
+            letters = xs[np.arange(len(xs))[:, None, None], at[:, :, None] * STRIDE + np.arange(WIDTH)[None, None, :]]
+            np.add.at(g["embed"], letters.reshape(-1), dp.reshape(-1, self.embed.shape[1]))
         return g
 
     def fit(self, x: list[np.ndarray], y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 11) -> None:
@@ -154,8 +157,8 @@ class ByteCnn:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fold: Column,
-                    sample_per_class: int, sample_chunks: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks and labels of the bounded sample, in order of the ids' hashes."""
+                    sample_per_class: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """All chunks and the labels of the bounded sample's texts, in order of the ids' hashes."""
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).filter("__id IS NOT NULL AND __y IN (0, 1)")
     known = known.groupBy("__id").agg(F.min("__y").alias("__y")).filter(fold).withColumn("__h", F.xxhash64("__id"))
     picked = None
@@ -167,12 +170,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for h, y, t in zip(pdf["__h"], pdf["__y"], pdf["__text"]):
-                c = chunks_of(t)
-                if len(c) > sample_chunks:
-                    c = c[np.linspace(0, len(c) - 1, sample_chunks).astype(int)]
-                rows.append((h, y, np.ascontiguousarray(c).tobytes()))
+            rows = [(h, y, np.ascontiguousarray(chunks_of(t)).tobytes()) for h, y, t in zip(pdf["__h"], pdf["__y"], pdf["__text"])]
             yield pd.DataFrame(rows, columns=["h", "y", "x"])
 
     rows = texts.select("__h", "__y", "__text").mapInPandas(cut, "h long, y int, x binary").collect()
@@ -181,10 +179,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "quality", sample_per_class: int = 1000, sample_chunks: int = 6, epochs: int = 8) -> ByteCnn | None:
+                   label_col: str = "quality", sample_per_class: int = 1000, epochs: int = 8) -> ByteCnn | None:
     """A network learned from the labelled rows of the fold (a condition on ``__id``);
     None where a class has no row."""
-    x, y = training_sample(docs, labels, id_col, text_col, label_col, fold, sample_per_class, sample_chunks)
+    x, y = training_sample(docs, labels, id_col, text_col, label_col, fold, sample_per_class)
     if len(set(y.tolist())) < 2:
         return None
     net = ByteCnn()
