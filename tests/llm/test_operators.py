@@ -238,6 +238,15 @@ def test_keep_first_keeps_one_of_each_group(table):
     assert all(groups[i] == i for i in kept)
 
 
+def test_keep_first_judges_texts_that_share_an_id_by_themselves(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(30))
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (7, text("c")), (7, text("c")), (9, text("b")), (None, text("a")), (3, ""), (3, ""), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("clash"))
+    got = sorted(((r.doc_id, r.text) for r in jaccard_join.keep_first(df).collect()), key=repr)
+    assert got == sorted([(1, text("a")), (5, text("b")), (7, text("c")), (None, text("a")), (3, ""), (4, None)], key=repr)
+    assert jaccard_join.keep_first(df.limit(0)).count() == 0
+
+
 def test_decontamination_against_brute_force(spark, table):
     r = random.Random(9)
     vocab = [f"v{i}" for i in range(12)]
@@ -447,6 +456,79 @@ def test_long_texts_pass_in_parts():
     assert net.probabilities([text], part=8)[0] == pytest.approx(net.probabilities([text], part=4096)[0], rel=1e-4)
 
 
+def test_html_wrappers_named_after_their_parts_keep_the_article():
+    body = "<p>" + "some longer text of the article. " * 8 + "</p>"
+    text = ("some longer text of the article. " * 8).strip()
+    for page in ("<div class='layout with-sidebar'><article>%s</article></div>", "<main><div class='post has-comments'>%s</div></main>",
+                 "<div class='no-sidebar'><article>%s</article><div class='sidebar-left'><p>menu of many links</p></div></div>",
+                 "<div class='sidebar'><article>%s</article></div>", "<div id='content-sidebar-wrap'><main>%s</main></div>",
+                 "<article>%s<div class='reader-comments'><p>a comment that is long enough</p></div></article>"):
+        assert html_lines.main_text(page % body) == text, page
+
+
+def test_html_distribution_decides_on_every_page(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html").collect()]
+    with_it = [html_lines.main_text(p) for p in pages]
+    assert all(with_it)
+    monkeypatch.setattr(html_lines, "surges", lambda *a: [])
+    changed = sum(html_lines.main_text(p) != t for p, t in zip(pages, with_it))
+    assert changed > 0  # on the others the densest window and its reach stand in for the surges
+    monkeypatch.setattr(html_lines, "stretches", lambda *a: [])
+    assert all(html_lines.main_text(p) != t for p, t in zip(pages, with_it))
+
+
+def test_html_ends_move_by_a_bounded_number_of_lines():
+    one, short = "<p>" + "text " * 40 + "</p>", "<p>a</p>"
+    got = html_lines.main_text(f"<article>{short * 20}{one}{short * 20}</article>", reach=6).split("\n\n")
+    assert got.count("a") <= 6 + 2 + 6 and ("text " * 40).strip() in got
+    table = "<p>nine char</p>" * 40  # windows above the dive belong to the rise
+    assert html_lines.main_text(f"<article>{table}{one}</article>").count("nine char") == 40
+
+
+@pytest.mark.parametrize("bad", ["<script", "<a ", "<div>", "<a '", "<a \"x'>", "<!", "<", "<a href='>", "</", "<script>", "<p class=\"", "<!--", "<b></p>"])
+def test_html_hostile_markup_takes_linear_time(bad):
+    import time
+    def seconds(n):
+        t = time.process_time()
+        html_lines.main_text("<p>start</p>" + bad * n)
+        return time.process_time() - t
+    small, large = seconds(10_000), seconds(80_000)
+    assert large < 4 and large < 40 * max(small, 0.01)
+
+
+def test_gradients_equal_finite_differences():
+    import numpy as np
+    net = byte_cnn.ByteCnn(width=3, filters=4, seed=2)
+    for n in net.NAMES:
+        setattr(net, n, getattr(net, n).astype(np.float64))
+    r = random.Random(8)
+    texts = ["".join(r.choices("abcd ", k=k)) for k in (40, 900, 300, 0)]
+    x, y = [byte_cnn.chunks_of(t) for t in texts], np.array([0.0, 1.0, 1.0, 0.0])
+    sizes, stacked = np.array([len(c) for c in x]), np.concatenate(x)
+
+    def loss():
+        a = (net.patches(stacked) @ net.filters).reshape(len(stacked), byte_cnn.PLACES, -1).max(axis=1)
+        m, at, total = np.maximum(a + net.bias, 0), 0, 0.0
+        for n, t in zip(sizes, y):
+            z = np.concatenate([m[at:at + n].max(axis=0), m[at:at + n].mean(axis=0)]) @ net.out + net.shift[0]
+            total += np.logaddexp(0, z) - t * z
+            at += n
+        return total / len(y)
+
+    whole, parts = net.step(stacked, sizes, y), net.step(stacked, sizes, y, part=2)
+    for n in net.NAMES:
+        assert np.allclose(whole[n], parts[n], rtol=1e-4, atol=1e-6)
+        v = getattr(net, n).reshape(-1)
+        for i in ([0] if n == "shift" else r.sample(range(len(v)), min(6, len(v))) if n != "embed" else [97 * 3, 98 * 3 + 1, 32 * 3 + 2]):
+            old, eps = v[i], 1e-5
+            v[i] = old + eps
+            up = loss()
+            v[i] = old - eps
+            down = loss()
+            v[i] = old
+            assert whole[n].reshape(-1)[i] == pytest.approx((up - down) / (2 * eps), rel=0.02, abs=2e-5), n
+
+
 @pytest.mark.parametrize("key", sorted(queries.REGISTRY))
 def test_contract_queries_run(spark, key):
     df = queries.REGISTRY[key](spark, SF_SMALL)

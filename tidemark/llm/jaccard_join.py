@@ -304,12 +304,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The table with one document of each group, the one with the least id; of repeated
-    rows of an id one stays. Documents without words, and rows without an id, stay."""
-    groups = near_duplicates(docs, id_col, text_col, **params)
-    # Sets are joined by id; rows that share an id share the least verdict.
-    keep = groups.groupBy(F.col(id_col).alias("__keep_id")).agg(F.min("component_id").alias("__c"), F.max("n_shingles").alias("__n"))
-    keep = keep.filter("__keep_id = __c OR __n = 0").select("__keep_id")
+    """The table with one document of each group, the one with the least id; of equal
+    rows of an id and text one stays. Documents without words, and rows without an
+    id, stay. Texts that share an id are documents of their own: each stays or goes by
+    its own group."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    first = docs.join(keep, docs[id_col] == keep["__keep_id"], "left_semi").select(*cols).dropDuplicates([id_col])
-    return first.unionByName(docs.filter(F.col(id_col).isNull()))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.length(text).cast("string"), text))
+    named = docs.filter(F.col(id_col).isNotNull()).withColumn("__key", key)
+    groups = near_duplicates(named.select(F.col("__key"), F.col(text_col).alias("__t")), "__key", "__t", **params).distinct()
+    rows = named.select("__key", F.col(id_col).alias("__id")).distinct().join(groups, "__key")
+    first = rows.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("__id", "__key"))["__key"].alias("__key")).select("__key")
+    keep = first.unionByName(rows.filter("n_shingles = 0").select("__key"))
+    kept = named.join(keep, "__key", "left_semi").dropDuplicates(["__key"]).select(*cols)
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
