@@ -164,8 +164,12 @@ def test_cached_rollups_and_csv(spark, tmp_path):
     from tidemark.sources.tables import read_csv
     v = Views(spark, SF_SMALL)
     users, devs, release = user_device_rollups(v.v_events, v.v_devices)
-    assert users.count() == v.v_events.where("user_id is not null").select("user_id").distinct().count()
-    assert devs.count() > 0
+    pairs = v.v_events.where("user_id is not null").select("user_id", "device_id").distinct()
+    assert users.count() == pairs.count()
+    assert devs.count() == pairs.join(v.v_devices, "device_id").count() > 0
+    per = {r.user_id: (r.num_devices, r.total_hits) for r in users.collect()}
+    for r in users.groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_counts").alias("m")).collect():
+        assert per[r.user_id] == (r.n, r.m)
     release()
     p = tmp_path / "maps.csv"
     p.write_text("mapid,name,description\nm1,Alpha,first\nm2,Beta,\n")
@@ -296,3 +300,22 @@ def test_actor_step_onto_history_equals_history(spark):
     for year in (1999, 2000, 2001):
         scd = dims.scd2_incremental(scd, snaps.where(F.col("current_year") == year), year, **by).checkpoint()
         assertDataFrameEqual(scd, dims.scd2_backfill(snaps.where(F.col("current_year") <= year), **by))
+
+
+def test_geo_json_udf_quotes_and_nulls(spark):
+    import json
+    from tidemark.functions.udfs import register_udfs
+    register_udfs(spark)
+    rows = [(1, "a", "s", "c"), (2, None, "s", "c"), (3, 'q"\\x', None, "\u00e9"), (4, "a", "s", None)]
+    spark.createDataFrame(rows, "id int, country string, state string, city string").createOrReplaceTempView("geo_rows")
+    got = {r.id: r.g for r in spark.sql("SELECT id, geo_json(country, state, city) AS g FROM geo_rows").collect()}
+    assert got == {i: json.dumps({"country": c, "state": s, "city": t}, separators=(",", ":")) if c is not None else "{}" for i, c, s, t in rows}
+    assert spark.sql("SELECT geo_json(country, state, city) AS g FROM geo_rows WHERE id > 9").count() == 0
+
+
+def test_season_slots_and_compaction(spark):
+    df = spark.createDataFrame([("a", 2001, 1, 1.0, 1.0, 1.0), ("a", 2004, 2, 2.0, 2.0, 2.0), ("b", 2004, 3, 3.0, 3.0, 3.0)],
+                               "player_name string, season int, gp long, pts double, ast double, reb double")
+    out = {r.player_name: r for r in dims.season_slots(df, 2005).select("*", F.array_compact("slots").alias("c")).collect()}
+    assert [s and s.gp for s in out["a"].slots] == [1, None, None, 2, None] and [s.season for s in out["a"].c] == [2001, 2004]
+    assert [s and s.gp for s in out["b"].slots] == [3, None] and len(out["b"].c) == 1

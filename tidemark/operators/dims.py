@@ -90,6 +90,16 @@ def cumulate_dim(prev: DataFrame, cur: DataFrame, period_value: int, key: str =
         F.lit(period_value).cast("int").alias(current_col))
 
 
+def season_slots(src: DataFrame, last_period: int, key: str = "player_name", period: str = "season",
+                 stats: Sequence[str] = ("gp", "pts", "ast", "reb"), out: str = "slots") -> DataFrame:
+    """Per key an array with one slot per period from the key's first to ``last_period``:
+    the period's struct, or null where the key has no row (of several the least
+    counts). ``array_compact`` turns it into the history without gaps."""
+    per_entity = src.groupBy(key).agg(F.array_sort(F.collect_list(_stats_struct(period, stats))).alias("__hist"))
+    at = F.sequence(F.col("__hist")[0]["season"], F.lit(last_period).cast("int"))
+    return per_entity.select(key, F.transform(at, lambda p: F.get(F.filter("__hist", lambda s: s["season"] == p), F.lit(0))).alias(out))
+
+
 def scd2_backfill(snapshots: DataFrame, key: Sequence[str] = ("player_name",),
                   period: str = "current_season", attrs: Sequence[str] = ("scoring_class",),
                   start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:

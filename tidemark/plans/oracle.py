@@ -501,13 +501,14 @@ SELECT player_name, MIN(season) AS first_season, MAX(season) AS last_season, COU
        MAX(weight) AS weight, MAX(country) AS country, MAX(college) AS college
 FROM v_player_seasons GROUP BY player_name""")
 
-_EVENTS_AGG = ("events_aggregated", """SELECT user_id, device_id, COUNT(1) AS event_counts
+_EVENTS_AGG = ("events_aggregated", """SELECT user_id, device_id, COUNT(1) AS event_counts,
+    array_to_string(list_sort(list(DISTINCT host)), ',') AS hosts
     FROM v_events WHERE user_id IS NOT NULL GROUP BY 1, 2""")
 
 ORACLE["user_device_rollup"] = with_views(["v_events"], """
-SELECT user_id, MAX(event_counts) AS total_hits, COUNT(1) AS num_devices,
-       array_to_string(list_sort(list(CAST(device_id AS VARCHAR))), ',') AS devices
-FROM events_aggregated GROUP BY user_id""", [_EVENTS_AGG])
+SELECT user_id, device_id, event_counts, hosts, MAX(event_counts) OVER (PARTITION BY user_id) AS total_hits,
+       COUNT(1) OVER (PARTITION BY user_id) AS num_devices
+FROM events_aggregated""", [_EVENTS_AGG])
 
 ORACLE["device_user_rollup"] = with_views(["v_events", "v_devices"], """
 SELECT d.device_id, d.device_type, a.user_id, a.event_counts,
@@ -786,3 +787,16 @@ GROUP BY 1, 2""", [_OUTCOMES, _UNITS,
         FROM units, range(1, 51) t(r)"""),
     ("weighted", "SELECT d.*, (SELECT count(*) FROM cuts WHERE d.h >= cut) AS w FROM drawn d"),
     ("means", "SELECT experiment, variant, r, sum(w * metric) / sum(w) AS m FROM weighted WHERE w > 0 GROUP BY 1, 2, 3")])
+
+ORACLE["csv_scan"] = with_views(["v_devices"], """
+SELECT device_id, browser_type, os_type, device_type, device_type || ', "as is"' AS note FROM v_devices""")
+
+ORACLE["insert_by_name"] = with_views(["v_events"], """
+SELECT user_id, CAST(event_time AS DATE) AS date, COUNT(1) AS num_site_hits FROM v_events WHERE user_id IS NOT NULL GROUP BY 1, 2""")
+
+ORACLE["stream_to_topic_values"] = with_views(["v_web_events"], "SELECT event_id, ip, event_time, referrer, host, url FROM v_web_events")
+
+ORACLE["history_compacted"] = with_views(["v_player_seasons"], """
+SELECT player_name, CAST((SELECT MAX(season) FROM v_player_seasons) - MIN(season) + 1 AS INTEGER) AS num_slots, CAST(COUNT(*) AS INTEGER) AS num_seasons,
+       string_agg(CAST(season AS VARCHAR), ',' ORDER BY season) AS season_list, arg_min(pts, season) AS first_pts
+FROM v_player_seasons GROUP BY player_name""")

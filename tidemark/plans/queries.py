@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import dims
+from ..operators import dims, rollups
 from ..sources import layout as L
 from ..sources import writers as W
 from ..sources.fixtures import Views
@@ -675,18 +675,14 @@ def q_entity_static(spark, sf):
 
 
 def events_aggregated(v: Views) -> DataFrame:
-    e = v.v_events.where(F.col("user_id").isNotNull())
-    return e.groupBy("user_id", "device_id").agg(
-        F.count(F.lit(1)).alias("event_counts"),
-        F.array_sort(F.collect_set("host")).alias("host_array"))
+    return rollups.events_by_user_device(v.v_events)
 
 
 @query("user_device_rollup")
 def q_user_device_rollup(spark, sf):
-    agg = events_aggregated(Views(spark, sf))
-    return agg.groupBy("user_id").agg(
-        F.max("event_counts").alias("total_hits"), F.count(F.lit(1)).alias("num_devices"),
-        F.array_join(F.array_sort(F.collect_list(F.col("device_id").cast("string"))), ",").alias("devices"))
+    """Devices per user in long form, with the user's totals."""
+    out = rollups.with_user_totals(events_aggregated(Views(spark, sf)))
+    return out.select("user_id", "device_id", "event_counts", F.array_join("host_array", ",").alias("hosts"), "total_hits", "num_devices")
 
 
 @query("device_user_rollup")
@@ -734,6 +730,19 @@ def q_quality_class(spark, sf):
     return dims.latest_films_class(f, "actorid", "year", "rating", quality_class)
 
 
+@query("history_compacted")
+def q_history_compacted(spark, sf):
+    """Per player one array over all seasons, null where the player did not play, and
+    the same with the nulls removed."""
+    v = Views(spark, sf)
+    last = v.t.orders.agg(F.max(F.year("o_orderdate"))).first()[0]  # a lambda takes no sub-query
+    h = dims.season_slots(v.v_player_seasons, last)
+    return h.select("player_name", F.size("slots").cast("int").alias("num_slots"),
+                    F.size(F.array_compact("slots")).cast("int").alias("num_seasons"),
+                    F.array_join(F.transform(F.array_compact("slots"), lambda s: s["season"].cast("string")), ",").alias("season_list"),
+                    F.element_at(F.array_compact("slots"), 1)["pts"].alias("first_pts"))
+
+
 @query("first_last_ratio")
 def q_first_last_ratio(spark, sf):
     from ..functions.exprs import first_elem, guarded_ratio, last_elem
@@ -997,7 +1006,7 @@ def q_kpi_engagement(spark, sf):
 
 # ---- 2.1 sources and sinks ----------------------------------------------------------------
 
-from ..sources.tables import enforce_schema  # noqa: E402
+from ..sources.tables import enforce_schema, read_csv  # noqa: E402
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType(), False),
@@ -1017,6 +1026,41 @@ def q_enforce_schema(spark, sf):
     return enforce_schema(as_text, EVENT_SCHEMA)
 
 
+@query("csv_scan")
+def q_csv_scan(spark, sf):
+    """The device catalogue written as CSV and read back with its schema (null fields
+    stay null, text with commas and quotes is text)."""
+    d = Views(spark, sf).v_devices.withColumn("note", F.concat(F.col("device_type"), F.lit(', "as is"')))
+    path = scratch_path(spark, "devices-csv")
+    d.write.option("header", True).option("escape", '"').csv(path)
+    return read_csv(spark, path, d.schema, escape='"')
+
+
+@query("insert_by_name")
+def q_insert_by_name(spark, sf):
+    """Two inserts whose columns come in another order than the table's."""
+    daily = facts.daily_counts(Views(spark, sf).v_events)
+    path = scratch_path(spark, "daily-table")
+    name = f"daily_{path.rsplit('-', 1)[-1]}"
+    first = F.col("date") < F.lit(LAYOUT_DAYS[0]).cast("date")
+    daily.where(first).write.option("path", path).saveAsTable(name)
+    W.insert_by_name(spark, daily.where(~first).select("num_site_hits", "date", "user_id"), name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.schema(daily.schema).parquet(path)
+
+
+@query("stream_to_topic_values")
+def q_stream_to_topic_values(spark, sf):
+    """The JSON values that the topic sink sends, here to files, parsed back."""
+    v = Views(spark, sf)
+    base = scratch_path(spark, "topic")
+    v.v_web_events.write.parquet(f"{base}/in")
+    values = S.topic_values(S.read_stream(spark, "parquet", S.WEB_EVENT_SCHEMA, f"{base}/in"))
+    S.run_available_now(values, f"{base}/ck", "append", S.foreach_batch_changelog(f"{base}/out"))
+    sent = spark.read.parquet(f"{base}/out").select(F.from_json("value", S.WEB_EVENT_SCHEMA).alias("e"))
+    return sent.select("e.*")
+
+
 @query("merge_upsert")
 def q_merge_upsert(spark, sf):
     v = Views(spark, sf)

@@ -28,10 +28,11 @@ def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFr
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             header: bool = True) -> DataFrame:
+             header: bool = True, **options: str) -> DataFrame:
     """Header CSV. With a schema nothing is inferred (no extra pass over the data);
-    without one every column is read as text, as a header-only read does."""
-    r = spark.read.option("header", header)
+    without one every column is read as text, as a header-only read does.
+    ``options`` go to the reader (quote, escape, sep...)."""
+    r = spark.read.options(**options).option("header", header)
     if schema is not None:
         return r.schema(schema).option("mode", "PERMISSIVE").csv(path)
     return r.csv(path)

@@ -133,12 +133,16 @@ def run_available_now(df: DataFrame, checkpoint: str, output_mode: str,
         raise RuntimeError(str(h.exception()))
 
 
+def topic_values(df: DataFrame) -> DataFrame:
+    """Every row as one JSON ``value``, nulls included."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def kafka_sink(df: DataFrame, topic: str, checkpoint: str, options: dict | None = None):
     """Stream-to-topic sink: every row as a JSON ``value`` (broker options such
     as ``kafka.bootstrap.servers`` pass through). Returns the unstarted writer;
     needs the Kafka connector on the classpath."""
-    out = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
-    return (out.writeStream.format("kafka").option("topic", topic)
+    return (topic_values(df).writeStream.format("kafka").option("topic", topic)
             .option("checkpointLocation", checkpoint).options(**(options or {})))
 
 
