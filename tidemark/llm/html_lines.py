@@ -14,9 +14,7 @@ back while windows stay above the dive threshold, and both ends move on through
 of the same article, ``reach`` at most: short paragraphs at the ends come in, far parts
 of the mark without text do not. Without marks the stretch with the most text counts.
 
-Markup is read once from left to right, in time linear in the page: a tag ends at
-the first > outside quotes, a < that starts no tag is text, an unclosed script, style
-or comment ends with the page.
+Markup is read once from left to right, in time linear in the page (``markup``).
 
 Defined results: a null or blank page gives an empty text; markup that is cut off ends
 with the page; a page of which the class names hide everything is read without
@@ -35,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
-SPECIAL = re.compile(r"[>\"']")
+from .markup import closing, markup
+
 # Elements whose content is no markup; they end with their own closing tag.
-RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title")}
+RAW = closing("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title")
 # Elements that end a line of text.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary
@@ -67,70 +65,6 @@ def _is_chrome(tag: str, attrs: str, in_article: bool, hints: bool) -> bool:
     return hints and any(HINT.search(name) and not HOLDER.search(name) for _, v in ATTR.findall(attrs) for name in v.strip("\"'").split())
 
 
-def markup(page: str) -> Iterator[tuple[str, str, str]]:
-    """('text', text, ''), ('open', tag, attributes), ('close', tag, '') and ('gap', '', '')
-    for what is dropped, from left to right. No part is read twice: where the next
-    quote or > lies, and how a tag that meets it ends, is remembered."""
-    n, at, special, last_gt = len(page), 0, -1, page.rfind(">")
-    ends: dict[int, int] = {}  # quote or > outside quotes -> the > that ends the tag, -1: none
-
-    def tag_end(p: int) -> int:
-        nonlocal special
-        if special < p:
-            m = SPECIAL.search(page, p)
-            special = m.start() if m else n
-        q, chain, end = special, [], -1
-        while q < n:
-            if q in ends:
-                end = ends[q]
-                break
-            chain.append(q)
-            if page[q] == ">":
-                end = q
-                break
-            close = page.find(page[q], q + 1)
-            m = SPECIAL.search(page, close + 1) if close >= 0 else None
-            q = m.start() if m else n
-        for c in chain:
-            ends[c] = end
-        return end
-
-    while at < n:
-        lt = page.find("<", at)
-        if lt < 0:
-            yield "text", page[at:], ""
-            return
-        if lt > at:
-            yield "text", page[at:lt], ""
-        at = lt
-        if page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
-            mark = "-->" if page[at + 2] == "-" else "]]>"
-            end = page.find(mark, at)
-            at = end + 3 if end >= 0 else n
-            yield "gap", "", ""
-            continue
-        m = TAG.match(page, at)
-        if m:
-            tag, end = m[2].lower(), tag_end(m.end())
-            if end >= 0:
-                if m[1]:
-                    yield "close", tag, ""
-                elif tag in RAW:
-                    close = RAW[tag].search(page, end + 1)
-                    yield "gap", "", ""
-                    end = close.end() - 1 if close else n
-                else:
-                    yield "open", tag, page[m.end():end]
-                at = end + 1
-                continue
-        elif page[at + 1:at + 2] in ("!", "?", "/") and at + 1 < n and at < last_gt:
-            at = page.find(">", at) + 1
-            yield "gap", "", ""
-            continue
-        yield "text", "<", ""
-        at += 1
-
-
 def text_lines(page: str, hints: bool = True) -> list[tuple[str, int]]:
     """Lines of text with the number of the article element they stand in (0: none)."""
     lines: list[tuple[str, int]] = []
@@ -146,7 +80,7 @@ def text_lines(page: str, hints: bool = True) -> list[tuple[str, int]]:
             if text:
                 lines.append((text, article))
 
-    for kind, tag, attrs in markup(page):
+    for kind, tag, attrs in markup(page, RAW):
         if kind == "text":
             if not hidden:
                 buffer.append(tag)

@@ -27,7 +27,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = warc.derivatives(warc.responses(_table(spark, sf_dir, "pages")))
     return d.select(F.col("source_key").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri",
-                    "content_type", "content_length", "block_digest", "payload_digest")
+                    "content_type", "content_length", "block_digest", "payload_digest", "block")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
