@@ -23,6 +23,7 @@ Everything on rows is DataFrame expressions; nothing is shuffled but the counts.
 Defined results: a null or empty text has no findings. Spans are code points, end
 exclusive. Ties go by start, then kind in the order of ``KINDS``. Repeated rows
 give equal findings, and each counts in its stratum. An empty table finds nothing.
+Very long texts, and texts of very many findings, are scanned whole.
 """
 
 from __future__ import annotations
@@ -58,23 +59,49 @@ VETO = 3.3  # standard deviations
 LAST_BIN = 150
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _held(df: DataFrame, **cols: Column) -> DataFrame:
+    """The table with columns that are computed once a row: the optimizer does not move
+    an expression past a generator, so what follows never computes it per element."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+BLOCK = 256  # matches per block: appending copies a block or the list of blocks, not all matches
+
+
 def _matches(t: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as structs (start, end, token)."""
-    found = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    none = F.array().cast("array<struct<s:int,e:int,w:string>>")
 
-    def place(m: Column) -> Column:
-        gaps = F.split(t, pattern, -1)
+    def place(x: Column) -> Column:
+        m, gaps, n = x["m"], x["g"], F.size(x["m"])
+        at = lambda a, i: a["at"] + F.length(F.get(gaps, i))
         step = lambda a, i: F.struct(
-            (a["at"] + F.length(F.get(gaps, i)) + F.length(F.get(m, i))).alias("at"),
-            F.array_append(a["out"], F.struct(
-                (a["at"] + F.length(F.get(gaps, i))).alias("s"),
-                (a["at"] + F.length(F.get(gaps, i)) + F.length(F.get(m, i))).alias("e"), F.get(m, i).alias("w"))).alias("out"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,w:string>>").alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), start, step)["out"]
+            (at(a, i) + F.length(F.get(m, i))).alias("at"),
+            F.array_append(a["out"], F.struct(at(a, i).alias("s"), (at(a, i) + F.length(F.get(m, i))).alias("e"), F.get(m, i).alias("w"))).alias("out"))
+        block = lambda a, b: F.aggregate(F.sequence(b * BLOCK, F.least(n, (b + 1) * BLOCK) - 1), F.struct(a["at"].alias("at"), none.alias("out")), step)
+        join = lambda a, b: _bind(block(a, b), lambda r: F.struct(r["at"].alias("at"), F.array_append(a["out"], r["out"]).alias("out")))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<s:int,e:int,w:string>>>").alias("out"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), start, join)["out"])
+
+    found = F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("m"), F.split(t, pattern, -1).alias("g"))
+    return F.when(t.rlike(pattern), _bind(found, place)).otherwise(none)
 
-    none = F.array().cast("array<struct<s:int,e:int,w:string>>")
-    # The split runs only where there is a match.
-    return F.when(F.size(found) > 0, place(found)).otherwise(none)
+
+def _touched(spans: Column, x: Column) -> Column:
+    """Whether one of the disjoint, sorted ``spans`` overlaps x: a binary search for the
+    first that ends behind x's start."""
+    half = lambda a: F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+    step = lambda a, _: F.when(a["lo"] >= a["hi"], a).when(
+        F.get(spans, half(a))["e"] <= x["s"], F.struct((half(a) + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), half(a).alias("hi")))
+    n = F.size(spans)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2((n + 1).cast("double"))).cast("int"))
+    first = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step)["lo"]
+    return (n > 0) & F.coalesce(F.get(spans, first)["s"] < x["e"], F.lit(False))
 
 
 def _lower_tail(z: Column) -> Column:
@@ -93,11 +120,6 @@ def _pick(enc: Column, values: list) -> Column:
     return out
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def battery(token: Column) -> Column:
     """Struct (stratum, bin) of a token: its encoding and length class, and the bin of
     its p-value (tenths of -log10, rounded down)."""
@@ -149,17 +171,19 @@ def battery(token: Column) -> Column:
 
 def _scan(docs: DataFrame, text_col: str) -> DataFrame:
     """The table with ``__base`` (sorted base spans) and ``__opaque`` (candidates that
-    touch no base span, with stratum and bin)."""
+    touch no base span, with stratum and bin). Time linear in a text's spans but for
+    sorting them."""
     t = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumns({"__assign": _matches(t, ASSIGN), "__access": _matches(t, ACCESS), "__hex": _matches(t, HEX), "__run": _matches(t, OPAQUE)})
+    df = _held(docs, __all=_matches(t, ASSIGN), __access=_matches(t, ACCESS), __hex=_matches(t, HEX), __run=_matches(t, OPAQUE))
     # Group 2 is what follows the separator and an opening quote.
     value = lambda w: F.regexp_extract(w, ASSIGN, 2)
-    df = df.withColumn("__assign", F.filter("__assign", lambda x: F.length(value(x["w"])) >= ASSIGN_LEAST))
+    df = _held(df, __assign=F.filter("__all", lambda x: F.length(value(x["w"])) >= ASSIGN_LEAST))
     span = lambda k: lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"))
-    df = df.withColumn("__base", F.array_sort(F.concat(*[F.transform(f"__{n}", span(k)) for k, n in enumerate(KINDS[:3])])))
-    free = F.filter("__run", lambda x: ~F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    df = df.withColumn("__opaque", F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), battery(x["w"]).alias("t"))))
-    return df.drop("__assign", "__access", "__hex", "__run")
+    # Characters of hex strings and access keys are a run's characters: spans that touch a run lie in it.
+    free = F.filter("__run", lambda x: ~x["w"].rlike(HEX) & ~x["w"].rlike(ACCESS) & ~_touched(F.col("__assign"), x))
+    df = _held(df, __base=F.array_sort(F.concat(*[F.transform(f"__{n}", span(k)) for k, n in enumerate(KINDS[:3])])),
+               __opaque=F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), battery(x["w"]).alias("t"))))
+    return df.drop("__all", "__assign", "__access", "__hex", "__run")
 
 
 def discovery_bins(docs: DataFrame, text_col: str = "text", fdr: float = 0.05) -> dict[int, int]:
@@ -189,7 +213,7 @@ def with_findings(docs: DataFrame, text_col: str = "text", fdr: float = 0.05) ->
     else:
         hit = F.filter("__opaque", lambda x: F.lit(False))
     extra = F.transform(hit, lambda x: F.struct(x["s"].alias("s"), F.lit(3).alias("k"), x["e"].alias("e")))
-    return df.withColumn("__found", F.array_sort(F.concat("__base", extra))).drop("__opaque")
+    return _held(df, __found=F.array_sort(F.concat("__base", extra))).drop("__opaque")
 
 
 def spans_text(spans: Column) -> Column:
