@@ -22,9 +22,13 @@ def con():
     return c
 
 
+# Keys that no SQL over the given tables can state, and what holds them instead.
+DOCUMENTED = {"layout_report": "bytes and files of what the query itself writes: tests/test_layout.py, against the files' metadata"}
+
+
 def test_every_query_has_oracle_or_is_documented():
     rows_only = {k for k in set(QUERIES) - set(ORACLE) if not k.startswith("op") and k != "pipeline"}
-    assert not rows_only, rows_only
+    assert rows_only == set(DOCUMENTED), rows_only
 
 
 @pytest.mark.parametrize("key", sorted(k for k in QUERIES if k in ORACLE and not k.startswith("op") and k != "pipeline"))
