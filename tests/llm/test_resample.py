@@ -87,3 +87,17 @@ def test_drawn_documents_resemble_the_target(spark):
     got = resample.resample(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "text string")).where("rank is not null")
     ids = [x.doc_id for x in got.collect()]
     assert len(ids) == 100 and sum(i % 10 == 0 for i in ids) >= 95
+
+
+def test_contract_query_equals_its_sql(spark):
+    import duckdb
+
+    from tests.conftest import SF_SMALL
+    from tidemark.llm import queries
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    cols = ["doc_id", "n_features", "weight", "score", "rank"]
+    want = sorted(con.sql(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE['op13_target_resampling']})").fetchall())
+    got = sorted(tuple(r) for r in queries.op13_target_resampling(spark, SF_SMALL).select(*cols).collect())
+    assert got == want and sum(r[4] is not None for r in got) > 0
