@@ -2,6 +2,7 @@
 empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -185,6 +186,33 @@ def test_lm_scores_against_brute_force(table):
     assert sorted(have, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_automaton_equals_brute_force_at_any_order(spark, order):
+    """Probabilities by recursion over the counts of all n-grams; failure arcs over several levels."""
+    r = random.Random(order)
+    rows = [(i, " ".join(r.choices(["a", "b", "c", "dd", "é"], weights=[5, 3, 2, 1, 1], k=r.randint(0, 25)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "a b " * 3000), (103, "unseen a unseen b a b a"), (5, rows[5][1]), (None, "a b c")]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    mass, count, seqs = 50.0, Counter(), [(i, [*words(lower(t)), "</s>"]) for i, t in rows]
+    for i, s in seqs:
+        if not held(i):
+            count.update(tuple(s[k:k + n]) for n in range(1, order + 1) for k in range(len(s) - n + 1))
+    n, v = sum(c for g, c in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+
+    def p(w, h):
+        if not h:
+            return (count[w,] + 1) / (n + v + 1)
+        lower_order = p(w, h[1:])
+        return (count[(*h, w)] + mass * lower_order) / (count[h] + mass) if count[h] else lower_order
+
+    want = sorted(((i, round(sum(math.log10(p(w, tuple(s[max(0, k - order + 1):k]))) for k, w in enumerate(s)), 5)) for i, s in seqs), key=repr)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
+    got = lm_score.score_texts(df, out, order=order, mass=mass, chunk_bytes=8_000)
+    assert sorted(((x.doc_id, round(x.score, 5)) for x in got.collect()), key=repr) == want
+    assert lm_score.score_texts(df.limit(0), out, order=order).count() == 0
+
+
 def test_lm_probabilities_of_a_history_sum_to_one(spark):
     """Higher orders too: over all words that can follow, p adds up to less than one."""
     df = spark.createDataFrame([(1, "a b a c a b"), (2, "b a")], "doc_id long, text string")

@@ -9,10 +9,10 @@ training counts, N tokens, V distinct tokens and h' the history h without its fi
 
 As an automaton: a seen history is a state; a seen n-gram h w is an arc of weight
 log p(w | h); the failure arc of h leads to h' and weighs log(mass / (c(h) + mass)).
-The weight of a token is that of its arc, with the failure arcs before it. No state is
-carried from token to token: an equivalent lookup takes the counts of all tokens'
-histories and n-grams order by order, as arrays, and adds the failure weights where an
-arc is missing. An unknown word has no arc above the root. The end of the text is a token.
+The arc leads to the longest suffix of h w that is a state. A text starts at the root; one
+traversal from left to right carries the state, follows failure arcs while the state has no
+arc for the token, and adds up weights. An unknown word has an arc at the root alone. The
+end of the text is a token.
 
 The whole model never meets in one place. Documents are dealt into chunks. A chunk
 sends its distinct n-grams with their training counts, packed and sorted, to buckets
@@ -22,7 +22,8 @@ Nothing is pruned: counts cover all training texts, and the model grows with the
 Words are compared as they are; n-grams of two words or more by 64-bit hashes.
 
 Defined results: a null or empty text is the end token alone; repeated rows count
-each; if there is no training text, N = V = 0 and every token has p = 1.
+each; if there is no training text, N = V = 0 and every token has p = 1; very long texts
+are walked whole, in slices that carry the state on. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -142,45 +143,84 @@ def totals(src: DataFrame, order: int, buckets: int) -> DataFrame:
 
 
 class Automaton:
-    """The part of the model that a chunk's texts can reach."""
+    """The part of the model that a chunk's texts can reach.
+
+    States: 0 is the root; then the histories of 1 to order - 1 words with a training
+    count, by length. ``depth``, ``fail_to`` and ``fail_weight`` are per state. Arcs: one
+    per seen n-gram h w, out of the state h; ``arc[k]`` and ``target[k]`` hold weight (nan:
+    no arc) and target of the n-grams of k + 1 words. The target is the longest suffix
+    of h w that is a state. The root has an arc for every word."""
 
     def __init__(self, grams: ChunkGrams, answers: pd.DataFrame, order: int, bits: int, n_tokens: int, n_types: int, mass: float):
-        self.grams, self.mass = grams, mass
-        self.counts: list[np.ndarray] = []  # per order: totals of the chunk's n-grams
+        self.grams = g = grams
+        counts: list[np.ndarray] = []  # per order: totals of the chunk's n-grams
         by = {(lv, b): t for lv, b, t in zip(answers["level"], answers["bucket"], answers["totals"])}
         for level in range(1, order + 1):
-            part = _parts(grams.hash if level == 1 else grams.keys[level - 2], bits)
+            part = _parts(g.hash if level == 1 else g.keys[level - 2], bits)
             c = np.zeros(len(part), dtype=np.int64)
             for b in np.unique(part):
                 c[part == b] = _unpack(by[level, int(b)])
-            self.counts.append(c)
-        c = self.counts[0]
-        self.unigram = (c + 1) / (n_tokens + n_types + 1)
-        self.base = np.log10((c + 1) / (n_tokens + n_types + 1))
-
-    def weights(self) -> np.ndarray:
-        """Log10 weight of the path that each token takes from the state before it.
-
-        The state before a token is its longest seen history. Orders are added from
-        short to long: where the longer history is a state and has the arc, its
-        weight replaces what stands; where it lacks the arc, its failure arc is added."""
-        g, p = self.grams, self.unigram[self.grams.token]
-        weight = np.log10(p)
-        for k in range(2, len(self.counts) + 1):
-            at = g.at[k - 2]
-            has = np.flatnonzero(at >= 0)
-            if not len(has):
-                break
-            history = self.counts[0][g.token[has - 1]] if k == 2 else self.counts[k - 2][g.at[k - 3][has - 1]]
-            seen = self.counts[k - 1][at[has]]
-            state = history > 0
-            has, history, seen = has[state], history[state], seen[state]
-            arc = seen > 0
-            fail = np.log10(self.mass / (history + self.mass))
-            p_new = (seen + self.mass * p[has]) / (history + self.mass)
-            weight[has] = np.where(arc, np.log10(p_new), weight[has] + fail)
-            p[has] = p_new
-        return weight
+            counts.append(c)
+        self.known = counts[0] > 0
+        p = (counts[0] + 1) / (n_tokens + n_types + 1)
+        self.base = np.log10(p)
+        self.at = [g.token.astype(np.int64), *g.at]  # each token's n-gram per length
+        root = np.zeros(1)
+        fail_to, fail_weight, depth = [root.astype(np.int64)], [root], [root.astype(np.int8)]
+        self.arc, self.target = [self.base], []
+        states, number = 1, None
+        for k in range(order):  # n-grams of k + 1 words
+            c = counts[k]
+            if k:
+                at = self.at[k]
+                has = np.flatnonzero(at >= 0)
+                suffix, history = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
+                suffix[at[has]], history[at[has]] = self.at[k - 1][has], self.at[k - 1][has - 1]
+                ch = counts[k - 1][history]
+                lower = p[suffix]
+                p = np.where(ch > 0, (c + mass * lower) / (ch + mass), lower)
+                self.arc.append(np.where((c > 0) & (ch > 0), np.log10(p), np.nan))
+                below = self.target[k - 1][suffix]
+            else:
+                below = np.zeros(len(c), np.int64)
+            if k < order - 1:
+                seen = c > 0
+                number = np.where(seen, states + np.cumsum(seen) - 1, below)
+                fail_to.append(below[seen])
+                fail_weight.append(np.log10(mass / (c[seen] + mass)))
+                depth.append(np.full(int(seen.sum()), k + 1, np.int8))
+                states += int(seen.sum())
+                self.target.append(number)
+            else:
+                self.target.append(below)
+        self.fail_to, self.fail_weight, self.depth = np.concatenate(fail_to), np.concatenate(fail_weight), np.concatenate(depth)
+
+    def scores(self, slice_tokens: int = 1 << 16) -> np.ndarray:
+        """Log10 probability per text: one traversal from left to right carries the state,
+        follows failure arcs until the state has an arc for the token, and takes it."""
+        depth, fail_to, fail_weight = memoryview(self.depth), memoryview(self.fail_to), memoryview(self.fail_weight)
+        out, start = np.empty(len(self.grams.sizes)), 0
+        for t, size in enumerate(self.grams.sizes.tolist()):
+            state, total = 0, 0.0
+            for lo in range(start, start + size, slice_tokens):
+                own = slice(lo, min(lo + slice_tokens, start + size))
+                # per token: weight and target of its arc out of each state it can meet
+                at = [a[own] for a in self.at]
+                arcs = zip(*[np.where(a >= 0, arc[a], np.nan).tolist() for a, arc in zip(at, self.arc)])
+                targets = zip(*[to[a].tolist() for a, to in zip(at, self.target)])
+                for arc, target in zip(arcs, targets):
+                    d = depth[state]
+                    weight = arc[d]
+                    while weight != weight:  # no arc: fail
+                        total += fail_weight[state]
+                        state = fail_to[state]
+                        d -= 1
+                        weight = arc[d]
+                    total += weight
+                    state = target[d]
+            out[t] = total
+            start += size
+        return out
 
 
 def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
@@ -209,8 +249,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         per = lambda x: np.add.reduceat(x, starts)
         return pd.DataFrame({
             id_col: pdf["__id"], "held_out": pdf["__held"].to_numpy(dtype=bool), "n_tokens": g.sizes,
-            "n_known": per((model.counts[0] > 0).astype(np.int64)[g.token]), "train_tokens": n_tokens,
-            "base_score": per(model.base[g.token]), "score": per(model.weights())})
+            "n_known": per(model.known.astype(np.int64)[g.token]), "train_tokens": n_tokens,
+            "base_score": per(model.base[g.token]), "score": model.scores()})
 
     return src.groupBy("__chunk").cogroup(answers.filter("__chunk >= 0").groupBy("__chunk")).applyInPandas(score, schema)
 
