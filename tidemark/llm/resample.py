@@ -7,7 +7,7 @@ sum of its features' gains; with Gumbel noise from the hash of its id added, the
 highest scores are a draw without replacement in proportion to exp(weight).
 
 Head-tail vocabulary: a first pass counts words (and pairs, where ``max_n`` > 1) of
-all documents. The ``head`` most frequent of each kind are broadcast: words with their
+all documents. The most frequent of each kind, ``head`` at most, are broadcast: words with their
 exact CRC state, which a run extends byte by byte, pairs with their bucket. Features
 unseen there take a direct CRC. Both give the same bucket, so the head decides speed
 alone and bucket totals are exact. What travels is bounded: ``head`` entries per kind
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scan import global_positions
-from .common import materialize
+from .common import bounded_head, materialize
 
 # Everything below U+0080 but digits and letters separates words; A-Z become a-z.
 FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -97,8 +97,8 @@ def _frequent(texts: DataFrame, kind: int, head: int) -> dict[bytes, int]:
         top = seen.most_common(head)
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.binary()), pa.array([c for _, c in top], pa.int64())], names=["f", "c"])
 
-    found = texts.mapInArrow(count, "f binary, c long").groupBy("f").agg(F.sum("c").alias("c"))
-    rows = found.orderBy(F.col("c").desc(), "f").limit(head).collect()
+    found = materialize(texts.mapInArrow(count, "f binary, c long").groupBy("f").agg(F.sum("c").alias("c")), "resample-frequent")
+    rows = bounded_head(found, "c", head)[0].collect()
     return {bytes(r["f"]): zlib.crc32(bytes(r["f"])) for r in rows}
 
 
