@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import graph, olap
 from tidemark.plans.explain import count_ops, plan_text
+from tidemark.sources.fixtures import Views
 
 FACTS = "game long, player long, name string, team string, pts long"
 
@@ -75,3 +76,38 @@ def test_distinct_counts_over_grouping_sets(spark):
     assert key(got) == key(want)
     assert count_ops(got, "Expand") == 1
     assert key(olap.grouping_sets_over_items(df.limit(0), SETS[:3], LABELS, "item", {"total": F.sum("v")}, "items", {"flagged": F.col("f")})) == []
+
+
+def _game_tables(tmp_path, spark, lines):
+    """A folder with line items of two suppliers a nation, given as (order, supplier, line, part, quantity)."""
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("lineitem", [(o, p, s, n, float(q), 1.0 * i, 0.0, 0.0, "N", "O", None) for i, (o, s, n, p, q) in enumerate(lines)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    put("supplier", [(s, f"S{s}", s // 2, 0.0) for s in range(40)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    put("nation", [(k, f"N{k}", 0) for k in range(20)], "n_nationkey int, n_name string, n_regionkey int")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("big_rows", [2000, 12])
+def test_details_by_game_are_the_deduplicated_ones(spark, tmp_path, big_rows):
+    r = random.Random(8)
+    lines = [(r.choice([0, 0, *range(1, 25), None]), r.choice([*range(40), None]), r.choice([1, 1, 2, None]), r.choice([5, 5, 6, None]), r.randrange(1, 4)) for _ in range(400)]
+    v = Views(spark, _game_tables(tmp_path, spark, lines))
+    cols = ["player_name", "team_id", "team_abbreviation", "pts"]
+    small, big = v.details_by_game(cols, task_rows=50, big_rows=big_rows)
+    assert (big is None) == (big_rows == 2000) and small.rdd.getNumPartitions() == -(-sum(x[0] is not None for x in lines) // 50)
+    got = small if big is None else small.unionByName(big)
+    want = v.v_game_details_dedup.where("game_id IS NOT NULL").select("game_id", "player_id", *cols)
+    key = lambda d: sorted((tuple(x) for x in d.collect()), key=repr)
+    assert key(got) == key(want)
+
+
+def test_marks_of_dealt_items_need_no_shuffle_by_item(spark):
+    """Rows dealt by item stay where they lie: what is aggregated has a row per group and task, not one per row and set."""
+    df = spark.range(1200).select((F.col("id") % 4).cast("string").alias("a"), F.lit("u").alias("b"), F.lit(1).alias("c"), (F.col("id") % 300).alias("item"),
+                                  F.lit(1).alias("v"), (F.col("id") % 2 == 0).alias("f"))
+    got = olap.grouping_sets_over_items(df.repartition(3, "item"), SETS, LABELS, "item", {"total": F.sum("v")}, "items", {"flagged": F.col("f")})
+    by_item = [x for x in plan_text(got).splitlines() if "hashpartitioning(" in x and "item#" in x]
+    assert len(by_item) == 1 and "REPARTITION_BY_NUM" in by_item[0], plan_text(got)
+    assert {(x.a, x.total, x.items, x.flagged) for x in got.where("aggregation_level = 'a-b'").collect()} == {(str(i), 300, 75, 75 * (i % 2 == 0)) for i in range(4)}

@@ -3,7 +3,8 @@ analysis, rolling stretches and streaks, top answers."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,14 +13,16 @@ from ..functions.exprs import day_of, map_referrer
 from .scan import prefix_scan
 
 
+def _is_set(s: Collection[str], cols: Sequence[str]) -> Column:
+    """Whether a row of grouping sets is of the set ``s``, from the ``__g_`` flags."""
+    return reduce(lambda x, y: x & y, [F.col(f"__g_{c}") == (0 if c in s else 1) for c in cols])
+
+
 def _labelled(df: DataFrame, cols: Sequence[str], labels: dict, overall: str, level_col: str, values: Sequence[str]) -> DataFrame:
     """Level label from the ``__g_`` flags, NULL grouping columns shown as ``overall``."""
     label = None
     for s, name in labels.items():
-        cond = None
-        for c in cols:
-            c_cond = (F.col(f"__g_{c}") == (0 if c in s else 1))
-            cond = c_cond if cond is None else cond & c_cond
+        cond = _is_set(s, cols)
         label = F.when(cond, name) if label is None else label.when(cond, name)
     return df.select(label.alias(level_col), *[F.coalesce(F.col(c).cast("string"), F.lit(overall)).alias(c) for c in cols], *values)
 
@@ -45,17 +48,26 @@ def grouping_sets_over_items(df: DataFrame, sets: Sequence[Sequence[str]], label
     items, and per flag the items with a row where it holds.
 
     Distinct counts in grouping sets would expand every row once more per distinct
-    expression. Here the sets group by (columns, item) first, where an item's flags
-    become maxima, then by the columns, where distinct counts are plain sums: one
-    Expand (rows x sets), partial results on both levels, and a group that holds
-    much of the rows is spread over its items. Null items are not counted."""
+    expression, and grouping by (columns, item) first would hold a group per row and set
+    in a task's memory. Here a window per set marks the first row of each (item,
+    set's columns), one with the flag if there is one; distinct counts are then plain
+    sums of marks under one Expand (rows x sets) by the columns alone, partial per task.
+    Rows that are dealt by ``item`` are marked where they lie; others are dealt by
+    (item, set's columns), so that no group or item is one task. Memory is that of
+    sorting a task's rows. Null items are not counted."""
     cols = sorted({c for s in sets for c in s})
-    g = df.groupingSets([[*[F.col(c) for c in s], F.col(item)] for s in sets], *[F.col(c) for c in cols], F.col(item))
-    per_item = g.agg(*[c.alias(n) for n, c in sums.items()], *[F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()],
-                     *[F.grouping(c).alias(f"__g_{c}") for c in cols])
     there = F.col(item).isNotNull()
-    out = per_item.groupBy(*cols, *[f"__g_{c}" for c in cols]).agg(
-        *[F.sum(n).alias(n) for n in sums], F.count(item).alias(count), *[F.count_if(there & F.col(n)).alias(n) for n in flags])
+    marked = df.withColumns({f"__f_{f}": F.coalesce(c, F.lit(False)) for f, c in flags.items()})
+    holds = {count: F.lit(True), **{f: F.col(f"__f_{f}") for f in flags}}
+    by_flag = {n: F.col(f"__f_{n if n in flags else next(iter(flags), count)}").desc() if flags else F.lit(0) for n in holds}
+    for k, s in enumerate(sets):
+        w = Window.partitionBy(item, *s)
+        marked = marked.withColumns({f"__m_{n}_{k}": (there & c & (F.row_number().over(w.orderBy(by_flag[n])) == 1)).cast("long") for n, c in holds.items()})
+    marks = [f"__m_{n}_{k}" for n in holds for k in range(len(sets))]
+    g = marked.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols])
+    out = g.agg(*[c.alias(n) for n, c in sums.items()], *[F.sum(m).alias(m) for m in marks], *[F.grouping(c).alias(f"__g_{c}") for c in cols])
+    in_set = [_is_set(s, cols) for s in sets]
+    out = out.withColumns({n: F.coalesce(*[F.when(is_set, F.col(f"__m_{n}_{k}")) for k, is_set in enumerate(in_set)]) for n in holds})
     return _labelled(out, cols, labels, overall, level_col, [*sums, count, *flags])
 
 

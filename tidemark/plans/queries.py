@@ -361,12 +361,14 @@ def q_referrer_window_analysis(spark, sf):
 
 
 def _games_facts(v: Views) -> DataFrame:
-    """De-duplicated game details with their game's season and winner; staged, since
-    the winners and the facts both come from them."""
-    cols = ["game_id", "player_name", "team_id", "team_abbreviation", "pts"]
-    gd = W.materialize(v.spark, v.v_game_details_dedup.select(*cols), "game-details")
-    g = v.games_of(gd).select("game_id", "season", "winner_team_id")
-    return gd.join(g, "game_id")
+    """De-duplicated game details with their game's season and winner. Dealt by game once:
+    winners, facts and what follows by game run where the rows lie. Games too big for one
+    task are staged, since the winners and the facts both come from them."""
+    cols = ["player_name", "team_id", "team_abbreviation", "pts"]
+    small, big = v.details_by_game(cols)
+    with_game = lambda gd: gd.hint("merge").join(v.games_of(gd).select("game_id", "season", "winner_team_id"), "game_id")
+    f = with_game(small)
+    return f if big is None else f.unionByName(with_game(W.materialize(v.spark, big, "game-details")))
 
 
 GAME_SETS = {"player_team": ["player_name", "team_abbreviation"],

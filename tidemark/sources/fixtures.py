@@ -8,6 +8,7 @@ The same definitions are written in SQL for the DuckDB oracle
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,6 +135,28 @@ class Views:
         from ..operators.windows import first_per_key
         return first_per_key(self.v_game_details, ["player_id", "game_id"], self.DEDUP_ORDER)
 
+    # Decides pts; rows alike in these columns differ in nothing that ``details_by_game`` returns.
+    PTS_ORDER = ["l_linenumber", "l_partkey", "pts"]
+
+    def details_by_game(self, columns: Sequence[str], task_rows: int = 100_000, big_rows: int = 2000) -> tuple[DataFrame, DataFrame | None]:
+        """De-duplicated details with a game, the key and ``columns`` of player, team and pts:
+        those of games of at most ``big_rows`` line items, dealt by game to tasks of about
+        ``task_rows`` rows however large the table, and those of bigger games (None if there
+        is none), which are not dealt by game. Only columns that decide pts are shuffled."""
+        from ..operators.windows import first_per_key
+        from .writers import materialize
+        sizes = self.t.lineitem.where("l_orderkey IS NOT NULL").groupBy(F.col("l_orderkey").alias("game_id")).agg(F.count(F.lit(1)).alias("n"))
+        rows, n_big = sizes.agg(F.sum("n"), F.count_if(F.col("n") > big_rows)).first()
+        raw = self.v_game_details.where(F.col("game_id").isNotNull()).select(
+            "game_id", "player_id", *dict.fromkeys([*columns, *self.PTS_ORDER]))
+        one = lambda df: first_per_key(df, ["game_id", "player_id"], self.PTS_ORDER).select("game_id", "player_id", *columns)
+        big = None
+        if n_big:
+            keys = materialize(self.spark, sizes.where(F.col("n") > big_rows).select("game_id"), "big-games")
+            big = one(raw.join(keys, "game_id", "left_semi"))
+            raw = raw.join(keys, "game_id", "left_anti")
+        return one(raw.repartition(max(1, -(-(rows or 0) // task_rows)), "game_id")), big
+
     @cached_property
     def v_games(self) -> DataFrame:
         return self.games_of(self.v_game_details_dedup)
