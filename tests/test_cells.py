@@ -78,6 +78,22 @@ def test_distinct_counts_over_grouping_sets(spark):
     assert key(olap.grouping_sets_over_items(df.limit(0), SETS[:3], LABELS, "item", {"total": F.sum("v")}, "items", {"flagged": F.col("f")})) == []
 
 
+def test_edges_of_small_and_big_games_together(spark):
+    """Pairs that meet in both kinds of game are one edge; small games are joined from one shuffle by game."""
+    r = random.Random(5)
+    rows = [(0 if i % 3 == 0 else r.randrange(1, 30), p, f"n{p % 40}", r.choice("xy"), r.randrange(30)) for i, p in enumerate(r.choices(range(60), k=150))]
+    rows += [(None, 1, "n1", "x", 1), (0, None, "n", "x", 1), (4, None, "n", "x", 1), (5, 3, None, "x", 1), (5, 9, "n9", "x", 4), (5, 9, "n9", "x", 4)]
+    df = spark.createDataFrame(rows, FACTS)
+    names = ("game", "player", "name", "team", "pts", "same", "against")
+    small = df.where("game IS NULL OR game > 0")
+    got = graph.co_occurrence_edges(df.where("game = 0"), *names, cell_rows=7, small=small)
+    assert sorted(tuple(x) for x in got.collect()) == brute(rows)
+    alone = graph.small_group_edges(small.repartition(3, "game"), *names)
+    assert sorted(tuple(x) for x in alone.collect()) == brute([x for x in rows if x[0] != 0])
+    txt = plan_text(graph.small_group_edges(small.repartition(3, "game"), *names))
+    assert txt.count("hashpartitioning(game") <= 2 and "ENSURE_REQUIREMENTS" not in "".join(x for x in txt.splitlines() if "hashpartitioning(game" in x), txt
+
+
 def _game_tables(tmp_path, spark, lines):
     """A folder with line items of two suppliers a nation, given as (order, supplier, line, part, quantity)."""
     put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")

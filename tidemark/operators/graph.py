@@ -59,7 +59,8 @@ def pair_cells(facts: DataFrame, group: str, node: str, cell_rows: int) -> tuple
 
 
 def co_occurrence_edges(facts: DataFrame, group: str, node: str, node_name: str, side: str,
-                        value: str, same_label: str, diff_label: str, cell_rows: int = 2000) -> DataFrame:
+                        value: str, same_label: str, diff_label: str, cell_rows: int = 2000,
+                        small: DataFrame | None = None) -> DataFrame:
     """Edges between nodes that share a group (players in the same game):
     one edge per unordered pair and relation (same side or not), with the
     number of shared groups and the value sums of both ends. The subject is the
@@ -67,20 +68,45 @@ def co_occurrence_edges(facts: DataFrame, group: str, node: str, node_name: str,
 
     The self join runs on triangle cells (``pair_cells``), so the pairs of a group
     that holds much of the rows are made by many tasks, and are summed per task
-    before they are shuffled by pair. Each side is projected to its columns first."""
+    before they are shuffled by pair. Each side is projected to its columns first.
+
+    ``small`` holds the rows of further groups, none of them in ``facts``, that are known
+    to be of bounded size: they need no cells and are joined on the group as they are
+    dealt, both sides from one shuffle where the rows are already dealt by group."""
     ends = (node, node_name, side, value)
     left, right = pair_cells(facts.select(group, *ends), group, node, cell_rows)
     a = left.select(group, "__i", "__j", F.struct(*ends).alias("__a"))
     b = right.select(group, "__i", "__j", F.struct(*ends).alias("__b"))
     j = a.join(b, [group, "__i", "__j"]).where(
         ((F.col("__i") < F.col("__j")) | (F.col(f"__a.{node}") > F.col(f"__b.{node}")))
-        & (F.col(f"__a.{node_name}") != F.col(f"__b.{node_name}")))
+        & (F.col(f"__a.{node_name}") != F.col(f"__b.{node_name}"))).select("__a", "__b")
+    return _edge_sums(j if small is None else j.unionByName(_pairs_in_place(small, group, ends)), ends, same_label, diff_label)
+
+
+def small_group_edges(small: DataFrame, group: str, node: str, node_name: str, side: str,
+                      value: str, same_label: str, diff_label: str) -> DataFrame:
+    """``co_occurrence_edges`` where every group is known to be of bounded size."""
+    ends = (node, node_name, side, value)
+    return _edge_sums(_pairs_in_place(small, group, ends), ends, same_label, diff_label)
+
+
+def _pairs_in_place(small: DataFrame, group: str, ends: Sequence[str]) -> DataFrame:
+    """Pairs (__a, __b) of a group's rows, the greater node first. Null groups and nodes pair with nothing."""
+    node, node_name = ends[:2]
+    a = small.select(group, F.struct(*ends).alias("__a"))
+    b = small.select(group, F.struct(*ends).alias("__b"))
+    return a.hint("merge").join(b, group).where(
+        (F.col(f"__a.{node}") > F.col(f"__b.{node}")) & (F.col(f"__a.{node_name}") != F.col(f"__b.{node_name}"))).select("__a", "__b")
+
+
+def _edge_sums(pairs: DataFrame, ends: Sequence[str], same_label: str, diff_label: str) -> DataFrame:
+    node, node_name, side, value = ends
     first = F.col(f"__a.{node}") > F.col(f"__b.{node}")
     pick = lambda c: (F.when(first, F.col(f"__a.{c}")).otherwise(F.col(f"__b.{c}")),
                       F.when(first, F.col(f"__b.{c}")).otherwise(F.col(f"__a.{c}")))
     rel = F.when(F.col(f"__a.{side}") == F.col(f"__b.{side}"), same_label).otherwise(diff_label)
     (s_id, o_id), (s_name, o_name), (s_val, o_val) = pick(node), pick(node_name), pick(value)
-    return (j.groupBy(s_id.alias("subject_identifier"), s_name.alias("subject_name"),
-                      o_id.alias("object_identifier"), o_name.alias("object_name"), rel.alias("edge_type"))
+    return (pairs.groupBy(s_id.alias("subject_identifier"), s_name.alias("subject_name"),
+                          o_id.alias("object_identifier"), o_name.alias("object_name"), rel.alias("edge_type"))
             .agg(F.count(F.lit(1)).alias("num_games"), F.sum(s_val).alias("subject_points"),
                  F.sum(o_val).alias("object_points")))

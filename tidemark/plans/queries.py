@@ -448,9 +448,9 @@ def q_player_game_edges(spark, sf):
 
 @query("player_player_edges")
 def q_player_player_edges(spark, sf):
-    gd = Views(spark, sf).v_game_details_dedup
-    return graph.co_occurrence_edges(gd, "game_id", "player_id", "player_name", "team_abbreviation",
-                                     "pts", "shares_team", "plays_against")
+    small, big = Views(spark, sf).details_by_game(["player_name", "team_abbreviation", "pts"])
+    names = ("game_id", "player_id", "player_name", "team_abbreviation", "pts", "shares_team", "plays_against")
+    return graph.small_group_edges(small, *names) if big is None else graph.co_occurrence_edges(big, *names, small=small)
 
 
 @query("player_vertices")
