@@ -2,6 +2,7 @@
 empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import inspect
 import math
 import random
 import re
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemark.llm import byte_cnn, decontam, html_lines, jaccard_join, lm_score, mixing, quality_rules, queries, secret_scan, token_counts, warc
+from tidemark.plans.explain import plan_text
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SPACES = " \t\n\x0b\x0c\r"
@@ -562,3 +564,19 @@ def test_contract_queries_run(spark, key):
     df = queries.REGISTRY[key](spark, SF_SMALL)
     want = spark.read.parquet(f"{SF_SMALL}/{'pages' if key in ('op3_warc', 'op5_html_extraction') else 'documents'}.parquet").count()
     assert df.count() == want * (2 if key == "op3_warc" else 1)
+
+
+def test_jaccard_chunks_are_arrow_columns_of_bounded_text(spark):
+    """Chunk functions get and give packed Arrow columns: no object per n-gram in a worker, 8 MB of text a chunk by default."""
+    src = spark.createDataFrame([("a", "x y z u v w", 0), ("b", "x y z u v w q", 0), ("c", None, 0), ("d", "", 1)], "__id string, __text string, __chunk int")
+    found = jaccard_join.index_entries(src, jaccard_join.frequencies(src, 2, 2), 2, 50, src.schema["__id"].dataType)
+    plan = plan_text(found)
+    assert "InPandas" not in plan and "FlatMapCoGroupsInArrow" in plan, plan
+    rows = found.collect()
+    assert sorted((r.id, r.n, r.fp is None) for r in rows if r.kind == 0) == [("a", 5, False), ("b", 6, False), ("c", 0, True), ("d", 0, True)]
+    sets = {bytes(r.fp): set(r["items"]) for r in rows if r.kind == 2}
+    assert len(sets) == 2 and len(set.intersection(*sets.values())) == 5 and all(len(s) == 5 for s in sets.values())
+    for r in rows:
+        if r.kind == 1:
+            assert r.token in sets[bytes(r.fp)] and r.pos is not None and r.id is None and r["items"] is None and r.weight > 0
+    assert inspect.signature(jaccard_join.near_duplicates).parameters["chunk_bytes"].default <= 8 << 20

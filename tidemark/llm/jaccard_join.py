@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,51 +87,75 @@ def _slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(top[a]), slice(int(a), int(b))
 
 
-def _chunk_sets(texts: pd.Series, n: int) -> tuple[list[np.ndarray], list[bytes | None], dict[bytes, np.ndarray]]:
-    sets = [ngram_set(t, n) for t in texts]
-    fps = [fingerprint(s) if len(s) else None for s in sets]
-    return sets, fps, {f: s for f, s in zip(fps, sets) if f is not None}
+def _chunk_sets(texts: pa.ChunkedArray, n: int) -> tuple[list[np.ndarray], list[bytes | None], dict[bytes, np.ndarray]]:
+    """Sets, their fingerprints and the distinct sets; one text at a time leaves Arrow's memory."""
+    fps: list[bytes | None] = []
+    distinct: dict[bytes, np.ndarray] = {}
+    for t in texts:
+        s = ngram_set(t.as_py(), n)
+        fps.append(fingerprint(s) if len(s) else None)
+        if fps[-1] is not None:
+            distinct.setdefault(fps[-1], s)
+    empty = np.empty(0, dtype=np.uint64)
+    return [empty if f is None else distinct[f] for f in fps], fps, distinct
+
+
+def _bytes(column: pa.ChunkedArray, dtype: type) -> list[np.ndarray]:
+    """Packed numbers of a binary column, as views of Arrow's memory."""
+    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
 
 
 def frequencies(src: DataFrame, n: int, buckets: int) -> DataFrame:
     """(__chunk, bucket, df): frequencies of a chunk's n-grams of a bucket, in their order."""
     bits = _bucket_bits(buckets)
+    asked_type = pa.schema([("__chunk", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+    answer_type = pa.schema([("__chunk", pa.int32()), ("bucket", pa.int32()), ("df", pa.binary())])
 
-    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, _, distinct = _chunk_sets(pdf["__text"], n)
+    def ask(docs: pa.Table) -> pa.Table:
+        _, _, distinct = _chunk_sets(docs["__text"], n)
         keys, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True) if distinct else (np.empty(0, np.uint64), None)
-        rows = [(pdf["__chunk"].iloc[0], b, _below(keys[s], bits).tobytes(), counts[s].astype(np.uint16 if len(distinct) < 65536 else np.uint32).tobytes())
+        rows = [(docs["__chunk"][0].as_py(), b, _below(keys[s], bits).tobytes(), counts[s].astype(np.uint16 if len(distinct) < 65536 else np.uint32).tobytes())
                 for b, s in _slices(keys, bits)]
-        return pd.DataFrame(rows, columns=["__chunk", "bucket", "keys", "counts"])
+        return pa.table([list(x) for x in zip(*rows)], schema=asked_type) if rows else asked_type.empty_table()
 
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint32) for k in pdf["keys"]]
-        counts = [np.frombuffer(c, np.uint16 if len(c) == 2 * len(k) else np.uint32) for c, k in zip(pdf["counts"], keys)]
+    def answer(asked: pa.Table) -> pa.Table:
+        keys = _bytes(asked["keys"], np.uint32)
+        counts = [np.frombuffer(c.as_buffer(), np.uint16 if c.as_buffer().size == 2 * len(k) else np.uint32) for c, k in zip(asked["counts"], keys)]
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.minimum(np.bincount(at, weights=np.concatenate(counts)), 65535).astype(np.uint16)[at]
         ends = np.cumsum([len(k) for k in keys])
         df = [total[e - len(k):e].tobytes() for e, k in zip(ends, keys)]
-        return pd.DataFrame({"__chunk": pdf["__chunk"], "bucket": pdf["bucket"], "df": df})
+        return pa.table([asked["__chunk"], asked["bucket"], pa.array(df, pa.binary())], schema=answer_type)
 
-    asked = src.groupBy("__chunk").applyInPandas(ask, "__chunk int, bucket int, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(answer, "__chunk int, bucket int, df binary")
+    asked = src.groupBy("__chunk").applyInArrow(ask, "__chunk int, bucket int, keys binary, counts binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "__chunk int, bucket int, df binary")
 
 
 def index_entries(src: DataFrame, freq: DataFrame, n: int, percent: int, id_type: T.DataType) -> DataFrame:
     """Three kinds of rows: 0 documents (id, fp, n), 1 index entries (token, fp, n, pos,
-    weight), 2 the listed sets (fp, n, items: n-grams that occur in more than one place)."""
+    weight), 2 the listed sets (fp, n, items: n-grams that occur in more than one place).
+
+    Rows are built as Arrow columns from packed numbers: a chunk of text costs a
+    worker a few times its size, not an object per n-gram."""
     schema = T.StructType([
         T.StructField("kind", T.IntegerType()), T.StructField("id", id_type), T.StructField("fp", T.BinaryType()), T.StructField("n", T.IntegerType()),
         T.StructField("token", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("weight", T.DoubleType()),
         T.StructField("items", T.ArrayType(T.LongType()))])
 
-    def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         sets, fps, distinct = _chunk_sets(docs["__text"], n)
-        rows: list[tuple] = [(0, i, f, len(s), None, None, None, None) for i, f, s in zip(docs["__id"], fps, sets)]
+        ids = docs["__id"].combine_chunks()
+        types = [pa.int32(), ids.type, pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.int64())]
+
+        def rows(kind: int, size: int, **columns: pa.Array) -> pa.Table:
+            filled = {"kind": pa.array(np.full(size, kind, np.int32)), **columns}
+            return pa.table([filled.get(c, pa.nulls(size, t)) for c, t in zip(schema.names, types)], names=schema.names)
+
+        out = [rows(0, len(fps), id=ids, fp=pa.array(fps, pa.binary()), n=pa.array([len(s) for s in sets], pa.int32()))]
         if distinct:
             keys = np.unique(np.concatenate(list(distinct.values())))
-            answers = answers.sort_values("bucket")
-            df = np.concatenate([np.frombuffer(x, np.uint16) for x in answers["df"]])
+            df = np.concatenate(_bytes(answers.sort_by("bucket")["df"], np.uint16))
+            entries, listed = [], []
             for f, s in distinct.items():
                 d = df[np.searchsorted(keys, s)]
                 order = np.lexsort((s, d))
@@ -138,13 +163,21 @@ def index_entries(src: DataFrame, freq: DataFrame, n: int, percent: int, id_type
                 shared = np.flatnonzero(d[prefix] > 1)
                 if not len(shared):
                     continue
-                weight = float(np.log(d[prefix]).sum())
                 signed = s.view(np.int64)
-                rows += [(1, None, f, len(s), int(signed[prefix[p]]), int(p), weight, None) for p in shared]
-                rows.append((2, None, f, len(s), None, None, None, signed[d > 1].tolist()))
-        return pd.DataFrame({c: pd.Series(list(v), dtype=object) for c, v in zip(schema.names, zip(*rows))} if rows else {c: [] for c in schema.names})
-
-    return src.groupBy("__chunk").cogroup(freq.groupBy("__chunk")).applyInPandas(run, schema)
+                entries.append((signed[prefix[shared]], shared.astype(np.int32), float(np.log(d[prefix]).sum())))
+                listed.append((f, len(s), signed[d > 1]))
+            if listed:
+                each = np.array([len(t) for t, _, _ in entries])
+                size = np.array([k for _, k, _ in listed], np.int32)
+                fp = pa.array([f for f, _, _ in listed], pa.binary())
+                out.append(rows(1, int(each.sum()), fp=fp.take(pa.array(np.repeat(np.arange(len(listed)), each))), n=pa.array(np.repeat(size, each)),
+                                token=pa.array(np.concatenate([t for t, _, _ in entries])), pos=pa.array(np.concatenate([p for _, p, _ in entries])),
+                                weight=pa.array(np.repeat([w for _, _, w in entries], each))))
+                offsets = np.r_[0, np.cumsum([len(x) for _, _, x in listed])].astype(np.int32)
+                out.append(rows(2, len(listed), fp=fp, n=pa.array(size), items=pa.ListArray.from_arrays(offsets, np.concatenate([x for _, _, x in listed]))))
+        return pa.concat_tables(out)
+
+    return src.groupBy("__chunk").cogroup(freq.groupBy("__chunk")).applyInArrow(run, schema)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +281,7 @@ def cross_pairs(entries: DataFrame, percent: int, block: int = 4000, skip: int =
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80,
-                    chunk_bytes: int = 16 << 20) -> DataFrame:
+                    chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per row: id, n_shingles (size of its set), component_id (the least id
     that links of Jaccard similarity ``percent`` / 100 or more reach)."""
     src = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
